@@ -1,6 +1,6 @@
 """Field-scoped ranked search: many ``lang:at:qtext`` queries in one job."""
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from crosslex.functions.analysis import analyze
@@ -188,9 +188,16 @@ def score_queries(queries: DataFrame, index: Index, lossy_norms: bool = False,
     return score_documents(matches, lossy_norms)
 
 
+def query_table(spark: SparkSession, rows) -> DataFrame:
+    """``queries(qid, q)`` from a few ``(qid, q)`` rows, as literals."""
+    literals = F.array(*[
+        F.struct(F.lit(qid).alias("qid"), F.lit(q).alias("q")) for qid, q in rows])
+    return spark.range(1).select(F.inline(literals))
+
+
 def one_query(index: Index, q: str) -> DataFrame:
     """A single query as a query table."""
-    return index.postings.sparkSession.createDataFrame([(1, q)], "qid int, q string")
+    return query_table(index.postings.sparkSession, [(1, q)])
 
 
 def search(index: Index, lang: str, at: str, qtext: str, k: int = TOP,

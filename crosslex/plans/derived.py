@@ -26,6 +26,10 @@ LANGS = [PIVOT, *TARGETS]
 ALL_LANGS = [*LANGS, "es"]
 PLAIN_ANALYZERS = {lang: PLAIN for lang in ALL_LANGS}
 
+#: Folders per language and field of the indexes. For data of this size; on a
+#: cluster so many that a folder of documents is about a gigabyte.
+BUCKETS = 4
+
 #: Links come from blocks of this many neighbouring ids.
 LINK_BLOCK = 16
 
@@ -92,6 +96,30 @@ class Derived:
     def complete(self) -> DataFrame:
         return corpus.complete_triples(self.triples, self.corpus, LANGS)
 
+    @cached_property
+    def asked(self) -> DataFrame:
+        """``queries(qid, q)``: an article's title as a query, some of them invalid."""
+        scope = F.col("source")
+        for source, at in {"src1": "t", "src2": "T&t", "src3": "t&T", "src4": "T|t",
+                           "src5": "t|T", "src6": "Q"}.items():
+            scope = F.when(F.col("source") == source, at).otherwise(scope)
+        scope = F.when(scope == F.col("source"), "T").otherwise(scope)
+        lang = F.when(F.col("source") == "src8", F.upper("lang")).otherwise(F.col("lang"))
+        text = (
+            F.when(F.col("source") == "src9", F.lit(""))
+            .when(F.col("source") == "src10", F.concat("title", F.lit(":more")))
+            .when(F.col("source") == "src12", F.concat(F.lit(":"), "title"))
+            .otherwise(F.col("title"))
+        )
+        return self.articles.select(
+            F.col("num_id").alias("qid"), F.concat_ws(":", lang, scope, text).alias("q"))
+
+    @cached_property
+    def passages(self) -> DataFrame:
+        """``queries(qid, q)``: every benchmark passage as a query."""
+        return self.table("benchmark").select(
+            F.col("item_id").alias("qid"), F.concat(F.lit("en:T|t:"), "text").alias("q"))
+
     # Written tables: read by several queries, so each is built once per session.
 
     @cached_property
@@ -103,7 +131,7 @@ class Derived:
         """Index of all articles."""
         return index.write_index(
             self.articles, workspace.new_path(self.spark, "articles"), PLAIN_ANALYZERS,
-            unique_ids=True)
+            BUCKETS, unique_ids=True)
 
     @cached_property
     def document_index(self) -> index.Index:
@@ -112,7 +140,7 @@ class Derived:
         documents = corpus.extract_counted(self.corpus, complete, LANGS)
         return index.write_index(
             documents, workspace.new_path(self.spark, "documents"),
-            {lang: PLAIN for lang in LANGS}, unique_ids=True)
+            {lang: PLAIN for lang in LANGS}, BUCKETS, unique_ids=True)
 
     @cached_property
     def id_map(self) -> DataFrame:
