@@ -81,8 +81,11 @@ def analyze(text: Column, lang: Column, analyzers=ANALYZERS) -> Column:
 
 def remove_stopwords(words: Column, lang: Column, stop_by_lang: dict) -> Column:
     """Words without the stop words of the language beside them."""
+    def without(stop):
+        return F.filter(words, lambda w: ~w.isin(list(stop)))
+
     out = None
     for code, stop in stop_by_lang.items():
-        kept = F.filter(words, lambda w, stop=list(stop): ~w.isin(stop))
+        kept = without(stop)
         out = F.when(lang == code, kept) if out is None else out.when(lang == code, kept)
     return words if out is None else out.otherwise(words)

@@ -123,11 +123,10 @@ def phrase_positions(index, lang, c: Clause, terms) -> DataFrame:
 
 def phrase_frequency(tokens, terms) -> Column:
     """How often the terms stand in sequence: shifted positions that all share."""
-    first = tokens[0][1]
-    shifted = [
-        F.transform(F.col(f"p{terms.index(t)}"), lambda p, d=pos - first: p - d)
-        for t, pos in tokens
-    ]
+    def shifted_by(term, distance):
+        return F.transform(F.col(f"p{terms.index(term)}"), lambda p: p - distance)
+
+    shifted = [shifted_by(t, pos - tokens[0][1]) for t, pos in tokens]
     return F.size(reduce(F.array_intersect, shifted)).cast("double")
 
 

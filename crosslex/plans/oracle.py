@@ -146,14 +146,14 @@ def search_ctes(asked: str, dl: str = "dl", langs=LANGS) -> dict:
         "query_row": asked,
         "split_row": """SELECT qid, string_split(regexp_replace(q, ':+$', ''), ':') AS parts
             FROM query_row""",
-        "decoded": f"""SELECT qid, parts[1] AS lang, parts[2] AS at, parts[3] AS qtext
+        "decoded": f"""SELECT qid, parts[1] AS lang, parts[2] AS "at", parts[3] AS qtext
             FROM split_row WHERE ({valid(langs=langs)}) IS NULL""",
-        "query_word": f"""SELECT qid, lang, at, unnest(
+        "query_word": f"""SELECT qid, lang, "at" AS scope, unnest(
             regexp_extract_all(lower(qtext), '{PLAIN_WORD}')) AS term FROM decoded""",
-        "query_term": """SELECT qid, lang, at LIKE '%&%' AS both, 'title' AS field, term
-            FROM query_word WHERE at LIKE '%T%'
-            UNION ALL SELECT qid, lang, at LIKE '%&%', 'text', term
-            FROM query_word WHERE at LIKE '%t%'""",
+        "query_term": """SELECT qid, lang, scope LIKE '%&%' AS in_both, 'title' AS field, term
+            FROM query_word WHERE scope LIKE '%T%'
+            UNION ALL SELECT qid, lang, scope LIKE '%&%', 'text', term
+            FROM query_word WHERE scope LIKE '%t%'""",
         "scored": f"""
             SELECT qid, p.lang, p.id, p.dup_no,
                 round(sum({IDF} * {tf_norm(dl=dl)}), 6) AS score
@@ -163,8 +163,8 @@ def search_ctes(asked: str, dl: str = "dl", langs=LANGS) -> dict:
                 AND l.dup_no = p.dup_no
             JOIN stats s ON s.lang = p.lang AND s.field = p.field
             JOIN freq f ON f.lang = p.lang AND f.field = p.field AND f.term = p.term
-            GROUP BY qid, p.lang, p.id, p.dup_no, both
-            HAVING NOT both OR count(DISTINCT p.field) = 2""",
+            GROUP BY qid, p.lang, p.id, p.dup_no, in_both
+            HAVING NOT in_both OR count(DISTINCT p.field) = 2""",
         "hit": """SELECT *, row_number() OVER (PARTITION BY qid
             ORDER BY score DESC, CAST(id AS BIGINT), dup_no) AS rank FROM scored
             QUALIFY rank <= 10""",
@@ -246,22 +246,28 @@ def _phrase_score(lang, c, words, starts) -> str:
 
 def _slop(lang, c) -> str:
     a, b = _words(c)
-    starts = f"""SELECT lang, field, id, dup_no, sum(1.0::DOUBLE / (1 + at - last_at)) AS tf FROM (
-            SELECT *, lag(at) OVER w AS last_at, lag(which) OVER w AS last_which FROM (
+    starts = f"""SELECT lang, field, id, dup_no, sum(1.0::DOUBLE / (1 + place - last_place)) AS tf FROM (
+            SELECT *, lag(place) OVER w AS last_place, lag(which) OVER w AS last_which FROM (
                 SELECT lang, field, id, dup_no, CASE WHEN term = {quote(a)} THEN 0 ELSE 1 END AS which,
-                    CASE WHEN term = {quote(a)} THEN pos ELSE pos - 1 END AS at
+                    CASE WHEN term = {quote(a)} THEN pos ELSE pos - 1 END AS place
                 FROM token WHERE lang = {quote(lang)} AND field = {quote(c.field)}
                     AND term IN ({quote(a)}, {quote(b)}))
-            WINDOW w AS (PARTITION BY lang, field, id, dup_no ORDER BY at, which))
-        WHERE which <> last_which AND at - last_at <= {c.slop} GROUP BY ALL"""
+            WINDOW w AS (PARTITION BY lang, field, id, dup_no ORDER BY place, which))
+        WHERE which <> last_which AND place - last_place <= {c.slop} GROUP BY ALL"""
     return _phrase_score(lang, c, [a, b], starts)
 
 
 def _fuzzy(lang, c) -> str:
-    word, size = quote(c.value.lower()), len(c.value)
+    w, word, size = c.value.lower(), quote(c.value.lower()), len(c.value)
+    swapped = " ".join(f"""WHEN list_bool_or(list_transform(range(length(term)), lambda k:
+            substr(term, k + 1, 2) = {quote(w[i + 1] + w[i])}
+            AND levenshtein(substr(term, 1, k), {quote(w[:i])})
+                + levenshtein(substr(term, k + 3), {quote(w[i + 2:])}) <= {n}))
+            THEN {n + 1}""" for n in range(c.edits) for i in range(len(w) - 1) if w[i] != w[i + 1])
     near = f"""SELECT *, CASE WHEN edits = 0 THEN 1.0
             ELSE 1.0 - edits::DOUBLE / least(length(term), {size}) END AS weight
-        FROM (SELECT lang, field, term, df, damerau_levenshtein(term, {word}) AS edits FROM freq
+        FROM (SELECT lang, field, term, df, least(
+                levenshtein(term, {word}), CASE {swapped} ELSE 9 END) AS edits FROM freq
             WHERE lang = {quote(lang)} AND field = {quote(c.field)})
         WHERE edits <= {c.edits} AND (edits = 0 OR edits < least(length(term), {size}))
         ORDER BY weight DESC, term LIMIT 50"""
@@ -508,7 +514,7 @@ def build() -> dict[str, str]:
         "lookup_id": over_links("""
             SELECT DISTINCT a.lang, a.id, title, text FROM article a
             JOIN pairs p ON a.lang = p.lang AND a.id = p.target_id"""),
-        "decode_queries": over_links("SELECT qid, lang, at, qtext FROM decoded", asked),
+        "decode_queries": over_links('SELECT qid, lang, "at", qtext FROM decoded', asked),
         "validate_queries": over_links(f"SELECT qid, {valid()} AS reason FROM split_row", asked),
         "search_title": one_search("en:T:the that"),
         "search_text": one_search("en:t:the that then"),
