@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from crosslex.operators import search as ranked
 from crosslex.operators.index import Index, bucket
+from crosslex.sources import workspace
 
 #: Up to this many rows of hits are broadcast to the documents.
 BROADCAST_HITS = 200_000
@@ -49,11 +50,11 @@ def cross_search(queries: DataFrame, index: Index, id_map: DataFrame, langs,
                  k: int = ranked.TOP, lossy_norms: bool = False) -> DataFrame:
     """Search, top ``k``, translations: the whole of a cross-language query batch.
 
-    The hits are at most ``k`` per query, which bounds what is broadcast.
+    The ranked hits are written before they are expanded. They are few, several
+    joins read them, and their real number then decides what is broadcast.
     """
-    hits = ranked.search_batch(queries, index, k, lossy_norms)
-    small = queries.count() * k * len(langs) <= BROADCAST_HITS
-    return expand_translations(hits, id_map, index, langs, small)
+    hits = workspace.settle(ranked.search_batch(queries, index, k, lossy_norms), "hits")
+    return expand_translations(hits, id_map, index, langs, hits.count() <= BROADCAST_HITS)
 
 
 def nest(rows: DataFrame) -> DataFrame:

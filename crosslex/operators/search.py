@@ -173,19 +173,24 @@ def is_small(queries: DataFrame, chars: int = BROADCAST_CHARS) -> bool:
     return (size or 0) <= chars
 
 
-def search_batch(queries: DataFrame, index: Index, k: int = TOP, lossy_norms: bool = False,
-                 broadcast_chars: int = BROADCAST_CHARS) -> DataFrame:
-    """Hits of all valid ``queries(qid, q)``."""
-    return top_k(score_queries(queries, index, lossy_norms, broadcast_chars), k)
-
-
 def score_queries(queries: DataFrame, index: Index, lossy_norms: bool = False,
-                  broadcast_chars: int = BROADCAST_CHARS) -> DataFrame:
-    """All matching documents of all valid queries with their scores."""
+                  small: bool | None = None) -> DataFrame:
+    """All matching documents of all valid queries with their scores.
+
+    ``small`` tells whether the query terms may be broadcast; by default the query
+    text is measured.
+    """
+    if small is None:
+        small = is_small(queries)
     valid, _ = validate_queries(queries, list(index.analyzers))
     terms = query_terms(decode_queries(valid), index)
-    matches = match_terms(terms, index, is_small(queries, broadcast_chars))
-    return score_documents(matches, lossy_norms)
+    return score_documents(match_terms(terms, index, small), lossy_norms)
+
+
+def search_batch(queries: DataFrame, index: Index, k: int = TOP, lossy_norms: bool = False,
+                 small: bool | None = None) -> DataFrame:
+    """Hits of all valid ``queries(qid, q)``."""
+    return top_k(score_queries(queries, index, lossy_norms, small), k)
 
 
 def query_table(spark: SparkSession, rows) -> DataFrame:
@@ -203,7 +208,8 @@ def one_query(index: Index, q: str) -> DataFrame:
 def search(index: Index, lang: str, at: str, qtext: str, k: int = TOP,
            lossy_norms: bool = False) -> DataFrame:
     """Hits of one query."""
-    return search_batch(one_query(index, f"{lang}:{at}:{qtext}"), index, k, lossy_norms)
+    q = f"{lang}:{at}:{qtext}"
+    return search_batch(one_query(index, q), index, k, lossy_norms, len(q) <= BROADCAST_CHARS)
 
 
 def lookup_ids(index: Index, ids: DataFrame) -> DataFrame:

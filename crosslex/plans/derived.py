@@ -146,6 +146,10 @@ class Derived:
     def id_map(self) -> DataFrame:
         return links.build_id_map(self.kept_triples, LANGS)
 
+    @cached_property
+    def kept_id_map(self) -> DataFrame:
+        return workspace.settle(self.id_map, "id_map")
+
 
 _SESSIONS: dict[tuple[str, str], Derived] = {}
 

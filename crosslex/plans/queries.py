@@ -304,7 +304,7 @@ def search_batch(d):
 
 def translated(d):
     asked = search.query_table(d.spark, ASKED)
-    return results.cross_search(asked, d.document_index, d.id_map, LANGS)
+    return results.cross_search(asked, d.document_index, d.kept_id_map, LANGS)
 
 
 @query
@@ -320,7 +320,7 @@ def expand_translations(d):
     every = d.article_index.docs.where(F.col("lang").isin(LANGS)).select(
         F.col("id").cast("long").alias("qid"), F.lit(1).alias("rank"), F.lit(0.0).alias("score"),
         "lang", "id", "dup_no")
-    return results.expand_translations(every, d.id_map, d.article_index, LANGS).select(
+    return results.expand_translations(every, d.kept_id_map, d.article_index, LANGS).select(
         "qid", F.col("pos").cast("long").alias("pos"), "lang", "id", "title", "text")
 
 
