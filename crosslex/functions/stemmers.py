@@ -144,21 +144,31 @@ def _hu_step(name: str, rules: dict):
         doubles = "|".join(
             form for d in HU_DOUBLES
             for form in [d, *_across_bar(d), re.escape(d + BAR)])
-        pattern = rf".(\|?)(.)(\|?)(?<={doubles})(?:{'|'.join(every)})$"
+        pattern = (rf".(\|?)(.)(\|?)(?=(?:{'|'.join(every)})$)(?<={doubles})"
+                   rf"(?:{'|'.join(every)})$")
         return lambda word: F.regexp_replace(word, pattern, "$1$2$3")
 
-    def rests(new):
-        return "|".join(s[1:] for s in groups.get(new, ["áé"]))
+    def ends(suffixes):
+        # Most words end in none of the last letters and need no further search.
+        return rf"(?=[^|]*[{''.join(sorted({x[-1] for x in suffixes}))}]$)"
 
-    # Suffixes that begin with á or é keep it, short. The tag they leave behind
-    # keeps the suffixes that are cut from matching as well.
-    shorten = rf"\|(.*?)(?:(á)(?:{rests('a')})|(é)(?:{rests('e')}))$" + guard
-    cut = rf"\|(.*?)(?:{'|'.join(groups.get('', []))})$" + guard
+    def any_of(suffixes):
+        return f"(?:{'|'.join(suffixes)})"
+
+    shorten = cut = None
+    if "a" in groups:
+        # These suffixes begin with á or é, which stays, short. The tag left behind
+        # keeps the suffixes that are cut from matching as well.
+        rests = {new: any_of(s[1:] for s in groups[new]) for new in "ae"}
+        shorten = (rf"\|{ends(groups['a'] + groups['e'])}(.*?)"
+                   rf"(?:(á){rests['a']}|(é){rests['e']})${guard}")
+    if "" in groups:
+        cut = rf"\|{ends(groups[''])}(.*?){any_of(groups[''])}${guard}"
 
     def step(word: Column) -> Column:
-        if len(groups) > 1:
+        if shorten:
             word = F.regexp_replace(word, shorten, f"{BAR}$1$2$3{TAG}")
-        if "" in groups:
+        if cut:
             word = F.regexp_replace(word, cut, f"{BAR}$1" + (TAG if name == "case" else ""))
         word = F.replace(word, F.lit("á" + TAG), F.lit("a"))
         word = F.replace(word, F.lit("é" + TAG), F.lit("e"))

@@ -24,13 +24,13 @@ def _unicode_word(letter: str, letters: str, more: str) -> str:
 #: Approximation of Unicode word breaks that needs no look-around.
 UNICODE_WORD = _unicode_word(r"\p{L}", r"[\p{L}\p{M}]", "")
 
+# Blocks of Han and Hiragana signs, each of which is a word.
+SIGNS = r"\u3041-\u309F\u3400-\u4DBF\u4E00-\u9FFF\uF900-\uFAFF\x{20000}-\x{2FA1F}"
+
 #: The same for Java: possessive, so that a very long word cannot exhaust the
-#: stack, and with each Han or Hiragana sign a word of its own.
-UNICODE_WORD_CJK = r"[\p{IsHan}\p{IsHiragana}]\p{M}*|" + _unicode_word(
-    r"[\p{L}&&[^\p{IsHan}\p{IsHiragana}]]",
-    r"[\p{L}\p{M}&&[^\p{IsHan}\p{IsHiragana}]]",
-    "+",
-)
+#: stack, and with each sign a word of its own.
+UNICODE_WORD_CJK = rf"[{SIGNS}]\p{{M}}*|" + _unicode_word(
+    rf"[\p{{L}}&&[^{SIGNS}]]", rf"[\p{{L}}\p{{M}}&&[^{SIGNS}]]", "+")
 
 #: Longer words are cut into pieces of this many characters.
 MAX_WORD_LENGTH = 255
@@ -66,7 +66,7 @@ def plain_words(text: Column) -> Column:
 def unicode_words(text: Column) -> Column:
     """Lower-cased words by Unicode word breaks, in order."""
     words = F.regexp_extract_all(F.lower(text), F.lit(UNICODE_WORD_CJK), F.lit(0))
-    words = F.filter(words, lambda w: F.rlike(w, F.lit(r"[\p{L}\p{N}]")))
+    words = F.filter(words, lambda w: F.trim(w, F.lit("_")) != "")
     # A second pass over every word only where one is too long: cutting inside
     # the pattern would make it backtrack.
     cut = F.flatten(F.transform(

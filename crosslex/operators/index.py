@@ -144,27 +144,28 @@ def write_index(documents: DataFrame, path: str, analyzers=ANALYZERS, buckets: i
                 unique_ids: bool = False) -> Index:
     """Build and write an index; a former one at ``path`` is replaced.
 
-    Postings are rebalanced by bucket, which splits a bucket that a frequent term
-    makes large, and sorted by term, so that file statistics find a term's rows.
-    The statistics are computed from the written postings.
+    All tables are rebalanced by their folders: adaptive execution splits a folder
+    that a frequent term or language makes large and joins small ones. Sorting by
+    term lets file statistics find a term's rows. The statistics are computed from
+    the written postings.
     """
     spark = documents.sparkSession
     built = build_index(documents, analyzers, buckets, unique_ids)
-    built.docs.repartition("lang", "bucket").sortWithinPartitions(
-        "lang", "bucket", number("id"), "id"
+    built.docs.hint("rebalance", "lang", "bucket").sortWithinPartitions(
+        "lang", "bucket", number("id")
     ).write.mode("overwrite").partitionBy("lang", "bucket").parquet(f"{path}/docs")
 
     docs = spark.read.schema(built.docs.schema).parquet(f"{path}/docs")
-    order = ["lang", "field", "term_bucket", "term", "id", "dup_no"]
+    order = ["lang", "field", "term_bucket", "term"]
     build_postings(docs, analyzers).withColumn(
         "term_bucket", bucket(F.col("term"), buckets)
     ).hint("rebalance", "lang", "field", "term_bucket").sortWithinPartitions(*order).write.mode(
         "overwrite").partitionBy("lang", "field", "term_bucket").parquet(f"{path}/postings")
 
     postings = spark.read.schema(built.postings.schema).parquet(f"{path}/postings")
-    _term_stats(postings, buckets).repartition("lang", "field", "term_bucket").sortWithinPartitions(
-        "lang", "field", "term_bucket", "term"
-    ).write.mode("overwrite").partitionBy("lang", "field", "term_bucket").parquet(
+    _term_stats(postings, buckets).hint(
+        "rebalance", "lang", "field", "term_bucket"
+    ).sortWithinPartitions("lang", "field", "term_bucket", "term").write.mode("overwrite").partitionBy("lang", "field", "term_bucket").parquet(
         f"{path}/term_stats")
     field_stats(postings).write.mode("overwrite").parquet(f"{path}/field_stats")
     return read_index(spark, path, analyzers, buckets)

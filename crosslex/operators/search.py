@@ -15,7 +15,7 @@ SCOPES = ["T", "t", "T|t", "T&t", "t|T", "t&T"]
 
 #: Query text up to this many characters in total is small enough to broadcast;
 #: it cannot have more terms than characters.
-BROADCAST_CHARS = 4_000_000
+BROADCAST_CHARS = 1_000_000
 #: Otherwise each query term is repeated this often, so that the postings of a
 #: frequent term are read by as many tasks.
 SALTS = 32
