@@ -109,7 +109,7 @@ def bm25(tf: Column, dl: Column, avgdl: Column, n_docs: Column, df: Column,
 
 
 def match_terms(terms: DataFrame, index: Index, small: bool = True) -> DataFrame:
-    """Postings of the query terms, with the statistics that score them.
+    """Postings of the query terms, with the weight of the term and the mean length.
 
     ``small`` query terms are broadcast twice: to the term statistics, and with
     these to the postings, whose folders are pruned by the terms' buckets. Beyond
@@ -120,7 +120,9 @@ def match_terms(terms: DataFrame, index: Index, small: bool = True) -> DataFrame
     stats = F.broadcast(index.field_stats.select("lang", "field", "n_docs", "avgdl"))
     known = index.term_stats.select(*keys, "df").join(
         F.broadcast(terms) if small else terms, keys)
-    weighted = known.join(stats, ["lang", "field"])
+    weighted = known.join(stats, ["lang", "field"]).select(
+        *keys, "qid", "both", "avgdl",
+        (F.col("qtf") * idf(F.col("n_docs"), F.col("df"))).alias("weight"))
     postings = index.postings.select(*keys, "id", "dup_no", "copies", "tf", "dl")
     if small:
         return postings.join(F.broadcast(weighted), keys)
@@ -129,23 +131,28 @@ def match_terms(terms: DataFrame, index: Index, small: bool = True) -> DataFrame
     return postings.join(salted, [*keys, "_salt"]).drop("_salt")
 
 
-def score_documents(matches: DataFrame, lossy_norms: bool = False) -> DataFrame:
+def score_documents(matches: DataFrame, langs, lossy_norms: bool = False) -> DataFrame:
     """``(qid, lang, id, dup_no, copies, score)``: matching documents of each query.
 
     Scores are rounded before anything is ordered by them, so that the order in
-    which floating-point terms are added cannot change a list.
+    which floating-point terms are added cannot change a list. A query has one
+    language; as a number it is aggregated along and need not be a key.
     """
-    part = F.col("qtf") * bm25(F.col("tf"), F.col("dl"), F.col("avgdl"), F.col("n_docs"),
-                               F.col("df"), lossy_norms)
+    langs = F.array(*[F.lit(lang) for lang in langs])
+    part = F.col("weight") * tf_norm(F.col("tf"), F.col("dl"), F.col("avgdl"), lossy_norms)
+    in_title = F.col("field") == "title"
     scored = matches.select(
-        "qid", "lang", "id", "dup_no", "copies", "both", "field", part.alias("part"),
-    ).groupBy("qid", "lang", "id", "dup_no", "copies", "both").agg(
-        F.round(F.sum("part"), 6).alias("score"),
-        F.max(F.col("field") == "title").alias("in_title"),
-        F.max(F.col("field") == "text").alias("in_text"),
+        "qid", "id", "dup_no", "copies", "both", part.alias("part"),
+        in_title.alias("in_title"), (~in_title).alias("in_text"),
+        F.array_position(langs, F.col("lang")).alias("lang_no"),
+    ).groupBy("qid", "id", "dup_no").agg(
+        F.round(F.sum("part"), 6).alias("score"), F.max("copies").alias("copies"),
+        F.max("lang_no").alias("lang_no"), F.max("both").alias("both"),
+        F.max("in_title").alias("in_title"), F.max("in_text").alias("in_text"),
     )
     return scored.where(~F.col("both") | (F.col("in_title") & F.col("in_text"))).select(
-        "qid", "lang", "id", "dup_no", "copies", "score")
+        "qid", F.element_at(langs, F.col("lang_no").cast("int")).alias("lang"),
+        "id", "dup_no", "copies", "score")
 
 
 def top_k(scored: DataFrame, k: int = TOP) -> DataFrame:
@@ -184,7 +191,7 @@ def score_queries(queries: DataFrame, index: Index, lossy_norms: bool = False,
         small = is_small(queries)
     valid, _ = validate_queries(queries, list(index.analyzers))
     terms = query_terms(decode_queries(valid), index)
-    return score_documents(match_terms(terms, index, small), lossy_norms)
+    return score_documents(match_terms(terms, index, small), list(index.analyzers), lossy_norms)
 
 
 def search_batch(queries: DataFrame, index: Index, k: int = TOP, lossy_norms: bool = False,

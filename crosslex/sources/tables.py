@@ -2,7 +2,7 @@
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from crosslex import schemas
@@ -91,9 +91,21 @@ def read_articles(spark: SparkSession, paths: dict) -> DataFrame:
     return reduce(DataFrame.unionByName, articles)
 
 
-def write_documents(documents: DataFrame, path: str) -> None:
-    """``id, title, text`` JSON Lines, one folder per language; null fields are left out."""
-    documents.select("lang", "id", "title", "text").write.partitionBy("lang").json(path)
+def write_documents(documents: DataFrame, path: str, langs=()) -> dict:
+    """``id, title, text`` JSON Lines, one folder per language; null fields are left out.
+
+    Returns the number of documents per language of ``langs``, counted while they
+    are written and not in a second pass.
+    """
+    rows = documents.select("lang", "id", "title", "text")
+    if not langs:
+        rows.write.partitionBy("lang").json(path)
+        return {}
+    counts = Observation("documents")
+    rows.observe(counts, *[
+        F.count_if(F.col("lang") == lang).alias(lang) for lang in langs
+    ]).write.partitionBy("lang").json(path)
+    return counts.get
 
 
 def read_documents(spark: SparkSession, path: str) -> DataFrame:
