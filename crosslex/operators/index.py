@@ -151,26 +151,33 @@ def write_index(documents: DataFrame, path: str, analyzers=ANALYZERS, buckets: i
     """
     spark = documents.sparkSession
     built = build_index(documents, analyzers, buckets, unique_ids)
-    built.docs.hint("rebalance", "lang", "bucket").sortWithinPartitions(
-        "lang", "bucket", number("id")
-    ).write.mode("overwrite").partitionBy("lang", "bucket").parquet(f"{path}/docs")
+    _write(built.docs, f"{path}/docs", ["lang", "bucket"], number("id"))
 
     docs = spark.read.schema(built.docs.schema).parquet(f"{path}/docs")
-    order = ["lang", "field", "term_bucket", "term"]
-    build_postings(docs, analyzers).withColumn(
-        "term_bucket", bucket(F.col("term"), buckets)
-    ).hint("rebalance", "lang", "field", "term_bucket").sortWithinPartitions(*order).write.mode(
-        "overwrite").partitionBy("lang", "field", "term_bucket").parquet(f"{path}/postings")
-
-    postings = spark.read.schema(built.postings.schema).parquet(f"{path}/postings")
-    _term_stats(postings, buckets).hint(
-        "rebalance", "lang", "field", "term_bucket"
-    ).sortWithinPartitions("lang", "field", "term_bucket", "term").write.mode("overwrite").partitionBy("lang", "field", "term_bucket").parquet(
-        f"{path}/term_stats")
-    field_stats(postings).write.mode("overwrite").parquet(f"{path}/field_stats")
+    postings = build_postings(docs, analyzers).withColumn(
+        "term_bucket", bucket(F.col("term"), buckets))
+    folders = ["lang", "field", "term_bucket"]
+    _write(postings, f"{path}/postings", folders, F.col("term"))
+
+    written = spark.read.schema(postings.schema).parquet(f"{path}/postings")
+    _write(_term_stats(written, buckets), f"{path}/term_stats", folders, F.col("term"))
+    field_stats(written).write.mode("overwrite").parquet(f"{path}/field_stats")
     return read_index(spark, path, analyzers, buckets)
 
 
+def _write(df: DataFrame, path: str, folders: list[str], order: Column) -> None:
+    """Write sorted files into folders, even in size.
+
+    Text folders are declared not null: the writer would otherwise replace empty
+    values in them, and then sort everything once more.
+    """
+    for name, kind in df.dtypes:
+        if name in folders and kind == "string":
+            df = df.withColumn(name, F.coalesce(name, F.lit("")))
+    df.hint("rebalance", *folders).sortWithinPartitions(*folders, order).write.mode(
+        "overwrite").partitionBy(*folders).parquet(path)
+
+
 DOCS = ("id string, dup_no int, copies long, title string, text string, "
         "lang string, bucket int")
 POSTINGS = ("term string, id string, dup_no int, copies long, tf int, dl int, first boolean, "
