@@ -7,7 +7,7 @@ groups of a query are combined as required, optional or excluded.
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from crosslex.functions.analysis import analyzer_for
@@ -47,6 +47,8 @@ class Clause:
     def __post_init__(self):
         if self.kind not in KINDS or self.occur not in OCCURS:
             raise ValueError(f"unknown clause {self.kind!r} / {self.occur!r}")
+        if self.kind == "range" and self.upper is None:
+            raise ValueError("a range needs an upper end")
         if self.kind == "wildcard" and self.value[:1] in ("*", "?"):
             raise ValueError("a wildcard may not lead")
         if self.kind == "fuzzy" and not 0 <= self.edits <= MAX_EDITS:
@@ -258,10 +260,10 @@ def fuzzy_terms(index, lang, c: Clause) -> DataFrame:
 
 def _match_fuzzy(index, lang, c: Clause) -> DataFrame:
     """The near terms score as one blended term, each by its similarity."""
-    near = fuzzy_terms(index, lang, c)
-    blended = near.groupBy("lang", "field").agg(F.max("df").alias("df"))
+    # The window sees the bounded list of near terms only.
+    blended = F.max("df").over(Window.partitionBy("lang", "field"))
     keys = ["lang", "field", "term_bucket", "term"]
-    weighted = near.drop("df").join(F.broadcast(blended), ["lang", "field"]).join(
+    weighted = fuzzy_terms(index, lang, c).withColumn("df", blended).join(
         _stats(index), ["lang", "field"])
     hits = _postings(index, lang, c.field).join(F.broadcast(weighted), keys)
     part = F.col("weight") * search.bm25(

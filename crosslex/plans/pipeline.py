@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from crosslex.functions.analysis import ANALYZERS
 from crosslex.operators import corpus, index, links, results
-from crosslex.sources import tables
+from crosslex.sources import tables, workspace
 
 #: The languages of the original corpus, pivot first.
 LANGS = ["sk", "cs", "hu"]
@@ -35,8 +35,12 @@ def join_pairs(spark: SparkSession, pairs: str, path: str, langs=LANGS) -> None:
 
 def create_documents(spark: SparkSession, articles: dict, triples: str, path: str,
                      langs=LANGS) -> dict:
-    """Articles of the complete tuples, as JSON Lines; returns how many per language."""
-    corpora = tables.read_articles(spark, articles)
+    """Articles of the complete tuples, as JSON Lines; returns how many per language.
+
+    The articles are landed as Parquet first: their ids are read once per language
+    and their texts once, and JSON would be parsed in full each time.
+    """
+    corpora = workspace.settle(tables.read_articles(spark, articles), "articles", "lang")
     tuples = tables.read_triples(spark, triples, langs)
     complete = corpus.complete_triples(tuples, corpora, langs)
     return tables.write_documents(

@@ -248,7 +248,7 @@ def test_boost(words):
 
 def test_bad_clauses():
     for bad in (dict(kind="wildcard", value="*a"), dict(kind="fuzzy", value="a", edits=3),
-                dict(kind="other", value="a")):
+                dict(kind="other", value="a"), dict(kind="range", value="a")):
         with pytest.raises(ValueError):
             Clause("text", **bad)
 
