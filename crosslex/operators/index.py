@@ -162,7 +162,9 @@ def write_index(documents: DataFrame, path: str, analyzers=ANALYZERS, buckets: i
     written = spark.read.schema(postings.schema).parquet(f"{path}/postings")
     _write(_term_stats(written, buckets), f"{path}/term_stats", folders, F.col("term"))
     field_stats(written).write.mode("overwrite").parquet(f"{path}/field_stats")
-    return read_index(spark, path, analyzers, buckets)
+    spark.range(1).select(F.lit(buckets).alias("buckets")).write.mode("overwrite").parquet(
+        f"{path}/layout")
+    return read_index(spark, path, analyzers)
 
 
 def _write(df: DataFrame, path: str, folders: list[str], order: Column) -> None:
@@ -186,11 +188,12 @@ TERM_STATS = "term string, df long, ttf long, lang string, field string, term_bu
 FIELD_STATS = "lang string, field string, n_docs long, sum_dl long, avgdl double"
 
 
-def read_index(spark: SparkSession, path: str, analyzers=ANALYZERS, buckets: int = 8) -> Index:
-    """Open a written index. ``analyzers`` and ``buckets`` as when it was written."""
+def read_index(spark: SparkSession, path: str, analyzers=ANALYZERS) -> Index:
+    """Open a written index. ``analyzers`` as when it was written."""
     def table(name, schema):
         return spark.read.schema(schema).parquet(f"{path}/{name}")
 
+    buckets = table("layout", "buckets int").first()["buckets"]
     return Index(table("docs", DOCS), table("postings", POSTINGS),
                  table("term_stats", TERM_STATS), table("field_stats", FIELD_STATS),
                  buckets, analyzers)

@@ -28,7 +28,7 @@ PLAIN_ANALYZERS = {lang: PLAIN for lang in ALL_LANGS}
 
 #: Folders per language and field of the indexes. For data of this size; on a
 #: cluster so many that a folder of documents is about a gigabyte.
-BUCKETS = 4
+BUCKETS = 8
 
 #: Links come from blocks of this many neighbouring ids.
 LINK_BLOCK = 16

@@ -60,11 +60,11 @@ def map_ids(spark: SparkSession, triples: str, path: str, langs=LANGS) -> None:
 
 
 def search(spark: SparkSession, queries: DataFrame, index_path: str, id_map: str,
-           langs=LANGS, analyzers=ANALYZERS, buckets: int = 8) -> DataFrame:
+           langs=LANGS, analyzers=ANALYZERS) -> DataFrame:
     """Hits and translations of ``queries(qid, q)`` with ``lang:at:qtext``.
 
     Give the rows to ``results.to_lines`` for lines or ``results.write_json`` for JSON.
     """
-    opened = index.read_index(spark, index_path, analyzers, buckets)
+    opened = index.read_index(spark, index_path, analyzers)
     return results.cross_search(
         queries, opened, tables.read_id_map(spark, id_map, langs), langs)

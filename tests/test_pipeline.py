@@ -59,7 +59,7 @@ def test_equal_counts(built):
 def ask(spark, built, q):
     root, _ = built
     found = pipeline.search(spark, search.query_table(spark, [(1, q)]), f"{root}/index",
-                            f"{root}/maps", buckets=2)
+                            f"{root}/maps")
     return [r["line"] for r in results.to_lines(found).orderBy("rank", "pos").collect()]
 
 
@@ -87,7 +87,7 @@ def test_stop_words_find_nothing(spark, built):
 def test_result_file(spark, built, tmp_path):
     root, _ = built
     found = pipeline.search(spark, search.query_table(spark, [(7, "hu:T:test")]),
-                            f"{root}/index", f"{root}/maps", buckets=2)
+                            f"{root}/index", f"{root}/maps")
     for _ in range(2):
         results.write_json(found, str(tmp_path / "out"))
     [row] = spark.read.json(str(tmp_path / "out")).collect()
