@@ -1,6 +1,7 @@
 """What several operators share: rows of a text table as Arrow slices, a bounded memo."""
 
 from collections.abc import Callable, Iterator
+from functools import wraps
 from typing import Any
 
 import pyarrow as pa
@@ -39,6 +40,22 @@ def text_of(column: str) -> Column:
     return F.coalesce(F.col(column), F.lit(""))
 
 
+def held(make: Callable[[Any], Any]) -> Callable[[Any], Any]:
+    """Keep what was made of the last argument for the later tasks of a Python worker.
+
+    The argument is the value of a broadcast, the same object in all tasks of a worker.
+    """
+    last: list[Any] = []
+
+    @wraps(make)
+    def get(value: Any) -> Any:
+        if not last or last[0] is not value:
+            last[:] = [value, make(value)]
+        return last[1]
+
+    return get
+
+
 class Memo(dict):
     """Results by key, for at most twice ``limit`` keys: those used lately stay.
 

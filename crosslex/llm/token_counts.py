@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 from crosslex.llm import pieces as P
-from crosslex.llm.common import picked, slices, text_of, with_columns
+from crosslex.llm.common import held, picked, slices, text_of, with_columns
 
 
 def count_merged(part: str, ranks: dict[str, float]) -> int:
@@ -66,7 +66,9 @@ class Counter:
         return sum(self.parts.of(text))
 
 
-_COUNTERS: dict[int, Counter] = {}
+@held
+def _counter(pieces: P.Pieces) -> Counter:
+    return Counter(pieces)
 
 
 def token_counts(docs: DataFrame, model: str, limit: int = 4096, id_col: str = "doc_id",
@@ -81,11 +83,7 @@ def token_counts(docs: DataFrame, model: str, limit: int = 4096, id_col: str = "
     shared = spark.sparkContext.broadcast(P.load(model))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key = id(shared.value)
-        if key not in _COUNTERS:
-            _COUNTERS.clear()
-            _COUNTERS[key] = Counter(shared.value)
-        counter = _COUNTERS[key]
+        counter = _counter(shared.value)
         for part in slices(batches):
             texts = part.column("text").to_pylist()
             counts = [counter.count(text) for text in texts]
