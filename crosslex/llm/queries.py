@@ -5,7 +5,8 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from crosslex.llm import licenses, sharding, token_counts
+from crosslex.llm import decontamination, licenses, sharding, token_counts, token_files
+from crosslex.sources import workspace
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -14,10 +15,22 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.contamination_report(
+        _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"), window=10)
+
+
 def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.license_report(_table(spark, sf_dir, "documents")).drop("detections")
 
 
+def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    files = token_files.write_ids(
+        _table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"),
+        workspace.new_path(spark, "ids"), end_id=1)
+    return token_files.read_ids(spark, files)
+
+
 def op6_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_by_bytes(_table(spark, sf_dir, "documents"), shards=24)
 
@@ -29,7 +42,7 @@ def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
-    f.__name__: f for f in (op2_license_scan, op6_shards, op7_token_counts)
+    f.__name__: f for f in (op1_decontamination, op2_license_scan, op4_token_files, op6_shards, op7_token_counts)
 }
 
 SQL: dict[str, str] = {}
