@@ -5,7 +5,15 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from crosslex.llm import decontamination, licenses, sharding, token_counts, token_files
+from crosslex.llm import (
+    decontamination,
+    language_id,
+    licenses,
+    sharding,
+    token_counts,
+    token_files,
+    unigram,
+)
 from crosslex.sources import workspace
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -24,6 +32,11 @@ def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.license_report(_table(spark, sf_dir, "documents")).drop("detections")
 
 
+def op3_sentencepieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return unigram.encode(
+        _table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
 def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     files = token_files.write_ids(
         _table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"),
@@ -31,6 +44,10 @@ def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read_ids(spark, files)
 
 
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.language_report(_table(spark, sf_dir, "documents"))
+
+
 def op6_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_by_bytes(_table(spark, sf_dir, "documents"), shards=24)
 
@@ -42,7 +59,9 @@ def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
-    f.__name__: f for f in (op1_decontamination, op2_license_scan, op4_token_files, op6_shards, op7_token_counts)
+    f.__name__: f for f in (
+        op1_decontamination, op2_license_scan, op3_sentencepieces, op4_token_files,
+        op5_language_id, op6_shards, op7_token_counts)
 }
 
 SQL: dict[str, str] = {}
