@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from crosslex.llm import (
     decontamination,
+    jaccard,
     language_id,
     licenses,
     sharding,
@@ -58,10 +59,14 @@ def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
         limit=4096)
 
 
+def op9_parity_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.linked(_table(spark, sf_dir, "documents"), words=3, percent=90)
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f for f in (
         op1_decontamination, op2_license_scan, op3_sentencepieces, op4_token_files,
-        op5_language_id, op6_shards, op7_token_counts)
+        op5_language_id, op6_shards, op7_token_counts, op9_parity_join)
 }
 
 SQL: dict[str, str] = {}
