@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from crosslex.llm import (
     decontamination,
+    embeddings,
     jaccard,
     language_id,
     licenses,
@@ -63,10 +64,15 @@ def op9_parity_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.linked(_table(spark, sf_dir, "documents"), words=3, percent=90)
 
 
+def op10_vector_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embeddings.near_vectors(_table(spark, sf_dir, "embeddings"), cosine=0.95)
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f for f in (
         op1_decontamination, op2_license_scan, op3_sentencepieces, op4_token_files,
-        op5_language_id, op6_shards, op7_token_counts, op9_parity_join)
+        op5_language_id, op6_shards, op7_token_counts, op9_parity_join,
+        op10_vector_links)
 }
 
 SQL: dict[str, str] = {}
