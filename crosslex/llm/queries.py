@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from crosslex.llm import (
     decontamination,
     embeddings,
+    html_extract,
     jaccard,
     language_id,
     licenses,
@@ -60,6 +61,10 @@ def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
         limit=4096)
 
 
+def op8_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.extract(_table(spark, sf_dir, "pages"))
+
+
 def op9_parity_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.linked(_table(spark, sf_dir, "documents"), words=3, percent=90)
 
@@ -71,8 +76,8 @@ def op10_vector_links(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     f.__name__: f for f in (
         op1_decontamination, op2_license_scan, op3_sentencepieces, op4_token_files,
-        op5_language_id, op6_shards, op7_token_counts, op9_parity_join,
-        op10_vector_links)
+        op5_language_id, op6_shards, op7_token_counts, op8_html_text,
+        op9_parity_join, op10_vector_links)
 }
 
 SQL: dict[str, str] = {}
