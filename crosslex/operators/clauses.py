@@ -7,18 +7,17 @@ groups of a query are combined as required, optional or excluded.
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from crosslex.functions.analysis import analyzer_for
 from crosslex.operators import search
 from crosslex.operators.index import Index, bucket
 
-# Kinds of clause, ways to combine groups, limits of fuzzy clauses.
+# Kinds of clause, ways to combine groups, most edits of fuzzy clauses.
 KINDS = ["term", "phrase", "prefix", "wildcard", "fuzzy", "range", "regex"]
 OCCURS = ["must", "should", "must_not"]
 MAX_EDITS = 2
-MAX_EXPANSIONS = 50
 
 DOC = ["lang", "id", "dup_no", "copies"]
 
@@ -28,9 +27,10 @@ class Clause:
     """One condition.
 
     ``value`` is words for ``term`` (any may match) and ``phrase`` (in sequence,
-    up to ``slop`` moves apart for two words), a pattern for ``prefix``, ``wildcard``
-    and ``regex``, a word for ``fuzzy`` (within ``edits``), and the lower end of a
-    ``range`` up to ``upper``.
+    up to ``slop`` moves apart for different words), a pattern for ``prefix``, ``wildcard``
+    and ``regex``, a word for ``fuzzy`` (within ``edits``; all near terms, or the
+    ``expansions`` nearest if asked for), and the lower end of a ``range`` up to
+    ``upper``.
     """
 
     field: str
@@ -43,6 +43,7 @@ class Clause:
     inclusive: bool = True
     slop: int = 0
     edits: int = MAX_EDITS
+    expansions: int | None = None
 
     def __post_init__(self):
         if self.kind not in KINDS or self.occur not in OCCURS:
@@ -99,7 +100,7 @@ def _constant(matches: DataFrame) -> DataFrame:
 
 # --- clause kinds ------------------------------------------------------------
 
-def _match_term(index, lang, c: Clause) -> DataFrame:
+def _match_term(index, lang, c: Clause, lossy: bool) -> DataFrame:
     words = [t for t, _ in analyzed(index, lang, c.value)]
     counts = {t: words.count(t) for t in words}
     if not counts:
@@ -108,19 +109,22 @@ def _match_term(index, lang, c: Clause) -> DataFrame:
     hits = _of_terms(index, lang, c.field, counts).join(
         F.broadcast(_term_weights(index, lang, c.field, counts)), "term")
     part = F.element_at(qtf, F.col("term")) * search.bm25(
-        F.col("tf"), F.col("dl"), F.col("avgdl"), F.col("n_docs"), F.col("df"))
+        F.col("tf"), F.col("dl"), F.col("avgdl"), F.col("n_docs"), F.col("df"), lossy)
     return hits.groupBy(*DOC).agg(F.sum(part).alias("score"))
 
 
-def phrase_positions(index, lang, c: Clause, terms) -> DataFrame:
-    """Per document one position array per distinct term, where all terms occur."""
-    columns = [
-        F.max(F.when(F.col("term") == t, F.col("positions"))).alias(f"p{i}")
-        for i, t in enumerate(terms)
-    ]
-    docs = _of_terms(index, lang, c.field, terms).groupBy(*DOC, "dl").agg(*columns)
-    return docs.where(reduce(Column.__and__, [
-        F.col(f"p{i}").isNotNull() for i in range(len(terms))]))
+def phrase_positions(index, lang, c: Clause, terms, rarest_first) -> DataFrame:
+    """Per document one position array per distinct term, where all terms occur.
+
+    Starts from the documents of the rarest term; the positions of a frequent one are
+    then looked up for these only.
+    """
+    def places(term):
+        return _of_terms(index, lang, c.field, [term]).select(
+            *DOC, "dl", F.col("positions").alias(f"p{terms.index(term)}"))
+
+    first, *others = rarest_first
+    return reduce(lambda docs, term: docs.join(places(term).drop("dl"), DOC), others, places(first))
 
 
 def phrase_frequency(tokens, terms) -> Column:
@@ -132,60 +136,74 @@ def phrase_frequency(tokens, terms) -> Column:
     return F.size(reduce(F.array_intersect, shifted)).cast("double")
 
 
-def sloppy_frequency(slop: int, offset: int = 1) -> Column:
-    """Weighted matches of two words up to ``slop`` moves apart, in either order.
+def sloppy_frequency(slop: int, offsets=(0, 1)) -> Column:
+    """Weighted matches of different words up to ``slop`` moves apart, in any order.
 
-    On the merged positions, shifted as if the words were in sequence, every change
-    from one word to the other is a match that counts 1 / (1 + distance).
+    ``offsets`` are the words' places in the phrase. On the merged positions, shifted as if
+    the words were in sequence, a place counts if the next one is another word's and every
+    other word still follows. The match reaches to the farthest of their next places, and
+    counts 1 / (1 + that distance) if it is at most ``slop``.
     """
-    def tagged(name, shift, which):
-        return F.transform(F.col(name), lambda p: F.struct(
-            (p - shift).alias("at"), F.lit(which).alias("which")))
-
-    merged = F.sort_array(F.concat(tagged("p0", 0, 0), tagged("p1", offset, 1)))
-    neighbours = F.arrays_zip(
-        F.slice(merged, 1, F.size(merged) - 1).alias("a"),
-        F.slice(merged, 2, F.size(merged) - 1).alias("b"))
-
-    def weight(total, n):
-        gap = n["b"]["at"] - n["a"]["at"]
-        change = (n["a"]["which"] != n["b"]["which"]) & (gap <= slop)
-        return total + F.when(change, 1.0 / (1.0 + gap)).otherwise(0.0)
-
-    return F.aggregate(neighbours, F.lit(0.0), weight)
-
-
-def _match_phrase(index, lang, c: Clause) -> DataFrame:
+    def tagged(which, offset):
+        return F.transform(F.col(f"p{which}"), lambda p: F.struct(
+            (p - offset).alias("at"), F.lit(which).alias("which")))
+
+    size = len(offsets)
+    merged = F.sort_array(F.concat(*[tagged(i, o) for i, o in enumerate(offsets)]), asc=False)
+    nothing = F.lit(None).cast("int")
+    begin = F.struct(F.lit(0.0).alias("sum"), F.lit(-1).alias("last"),
+                     F.array(*[nothing] * size).alias("next"))
+
+    def step(acc, place):
+        # Backwards, so that the next places of all words are known.
+        others = F.filter(acc["next"], lambda at, i: i != place["which"])
+        reach = F.array_max(others) - place["at"]
+        counts = ((place["which"] != acc["last"]) & ~F.exists(others, lambda at: at.isNull())
+                  & (reach <= slop))
+        return F.struct(
+            (acc["sum"] + F.when(counts, 1.0 / (1.0 + reach)).otherwise(0.0)).alias("sum"),
+            place["which"].alias("last"),
+            F.transform(acc["next"], lambda at, i: F.when(
+                i == place["which"], place["at"]).otherwise(at)).alias("next"))
+
+    return F.aggregate(merged, begin, step, lambda acc: acc["sum"])
+
+
+def _match_phrase(index, lang, c: Clause, lossy: bool) -> DataFrame:
     tokens = analyzed(index, lang, c.value)
     terms = sorted({t for t, _ in tokens}, key=[t for t, _ in tokens].index)
     if not terms:
         return _nothing(index)
-    if c.slop and len(tokens) == 2 and len(terms) == 2:
-        frequency = sloppy_frequency(c.slop, tokens[1][1] - tokens[0][1])
-    elif c.slop:
-        raise ValueError("slop is for two different words")
-    else:
+    if not c.slop:
         frequency = phrase_frequency(tokens, terms)
+    elif len(terms) == 1 and len(tokens) == 1:
+        frequency = F.size("p0").cast("double")
+    elif len(tokens) == len(terms):
+        frequency = sloppy_frequency(c.slop, [pos - tokens[0][1] for _, pos in tokens])
+    else:
+        raise ValueError("slop is for phrases without repeated words")
     weights = _term_weights(index, lang, c.field, terms)
+    known = {r["term"]: r["df"] for r in weights.select("term", "df").collect()}
+    if len(known) < len(terms):
+        return _nothing(index)
     counts = F.create_map(*[F.lit(x) for t in terms
                             for x in (t, [w for w, _ in tokens].count(t))])
-    # One row: the weight of the phrase is that of all its words together.
-    total = F.broadcast(weights.select(
-        F.lit(lang).alias("lang"),
-        (F.element_at(counts, F.col("term"))
-         * search.idf(F.col("n_docs"), F.col("df"))).alias("w"), "avgdl",
-    ).groupBy("lang").agg(F.sum("w").alias("w"), F.max("avgdl").alias("avgdl")))
-    docs = phrase_positions(index, lang, c, terms).withColumn("freq", frequency)
-    score = F.col("w") * search.tf_norm(F.col("freq"), F.col("dl"), F.col("avgdl"))
-    return docs.where(F.col("freq") > 0).join(total, "lang").select(*DOC, score.alias("score"))
-
-
-def _match_prefix(index, lang, c: Clause) -> DataFrame:
+    # The weight of the phrase is that of all its words together.
+    weight = weights.select(F.sum(F.element_at(counts, F.col("term")) * search.idf(
+        F.col("n_docs"), F.col("df")))).scalar()
+    mean = weights.select(F.max("avgdl")).scalar()
+    docs = phrase_positions(index, lang, c, terms, sorted(terms, key=lambda t: (known[t], t)))
+    score = weight * search.tf_norm(F.col("freq"), F.col("dl"), mean, lossy)
+    return docs.withColumn("freq", frequency).where(F.col("freq") > 0).select(
+        *DOC, score.alias("score"))
+
+
+def _match_prefix(index, lang, c: Clause, lossy: bool) -> DataFrame:
     return _constant(_postings(index, lang, c.field).where(
         F.col("term").startswith(c.value.lower())))
 
 
-def _match_range(index, lang, c: Clause) -> DataFrame:
+def _match_range(index, lang, c: Clause, lossy: bool) -> DataFrame:
     term = F.col("term")
     if c.inclusive:
         test = (term >= c.value.lower()) & (term <= c.upper.lower())
@@ -207,11 +225,11 @@ def wildcard_pattern(value: str) -> str:
     return escaped.replace("?", "_").replace("*", "%")
 
 
-def _match_wildcard(index, lang, c: Clause) -> DataFrame:
+def _match_wildcard(index, lang, c: Clause, lossy: bool) -> DataFrame:
     return _by_vocabulary(index, lang, c, F.col("term").like(wildcard_pattern(c.value.lower())))
 
 
-def _match_regex(index, lang, c: Clause) -> DataFrame:
+def _match_regex(index, lang, c: Clause, lossy: bool) -> DataFrame:
     return _by_vocabulary(index, lang, c, F.col("term").rlike(f"^(?:{c.value})$"))
 
 
@@ -247,27 +265,30 @@ def edit_distance(term: Column, word: str, most: int = MAX_EDITS) -> Column:
 
 
 def fuzzy_terms(index, lang, c: Clause) -> DataFrame:
-    """The ``MAX_EXPANSIONS`` most similar terms with their weight; a bounded list."""
+    """All near terms with their weight, or the most similar ``expansions`` of them."""
     word = c.value.lower()
     shorter = F.least(F.length("term"), F.lit(len(word)))
-    near = _vocabulary(index, lang, c.field).withColumn(
+    # An edit changes the length by one at most; the distance is worked out for these only.
+    near = _vocabulary(index, lang, c.field).where(
+        F.abs(F.length("term") - len(word)) <= c.edits).withColumn(
         "edits", edit_distance(F.col("term"), word, c.edits)).where(F.col("edits").isNotNull())
     weight = F.when(F.col("edits") == 0, 1.0).otherwise(1.0 - F.col("edits") / shorter)
-    return near.withColumn("weight", weight).where(F.col("weight") > 0).orderBy(
-        F.desc("weight"), "term").limit(MAX_EXPANSIONS).select(
-        "lang", "field", "term_bucket", "term", "df", "weight")
+    found = near.withColumn("weight", weight).where(F.col("weight") > 0)
+    if c.expansions is not None:
+        found = found.orderBy(F.desc("weight"), "term").limit(c.expansions)
+    return found.select("lang", "field", "term_bucket", "term", "df", "weight")
 
 
-def _match_fuzzy(index, lang, c: Clause) -> DataFrame:
+def _match_fuzzy(index, lang, c: Clause, lossy: bool) -> DataFrame:
     """The near terms score as one blended term, each by its similarity."""
-    # The window sees the bounded list of near terms only.
-    blended = F.max("df").over(Window.partitionBy("lang", "field"))
+    near = fuzzy_terms(index, lang, c)
+    blended = near.groupBy("lang", "field").agg(F.max("df").alias("df"))
     keys = ["lang", "field", "term_bucket", "term"]
-    weighted = fuzzy_terms(index, lang, c).withColumn("df", blended).join(
+    weighted = near.drop("df").join(blended, ["lang", "field"]).join(
         _stats(index), ["lang", "field"])
-    hits = _postings(index, lang, c.field).join(F.broadcast(weighted), keys)
+    hits = _postings(index, lang, c.field).join(weighted, keys)
     part = F.col("weight") * search.bm25(
-        F.col("tf"), F.col("dl"), F.col("avgdl"), F.col("n_docs"), F.col("df"))
+        F.col("tf"), F.col("dl"), F.col("avgdl"), F.col("n_docs"), F.col("df"), lossy)
     return hits.groupBy(*DOC).agg(F.sum(part).alias("score"))
 
 
@@ -284,7 +305,8 @@ MATCH = {
 
 # --- combination -------------------------------------------------------------
 
-def score_clauses(index: Index, lang: str, clauses: list[Clause]) -> DataFrame:
+def score_clauses(index: Index, lang: str, clauses: list[Clause],
+                  lossy_norms: bool = True) -> DataFrame:
     """``(qid, lang, id, dup_no, copies, score)`` of the documents that match.
 
     A clause without a group is a group of its own. Every required group must
@@ -294,7 +316,7 @@ def score_clauses(index: Index, lang: str, clauses: list[Clause]) -> DataFrame:
     parts, must, excluded = [], set(), []
     for i, c in enumerate(clauses):
         group = f"clause {i}" if c.group is None else f"group {c.group}"
-        matched = MATCH[c.kind](index, lang, c)
+        matched = MATCH[c.kind](index, lang, c, lossy_norms)
         if c.occur == "must_not":
             excluded.append(matched.select("lang", "id", "dup_no"))
             continue
@@ -319,6 +341,6 @@ def _as_hits(scored: DataFrame) -> DataFrame:
 
 
 def search_clauses(index: Index, lang: str, clauses: list[Clause],
-                   k: int = search.TOP) -> DataFrame:
+                   k: int = search.TOP, lossy_norms: bool = True) -> DataFrame:
     """The ``k`` best documents of a structured query."""
-    return search.top_k(score_clauses(index, lang, clauses), k)
+    return search.top_k(score_clauses(index, lang, clauses, lossy_norms), k)

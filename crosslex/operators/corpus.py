@@ -95,9 +95,6 @@ WIKI_MARKUP = [
     (r"(?is)<ref[^>/]*/>", ""),
     (r"(?is)<ref[^>]*>.*?</ref>", ""),
     (r"(?is)<(math|gallery|timeline)[^>]*>.*?</\1>", ""),
-    (r"(?s)\{\{[^{}]*\}\}", ""),
-    (r"(?s)\{\{[^{}]*\}\}", ""),
-    (r"(?s)\{\{[^{}]*\}\}", ""),
     (r"(?s)\{\|.*?\|\}", ""),
     (r"\[\[[^\[\]|:]*:(?=\S)[^\[\]|]*\|[^\[\]]*(?:\[\[[^\[\]]*\]\][^\[\]]*)*\]\]", ""),
     (r"\[\[[^\[\]|:]+:(?=\S)[^\[\]]*\]\]", ""),
@@ -118,9 +115,36 @@ def decode_entities(text: Column) -> Column:
     return reduce(lambda c, pair: F.replace(c, F.lit(pair[0]), F.lit(pair[1])), ENTITIES, text)
 
 
+def without_templates(text: Column) -> Column:
+    """Text outside double braces, however deeply they are nested.
+
+    The text is cut into pairs of braces and what is between; a piece is outside if as
+    many were closed as opened. A closing pair too many is text, an opening pair too many
+    hides nothing.
+    """
+    pieces = F.regexp_extract_all(text, F.lit(r"\{\{|\}\}|[^{}]+|[{}]"), F.lit(0))
+    begin = F.struct(F.lit("").alias("out"), F.lit("").alias("held"), F.lit(0).alias("depth"))
+
+    def step(acc: Column, piece: Column) -> Column:
+        opened = (piece == "{{").cast("int")
+        closed = (piece == "}}").cast("int")
+        inside = acc["depth"] + opened
+        after = F.greatest(inside - closed, F.lit(0))
+        held = F.concat(acc["held"], piece)
+        # Held back while a template is open, dropped when it ends.
+        return F.struct(
+            F.when(inside == 0, F.concat(acc["out"], piece)).otherwise(acc["out"]).alias("out"),
+            F.when((inside == 0) | (after == 0), F.lit("")).otherwise(held).alias("held"),
+            after.alias("depth"))
+
+    return F.aggregate(pieces, begin, step, lambda acc: F.concat(acc["out"], acc["held"]))
+
+
 def strip_wiki(text: Column) -> Column:
     """Text of a wiki page; templates are dropped, not expanded."""
-    plain = reduce(lambda c, rule: F.regexp_replace(c, *rule), WIKI_MARKUP, text)
+    hidden, rest = WIKI_MARKUP[:4], WIKI_MARKUP[4:]
+    visible = reduce(lambda c, rule: F.regexp_replace(c, *rule), hidden, text)
+    plain = reduce(lambda c, rule: F.regexp_replace(c, *rule), rest, without_templates(visible))
     return F.trim(decode_entities(plain))
 
 

@@ -43,14 +43,17 @@ def bucket(key: Column, buckets: int) -> Column:
 def collapse_copies(documents: DataFrame) -> DataFrame:
     """Documents once each, with ``copies`` and ``dup_no``; nulls become empty.
 
-    Copies are counted before any shuffle. What is then numbered per id are only
-    the different versions of it.
+    Texts move once, to the others of their id: there copies are counted, by a digest of
+    the content, and the different versions of an id numbered.
     """
     copies = F.col("copies") if "copies" in documents.columns else F.lit(1)
     once = documents.select(
         "lang", "id", F.coalesce("title", F.lit("")).alias("title"),
         F.coalesce("text", F.lit("")).alias("text"), copies.cast("long").alias("copies"),
-    ).groupBy("lang", "id", "title", "text").agg(F.sum("copies").alias("copies"))
+    ).withColumn("digest", F.sha2(F.concat_ws("\0", "title", "text").cast("binary"), 256)).repartition(
+        "lang", "id").groupBy("lang", "id", "digest").agg(
+        F.first("title").alias("title"), F.first("text").alias("text"),
+        F.sum("copies").alias("copies")).select("lang", "id", "title", "text", "copies")
     versions = Window.partitionBy("lang", "id").orderBy("title", "text")
     return once.withColumn("dup_no", (F.row_number().over(versions) - 1).cast("int"))
 

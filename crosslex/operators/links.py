@@ -56,7 +56,7 @@ def unresolved_links(links: DataFrame, pages: DataFrame, namespaces=None, **salt
         keys.where(F.col("title_key") != ""), known, ["lang", "title_key"],
         F.col("ll_from"), how="left_anti", **salting,
     ).withColumn("reason", F.lit("No page_id"))
-    empty = keys.where(F.col("title_key") == "").withColumn("reason", F.lit("Title missing"))
+    empty = keys.where(F.coalesce("title_key", F.lit("")) == "").withColumn("reason", F.lit("Title missing"))
     return missing.unionByName(empty).select("ll_from", "lang", "ll_title", "reason")
 
 

@@ -47,7 +47,7 @@ def expand_translations(hits: DataFrame, id_map: DataFrame, index: Index, langs,
 
 
 def cross_search(queries: DataFrame, index: Index, id_map: DataFrame, langs,
-                 k: int = ranked.TOP, lossy_norms: bool = False) -> DataFrame:
+                 k: int = ranked.TOP, lossy_norms: bool = True) -> DataFrame:
     """Search, top ``k``, translations: the whole of a cross-language query batch.
 
     The ranked hits are written before they are expanded. They are few, several

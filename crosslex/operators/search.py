@@ -54,6 +54,12 @@ def decode_queries(queries: DataFrame) -> DataFrame:
         "qid", parts[0].alias("lang"), parts[1].alias("at"), parts[2].alias("qtext"))
 
 
+def known_lang(lang: Column, langs) -> Column:
+    """A language in any case, as its lower-case code; null if unknown."""
+    lower = F.lower(lang)
+    return F.when(lower.isin(list(langs)), lower)
+
+
 def normalize_lang(lang: str, langs) -> str:
     """A language argument in any case, as its lower-case code."""
     if lang.lower() not in langs:
@@ -98,13 +104,14 @@ def lossy_length(dl: Column) -> Column:
     return F.when(dl < 40, dl.cast("double")).otherwise(24 + F.floor(above / unit) * unit)
 
 
-def tf_norm(tf: Column, dl: Column, avgdl: Column, lossy_norms: bool = False) -> Column:
+def tf_norm(tf: Column, dl: Column, avgdl: Column, lossy_norms: bool = True) -> Column:
+    """Weight of a frequency; lengths are those of one-byte norms unless told otherwise."""
     length = lossy_length(dl) if lossy_norms else dl
     return tf / (tf + K1 * (1 - B + B * length / avgdl))
 
 
 def bm25(tf: Column, dl: Column, avgdl: Column, n_docs: Column, df: Column,
-         lossy_norms: bool = False) -> Column:
+         lossy_norms: bool = True) -> Column:
     return idf(n_docs, df) * tf_norm(tf, dl, avgdl, lossy_norms)
 
 
@@ -131,28 +138,26 @@ def match_terms(terms: DataFrame, index: Index, small: bool = True) -> DataFrame
     return postings.join(salted, [*keys, "_salt"]).drop("_salt")
 
 
-def score_documents(matches: DataFrame, langs, lossy_norms: bool = False) -> DataFrame:
+def score_documents(matches: DataFrame, lossy_norms: bool = True) -> DataFrame:
     """``(qid, lang, id, dup_no, copies, score)``: matching documents of each query.
 
     Scores are rounded before anything is ordered by them, so that the order in
-    which floating-point terms are added cannot change a list. A query has one
-    language; as a number it is aggregated along and need not be a key.
+    which floating-point terms are added cannot change a list. The language is part
+    of the key: ids of different languages are unlike, and a query number may be given
+    for several languages.
     """
-    langs = F.array(*[F.lit(lang) for lang in langs])
     part = F.col("weight") * tf_norm(F.col("tf"), F.col("dl"), F.col("avgdl"), lossy_norms)
     in_title = F.col("field") == "title"
     scored = matches.select(
-        "qid", "id", "dup_no", "copies", "both", part.alias("part"),
+        "qid", "lang", "id", "dup_no", "copies", "both", part.alias("part"),
         in_title.alias("in_title"), (~in_title).alias("in_text"),
-        F.array_position(langs, F.col("lang")).alias("lang_no"),
-    ).groupBy("qid", "id", "dup_no").agg(
+    ).groupBy("qid", "lang", "id", "dup_no").agg(
         F.round(F.sum("part"), 6).alias("score"), F.max("copies").alias("copies"),
-        F.max("lang_no").alias("lang_no"), F.max("both").alias("both"),
+        F.max("both").alias("both"),
         F.max("in_title").alias("in_title"), F.max("in_text").alias("in_text"),
     )
     return scored.where(~F.col("both") | (F.col("in_title") & F.col("in_text"))).select(
-        "qid", F.element_at(langs, F.col("lang_no").cast("int")).alias("lang"),
-        "id", "dup_no", "copies", "score")
+        "qid", "lang", "id", "dup_no", "copies", "score")
 
 
 def top_k(scored: DataFrame, k: int = TOP) -> DataFrame:
@@ -162,7 +167,8 @@ def top_k(scored: DataFrame, k: int = TOP) -> DataFrame:
     The first window prunes before its shuffle; the second sees at most ``k``
     documents per query.
     """
-    order = [F.desc("score"), number("id").asc_nulls_last(), F.col("id"), F.col("dup_no")]
+    order = [F.desc("score"), number("id").asc_nulls_last(), F.col("id"), F.col("lang"),
+             F.col("dup_no")]
     per_query = Window.partitionBy("qid")
     best = scored.withColumn("rank", F.row_number().over(per_query.orderBy(*order)))
     copies = best.where(F.col("rank") <= k).withColumn(
@@ -180,7 +186,7 @@ def is_small(queries: DataFrame, chars: int = BROADCAST_CHARS) -> bool:
     return (size or 0) <= chars
 
 
-def score_queries(queries: DataFrame, index: Index, lossy_norms: bool = False,
+def score_queries(queries: DataFrame, index: Index, lossy_norms: bool = True,
                   small: bool | None = None) -> DataFrame:
     """All matching documents of all valid queries with their scores.
 
@@ -191,10 +197,10 @@ def score_queries(queries: DataFrame, index: Index, lossy_norms: bool = False,
         small = is_small(queries)
     valid, _ = validate_queries(queries, list(index.analyzers))
     terms = query_terms(decode_queries(valid), index)
-    return score_documents(match_terms(terms, index, small), list(index.analyzers), lossy_norms)
+    return score_documents(match_terms(terms, index, small), lossy_norms)
 
 
-def search_batch(queries: DataFrame, index: Index, k: int = TOP, lossy_norms: bool = False,
+def search_batch(queries: DataFrame, index: Index, k: int = TOP, lossy_norms: bool = True,
                  small: bool | None = None) -> DataFrame:
     """Hits of all valid ``queries(qid, q)``."""
     return top_k(score_queries(queries, index, lossy_norms, small), k)
@@ -213,7 +219,7 @@ def one_query(index: Index, q: str) -> DataFrame:
 
 
 def search(index: Index, lang: str, at: str, qtext: str, k: int = TOP,
-           lossy_norms: bool = False) -> DataFrame:
+           lossy_norms: bool = True) -> DataFrame:
     """Hits of one query."""
     q = f"{lang}:{at}:{qtext}"
     return search_batch(one_query(index, q), index, k, lossy_norms, len(q) <= BROADCAST_CHARS)

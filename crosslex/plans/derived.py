@@ -133,6 +133,14 @@ class Derived:
             self.articles, workspace.new_path(self.spark, "articles"), PLAIN_ANALYZERS,
             BUCKETS, unique_ids=True)
 
+    @cached_property
+    def renumbered_index(self) -> index.Index:
+        """Index of articles numbered anew, so that ids recur within and across languages."""
+        number = F.floor(F.col("num_id") / 4).cast("string")
+        return index.write_index(
+            self.articles.withColumn("id", number), workspace.new_path(self.spark, "renumbered"),
+            PLAIN_ANALYZERS, BUCKETS)
+
     @cached_property
     def document_index(self) -> index.Index:
         """Index of the documents of the complete triples."""

@@ -10,7 +10,7 @@ from crosslex.operators.corpus import ENTITIES, HTML_DROPPED
 from crosslex.operators.search import B, K1, SCOPES
 from crosslex.operators.titles import BLOCK
 from crosslex.plans.derived import LANGS, LINK_BLOCK
-from crosslex.plans.queries import ASKED, CLAUSES
+from crosslex.plans.queries import ASKED, CLAUSES, SAME_QID
 
 
 def quote(value: str) -> str:
@@ -62,6 +62,8 @@ CTES = {
         WHERE d.lang = 'de' AND f.lang = 'fr'""",
     "corpus": """
         SELECT * FROM article WHERE num_id NOT IN (SELECT doc_id FROM labels WHERE toxic = 1)""",
+    "renumbered": """
+        SELECT CAST(num_id // 4 AS VARCHAR) AS id, lang, title, text FROM article""",
     "complete": """
         SELECT DISTINCT * FROM triples t
         WHERE EXISTS (SELECT 1 FROM corpus c WHERE c.lang = 'en' AND c.id = t.en_id)
@@ -130,7 +132,7 @@ LOSSY = ("(CASE WHEN dl < 40 THEN dl ELSE 24 + ((dl - 24) >> (length(bin(dl - 24
          "* (1 << (length(bin(dl - 24)) - 4)) END)")
 
 
-def tf_norm(tf="tf", dl="dl"):
+def tf_norm(tf="tf", dl=LOSSY):
     return f"{tf} / ({tf} + {K1} * (1 - {B} + {B} * {dl} / avgdl))"
 
 
@@ -141,7 +143,7 @@ def valid(parts="parts", reason_only=True, langs=LANGS):
         WHEN trim({parts}[3]) = '' THEN 'empty text' END"""
 
 
-def search_ctes(asked: str, dl: str = "dl", langs=LANGS) -> dict:
+def search_ctes(asked: str, dl: str = LOSSY, langs=LANGS) -> dict:
     return {
         "query_row": asked,
         "split_row": """SELECT qid, string_split(regexp_replace(q, ':+$', ''), ':') AS parts
@@ -166,7 +168,7 @@ def search_ctes(asked: str, dl: str = "dl", langs=LANGS) -> dict:
             GROUP BY qid, p.lang, p.id, p.dup_no, in_both
             HAVING NOT in_both OR count(DISTINCT p.field) = 2""",
         "hit": """SELECT *, row_number() OVER (PARTITION BY qid
-            ORDER BY score DESC, CAST(id AS BIGINT), dup_no) AS rank FROM scored
+            ORDER BY score DESC, CAST(id AS BIGINT), lang, dup_no) AS rank FROM scored
             QUALIFY rank <= 10""",
     }
 
@@ -179,7 +181,7 @@ def rows(values) -> str:
 ALL = [*LANGS, "es"]
 
 
-def one_search(q: str, body="SELECT rank, lang, id, score FROM hit", dl="dl") -> str:
+def one_search(q: str, body="SELECT rank, lang, id, score FROM hit", dl=LOSSY) -> str:
     return over_index(body, more=search_ctes(rows([(1, q)]), dl, ALL))
 
 
@@ -245,16 +247,26 @@ def _phrase_score(lang, c, words, starts) -> str:
 
 
 def _slop(lang, c) -> str:
-    a, b = _words(c)
-    starts = f"""SELECT lang, field, id, dup_no, sum(1.0::DOUBLE / (1 + place - last_place)) AS tf FROM (
-            SELECT *, lag(place) OVER w AS last_place, lag(which) OVER w AS last_which FROM (
-                SELECT lang, field, id, dup_no, CASE WHEN term = {quote(a)} THEN 0 ELSE 1 END AS which,
-                    CASE WHEN term = {quote(a)} THEN pos ELSE pos - 1 END AS place
+    words = _words(c)
+    which = " ".join(f"WHEN {quote(w)} THEN {i}" for i, w in enumerate(words))
+    # The next place of every other word, from a place on.
+    ahead = ", ".join(f"""min(CASE WHEN which = {i} THEN place END) OVER (
+        PARTITION BY lang, field, id, dup_no ORDER BY place, which
+        ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING) AS next{i}""" for i in range(len(words)))
+    farthest = ", ".join(f"CASE WHEN which = {i} THEN place ELSE next{i} END"
+                         for i in range(len(words)))
+    every = " AND ".join(f"(which = {i} OR next{i} IS NOT NULL)" for i in range(len(words)))
+    starts = f"""SELECT lang, field, id, dup_no,
+            sum(1.0::DOUBLE / (1 + greatest({farthest}) - place)) AS tf FROM (
+            SELECT *, lead(which) OVER (PARTITION BY lang, field, id, dup_no
+                ORDER BY place, which) AS next_which, {ahead} FROM (
+                SELECT lang, field, id, dup_no, CASE term {which} END AS which,
+                    pos - (CASE term {which} END) AS place
                 FROM token WHERE lang = {quote(lang)} AND field = {quote(c.field)}
-                    AND term IN ({quote(a)}, {quote(b)}))
-            WINDOW w AS (PARTITION BY lang, field, id, dup_no ORDER BY place, which))
-        WHERE which <> last_which AND place - last_place <= {c.slop} GROUP BY ALL"""
-    return _phrase_score(lang, c, [a, b], starts)
+                    AND term IN ({listed(words)})))
+        WHERE which <> next_which AND {every} AND greatest({farthest}) - place <= {c.slop}
+        GROUP BY ALL"""
+    return _phrase_score(lang, c, words, starts)
 
 
 def _fuzzy(lang, c) -> str:
@@ -270,7 +282,7 @@ def _fuzzy(lang, c) -> str:
                 levenshtein(term, {word}), CASE {swapped} ELSE 9 END) AS edits FROM freq
             WHERE lang = {quote(lang)} AND field = {quote(c.field)})
         WHERE edits <= {c.edits} AND (edits = 0 OR edits < least(length(term), {size}))
-        ORDER BY weight DESC, term LIMIT 50"""
+        """
     return f"""SELECT p.lang, p.id, p.dup_no, sum(weight * {IDF} * {tf_norm()}) AS part
         FROM (SELECT lang, field, term, weight, max(df) OVER () AS df FROM ({near})) n
         JOIN posting p USING (lang, field, term)
@@ -482,6 +494,12 @@ def build() -> dict[str, str]:
         "extract_documents": over_links("SELECT lang, id, title, text FROM extracted"),
         "corpus_counts": over_links("SELECT lang, count(*) AS n_docs FROM extracted GROUP BY lang"),
         "extract_articles": articles_sql(),
+        "strip_wiki": over_links(
+            "SELECT id, concat(id, ' ', lang, ' ', source) AS text FROM article"),
+        "extract_dump": over_links("""
+            SELECT id, CAST(num_id + 1 AS VARCHAR) AS revid, 'https://en.example.org/' || id AS url,
+                concat(id, ' ', lang, ' ', source) AS text
+            FROM article WHERE source NOT IN ('src2', 'src3')"""),
         "csv_roundtrip": over_links(triple_rows),
         "jsonl_articles": over_links("""
             SELECT lang, id, 'r' || id AS revid, '/' || lang || '/' || id AS url, title, text
@@ -521,10 +539,16 @@ def build() -> dict[str, str]:
         "search_title_and_text": one_search("en:T&t:there with the"),
         "search_title_or_text": one_search("de:t|T:der und der nicht"),
         "bm25_scores": one_search("en:T|t:the that", SCORES),
-        "bm25_lossy": one_search("en:T|t:the that", SCORES, LOSSY),
+        "bm25_exact": one_search("en:T|t:the that", SCORES, "dl"),
         "accent_sensitive": over_index(SCORES, more=search_ctes(
             rows([(1, "fr:t:étion"), (2, "fr:t:etion")]), langs=ALL)),
         "search_batch": over_index("SELECT qid, rank, id, score FROM hit", more=passages),
+        "search_batch_large": over_index("SELECT qid, rank, id, score FROM hit", more=passages),
+        "search_same_qid": over_index(
+            "SELECT CAST(rank AS BIGINT) AS rank, lang, id, score FROM hit", "renumbered",
+            search_ctes(rows(SAME_QID), langs=ALL)),
+        "known_lang": over_links(f"""SELECT qid, CASE WHEN lower(parts[1]) IN ({listed(LANGS)})
+            THEN lower(parts[1]) END AS lang FROM split_row""", asked),
         "cross_search": over_translations(
             "SELECT qid, rank, score, pos, lang, id, title FROM translated"),
         "expand_translations": over_links(f"""

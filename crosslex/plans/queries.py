@@ -23,6 +23,10 @@ ASKED = [
 ]
 
 
+#: One query number given for two languages.
+SAME_QID = [(1, "en:T|t:the that"), (1, "de:T|t:der und")]
+
+
 def query(function):
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         return function(derived(spark, sf_dir))
@@ -115,6 +119,34 @@ def extract_articles(d):
     return corpus.extract_articles(d.table("pages"))
 
 
+def marked_up(d):
+    """A small article of wiki markup for every document, with templates up to seven deep."""
+    deep = (F.col("num_id") % 8).cast("int")
+    return d.articles.select("id", "num_id", "source", "title", F.concat(
+        F.expr("repeat('{{x|', cast(num_id % 8 as int))"), F.repeat(F.lit("}}"), deep),
+        F.lit("'''"), "id", F.lit("''' [["), "lang", F.lit("]] {{g|{{h}}}}"), "source",
+    ).alias("markup"))
+
+
+@query
+def strip_wiki(d):
+    return marked_up(d).select("id", corpus.strip_wiki(F.col("markup")).alias("text"))
+
+
+@query
+def extract_dump(d):
+    """Articles from an XML dump that is written from the documents."""
+    path = f"{workspace.new_path(d.spark, 'dump')}/pages"
+    redirect = F.when(F.col("source") == "src3", F.struct(F.col("title").alias("_title")))
+    marked_up(d).select(
+        "title", F.when(F.col("source") == "src2", 1).otherwise(0).alias("ns"),
+        F.col("num_id").alias("id"), redirect.alias("redirect"),
+        F.struct((F.col("num_id") + 1).alias("id"), F.col("markup").alias("text")).alias("revision"),
+    ).write.format("xml").option("rowTag", "page").option("rootTag", "mediawiki").save(path)
+    return corpus.read_dump(d.spark, path, "en", "https://en.example.org/").select(
+        "id", "revid", "url", "text")
+
+
 # --- files -------------------------------------------------------------------
 
 @query
@@ -250,6 +282,12 @@ def validate_queries(d):
     return search.check_queries(d.asked, LANGS).select("qid", "reason")
 
 
+@query
+def known_lang(d):
+    return d.asked.select("qid", search.known_lang(
+        search.query_parts(F.col("q"))[0], LANGS).alias("lang"))
+
+
 def hits(df):
     return df.select(F.col("rank").cast("long").alias("rank"), "lang", "id", "score")
 
@@ -285,9 +323,9 @@ def bm25_scores(d):
 
 
 @query
-def bm25_lossy(d):
+def bm25_exact(d):
     return scores(search.score_queries(
-        search.one_query(d.article_index, "en:T|t:the that"), d.article_index, lossy_norms=True))
+        search.one_query(d.article_index, "en:T|t:the that"), d.article_index, lossy_norms=False))
 
 
 @query
@@ -302,6 +340,20 @@ def search_batch(d):
     return found.select("qid", F.col("rank").cast("long").alias("rank"), "id", "score")
 
 
+@query
+def search_batch_large(d):
+    """The same as for query texts beyond the broadcast bound."""
+    found = search.search_batch(d.passages, d.article_index, small=False)
+    return found.select("qid", F.col("rank").cast("long").alias("rank"), "id", "score")
+
+
+@query
+def search_same_qid(d):
+    """One query number for two languages whose articles share ids."""
+    return hits(search.search_batch(
+        search.query_table(d.spark, SAME_QID), d.renumbered_index))
+
+
 def translated(d):
     asked = search.query_table(d.spark, ASKED)
     return results.cross_search(asked, d.document_index, d.kept_id_map, LANGS)
@@ -346,6 +398,7 @@ CLAUSES = {
                              Clause("text", "term", "from", "must_not")]),
     "phrase": ("en", [Clause("text", "phrase", "in the"), Clause("text", "phrase", "of the that")]),
     "phrase_slop": ("en", [Clause("text", "phrase", "the with", slop=3)]),
+    "phrase_slop_three": ("en", [Clause("text", "phrase", "the of that", slop=6)]),
     "prefix": ("en", [Clause("text", "prefix", "therb")]),
     "wildcard": ("en", [Clause("text", "wildcard", "th?r*ble")]),
     "fuzzy": ("en", [Clause("text", "fuzzy", "tehre")]),

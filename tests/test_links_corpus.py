@@ -27,7 +27,8 @@ def test_resolve(wiki):
     assert rows(pairs) == [("1", "cs", "9"), ("1", "hu", "21"), ("2", "cs", "12"),
                            ("2", "hu", "21")]
     assert rows(links.unresolved_links(*wiki)) == [
-        (3, "cs", "X:", "Title missing"), (4, "cs", "nowhere", "No page_id")]
+        (3, "cs", "X:", "Title missing"), (4, "cs", "nowhere", "No page_id"),
+        (5, "hu", None, "Title missing")]
     assert rows(links.pivot_join(pairs, "sk", ["cs", "hu"])) == [
         ("1", "9", "21"), ("2", "12", "21")]
 
@@ -121,6 +122,15 @@ DUMP = """<mediawiki><page><title>Test</title><ns>0</ns><id>12</id><revision><id
 </page></mediawiki>"""
 
 
+def test_nested_templates(spark):
+    given = ["{{a|{{b|{{c|{{d|{{e|{{f}}x}}}}}}}}}}Text after", "{{a|}}}}b", "open {{a {{b}} c",
+             "{{{x}}}y", "no braces { here }", ""]
+    made = spark.createDataFrame([(t,) for t in given], "t string").select(
+        corpus.without_templates(F.col("t")))
+    assert [r[0] for r in made.collect()] == [
+        "Text after", "}}b", "open {{a {{b}} c", "}y", "no braces { here }", ""]
+
+
 def test_dump(spark, tmp_path):
     (tmp_path / "dump.xml").write_text(DUMP)
     [article] = corpus.read_dump(spark, str(tmp_path / "dump.xml"), "sk", "u/").collect()

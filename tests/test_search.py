@@ -227,6 +227,42 @@ def test_clause_kinds(words):
     assert found(words, text("range", "abc", upper="abd")) == ["5"]
 
 
+def test_sloppy_frequency(spark):
+    """Three words, worked out by hand: places as they stand, offsets 0, 1, 2."""
+    given = [
+        ([0], [1], [2], 1.0),              # in sequence
+        ([0], [2], [4], 1 / (1 + 2)),      # each one place late: at 0, 1, 2
+        ([2], [1], [0], 1 / (1 + 4)),      # in reverse: at 2, 0, -2
+        ([0, 10], [1, 11], [2, 12], 2.0 + 1 / 11 + 1 / 11),
+        ([0], [50], [51], 0.0),
+    ]
+    rows = spark.createDataFrame(given, "p0 array<int>, p1 array<int>, p2 array<int>, x double")
+    for r in rows.select(clauses.sloppy_frequency(10, [0, 1, 2]).alias("f"), "x").collect():
+        assert r["f"] == pytest.approx(r["x"])
+
+
+def test_fuzzy_takes_all_near_terms(spark):
+    docs = spark.createDataFrame(
+        [("en", str(i), "", f"tes{chr(97 + i % 26)}{chr(97 + i // 26)}") for i in range(80)],
+        "lang string, id string, title string, text string")
+    built = index.build_index(docs, {"en": PLAIN})
+    assert len(found(built, Clause("text", "fuzzy", "tesxx"))) == 80
+    assert len(found(built, Clause("text", "fuzzy", "tesxx", expansions=50))) == 50
+
+
+def test_same_number_in_two_languages(spark):
+    docs = spark.createDataFrame(
+        [("sk", "7", "test", ""), ("cs", "7", "test test", ""), ("cs", "8", "test a b", "")],
+        "lang string, id string, title string, text string")
+    built = index.build_index(docs, {"sk": PLAIN, "cs": PLAIN})
+    asked = search.query_table(spark, [(1, "sk:T:test"), (1, "cs:T:test")])
+    both = {(r["lang"], r["id"]): r["score"] for r in search.score_queries(asked, built).collect()}
+    alone = search.score_queries(search.query_table(spark, [(1, "cs:T:test")]), built)
+    assert sorted(both) == [("cs", "7"), ("cs", "8"), ("sk", "7")]
+    assert {k: v for k, v in both.items() if k[0] == "cs"} == {
+        (r["lang"], r["id"]): r["score"] for r in alone.collect()}
+
+
 def test_boolean_clauses(words):
     a, b, c = (Clause("text", "term", w) for w in "abc")
     must_not = Clause("text", "term", "x", "must_not")
