@@ -71,9 +71,12 @@ class Memo(dict):
         value = self.older.get(key)
         if value is None:
             value = self.make(key)
+        self.put(key, value)
+        return value
+
+    def put(self, key: str, value: Any) -> None:
         if len(key) <= self.longest:
             if len(self) >= self.limit:
                 self.older = dict(self)
                 self.clear()
             self[key] = value
-        return value
