@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from crosslex.llm.common import held, picked, slices, text_of, with_columns
+from crosslex.llm.common import SLICE, held, picked, slices, text_of
 
 #: Words of a window.
 WINDOW = 10
@@ -204,33 +204,31 @@ def item_blocks(items: DataFrame, window: int, block_words: int, id_col: str,
                      key=lambda x: (x[1], str(x[0]))), window
 
 
-def _matched(rows: DataFrame, block: tuple[list, int]) -> DataFrame:
-    """The rows with ``n_words, starts, stops, items`` of one block of items beside them."""
-    shared = rows.sparkSession.sparkContext.broadcast(block)
-    names = rows.columns
+def _matcher(docs: DataFrame, block: tuple[list, int]):
+    """Column function: words, hit spans and items hit, of one block of items, of a text."""
+    shared = docs.sparkSession.sparkContext.broadcast(block)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    # Only the text goes to Python.
+    @F.arrow_udf("struct<n:bigint,starts:array<bigint>,stops:array<bigint>,items:array<string>>")
+    def match(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         automaton = _automaton(shared.value)
-        for part in slices(batches):
+        longs = pa.list_(pa.int64())
+        for batch in batches:
             counts, starts, stops, items = [], [], [], []
-            for text in part.column("_llm_text").to_pylist():
-                words = words_of(text)
-                spans, hit = automaton.match(words)
-                counts.append(len(words))
-                starts.append([a for a, _ in spans])
-                stops.append([b for _, b in spans])
-                items.append(sorted(str(i) for i in hit if i is not None))
-            yield with_columns(
-                part, names, _llm_n=pa.array(counts, pa.int64()),
-                _llm_starts=pa.array(starts, pa.list_(pa.int64())),
-                _llm_stops=pa.array(stops, pa.list_(pa.int64())),
-                _llm_items=pa.array(items, pa.list_(pa.string())))
-
-    longs = T.ArrayType(T.LongType())
-    return rows.mapInArrow(run, T.StructType([
-        *rows.schema.fields, T.StructField("_llm_n", T.LongType()),
-        T.StructField("_llm_starts", longs), T.StructField("_llm_stops", longs),
-        T.StructField("_llm_items", T.ArrayType(T.StringType()))]))
+            for start in range(0, len(batch), SLICE):
+                for text in batch.slice(start, SLICE).to_pylist():
+                    words = words_of(text or "")
+                    spans, hit = automaton.match(words)
+                    counts.append(len(words))
+                    starts.append([a for a, _ in spans])
+                    stops.append([b for _, b in spans])
+                    items.append(sorted(str(i) for i in hit if i is not None))
+            yield pa.StructArray.from_arrays([
+                pa.array(counts, pa.int64()), pa.array(starts, longs), pa.array(stops, longs),
+                pa.array(items, pa.list_(pa.string()))], names=["n", "starts", "stops", "items"])
+
+    # Called so, a filter on what was found does not look for it a second time.
+    return match.asNondeterministic()
 
 
 def find_spans(docs: DataFrame, items: DataFrame, window: int = WINDOW,
@@ -247,17 +245,16 @@ def find_spans(docs: DataFrame, items: DataFrame, window: int = WINDOW,
     span = "array<struct<start:bigint,stop:bigint>>"
     rest = docs.drop("contamination")
     rows = rest.withColumns({
-        "_llm_text": text_of(text_col), "_llm_words": F.lit(0).cast("long"),
-        "_llm_spans": F.array().cast(span), "_llm_named": F.array().cast("array<string>")})
+        "_llm_words": F.lit(0).cast("long"), "_llm_spans": F.array().cast(span),
+        "_llm_named": F.array().cast("array<string>")})
     for block in item_blocks(items, window, block_words, item_id, item_text):
-        found = _matched(rows, block)
-        rows = found.withColumns({
-            "_llm_words": F.col("_llm_n"),
-            "_llm_spans": F.concat("_llm_spans", F.zip_with(
-                "_llm_starts", "_llm_stops",
-                lambda a, b: F.struct(a.alias("start"), b.alias("stop")))),
-            "_llm_named": F.concat("_llm_named", "_llm_items"),
-        }).select(*rows.columns)
+        match = _matcher(docs, block)
+        rows = rows.withColumn("_llm_found", match(F.col(text_col))).select(
+            *rest.columns, F.col("_llm_found.n").alias("_llm_words"),
+            F.concat("_llm_spans", F.zip_with(
+                "_llm_found.starts", "_llm_found.stops",
+                lambda a, b: F.struct(a.alias("start"), b.alias("stop")))).alias("_llm_spans"),
+            F.concat("_llm_named", "_llm_found.items").alias("_llm_named"))
     ordered = F.array_sort("_llm_spans")
     joined = F.aggregate(ordered, F.array().cast(span), lambda acc, s: F.when(
         (F.size(acc) > 0) & (s["start"] <= F.element_at(acc, -1)["stop"]),
@@ -313,19 +310,18 @@ def decontaminate(docs: DataFrame, items: DataFrame, window: int = WINDOW,
                       lambda acc, s: acc + s["stop"] - s["start"])
     kept = found.withColumn("_llm_hit", hit).where(
         F.col("_llm_hit") <= F.col("contamination.n_words") * F.lit(max_share))
-    names = [c for c in docs.columns if c != "contamination"]
-    marked = kept.select(
-        *names, F.when(F.col("_llm_hit") > 0, F.col("contamination.spans")).alias("_llm_cut"))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        place = names.index(text_col)
-        for part in slices(batches):
-            texts = part.column(text_col).to_pylist()
-            for i, spans in enumerate(part.column("_llm_cut").to_pylist()):
-                if spans:
-                    texts[i] = cut_words(texts[i], [(s["start"], s["stop"]) for s in spans])
-            columns = [part.column(name) for name in names]
-            columns[place] = pa.array(texts, columns[place].type)
-            yield pa.RecordBatch.from_arrays(columns, names=names)
-
-    return marked.mapInArrow(run, T.StructType([marked.schema[name] for name in names]))
+    spans = F.when(F.col("_llm_hit") > 0, F.col("contamination.spans"))
+
+    @F.arrow_udf("string")
+    def cut(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+        for texts, hits in batches:
+            yield pa.array([
+                None if found is None else cut_words(text, [(s["start"], s["stop"]) for s in found])
+                for text, found in zip(texts.to_pylist(), hits.to_pylist())], pa.string())
+
+    # Texts without a hit do not go to Python again.
+    marked = kept.withColumn("_llm_cut", spans).withColumn("_llm_new", cut(
+        F.when(F.col("_llm_cut").isNotNull(), F.col(text_col)), F.col("_llm_cut")))
+    return marked.select(*[
+        (F.coalesce("_llm_new", text_col) if c == text_col else F.col(c)).alias(c)
+        for c in docs.columns if c != "contamination"])

@@ -11,11 +11,12 @@ these, so with more pieces than that some piece is equal (the pigeonhole princip
 * Sets of equal content are one class. Sizes fall into bands; two sets that may be
   linked are in the same or in neighbouring bands, so a set gives its pieces for its own
   band and the next larger one.
-* Classes with an equal piece form a group; equal groups count once. In each group the
-  first class is compared with all others, exactly, from the whole texts.
-* Groups that then still hold several components are searched for the links in between:
-  pairs that pass the Hamming test, only as many as can join components, are compared
-  exactly, until none is left.
+* Classes with an equal piece form a group; equal groups count once. In each group pairs
+  are tested by the Hamming distance of their sketches, only as many as can join what is
+  not joined yet, and those that pass are compared exactly, from the whole texts.
+* A group is looked at again where such a pair turned out to be no link, or where it is so
+  large that not all its blocks have met: for links between components that the links so
+  far leave apart, at last for all pairs that pass the test.
 """
 
 from collections.abc import Iterator
@@ -161,8 +162,8 @@ class Bands:
 
 
 def sketch(shingles: np.ndarray) -> np.ndarray:
-    """Parity of the shingles by bit; as many bits as four a shingle need, a power of two."""
-    words = max(1, 1 << max(0, (4 * len(shingles) - 1).bit_length() - 6))
+    """Parity of the shingles by bit; two bits a shingle or more, a power of two of them."""
+    words = max(1, 1 << max(0, (2 * len(shingles) - 1).bit_length() - 6))
     bit = shingles & np.uint64(64 * words - 1)
     out = np.zeros(words, np.uint64)
     np.bitwise_xor.at(out, (bit >> np.uint64(6)).astype(np.int64),
@@ -314,9 +315,13 @@ def _verified(docs: DataFrame, pairs: DataFrame, classes: DataFrame, words: int,
     ).select("a", "b").distinct(), "linked")
 
 
-def _between(members: DataFrame, percent: int, forest: bool) -> DataFrame:
-    """Pairs ``a, b`` of classes of one group in different components that pass the size and
-    Hamming tests; with ``forest`` only as many as can join components within a block."""
+def _between(members: DataFrame, percent: int, forest: bool, whole: bool) -> DataFrame:
+    """Pairs ``gid, a, b`` of classes of one group in different components that pass the size
+    and Hamming tests; with ``forest`` only as many as can join components within a block.
+
+    A group is parted into blocks; ``whole``: all of them meet pairwise, else each meets
+    itself and the first.
+    """
     def runs(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
         held: dict | None = None
         for batch in batches:
@@ -338,49 +343,48 @@ def _between(members: DataFrame, percent: int, forest: bool) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for group in runs(batches):
-            found: list[tuple[int, int]] = []
-            parent: dict[int, int] = {}
-
-            def root(x: int) -> int:
-                while parent.setdefault(x, x) != x:
-                    x = parent[x] = parent[parent[x]]
-                return x
-
             bits = [np.frombuffer(b, np.uint64) for b in group["value"]]
             width = min(map(len, bits))
             bits = np.stack([fold(b, width) for b in bits])
-            n = np.array(group["n"])
-            comp, block, cls = np.array(group["comp"]), np.array(group["block"]), group["cls"]
+            n, block = np.array(group["n"]), np.array(group["block"])
+            comp, cls = np.array(group["comp"]), group["cls"]
             apart = group["lo"][0] != group["hi"][0]
+            found: list[tuple[int, int]] = []
             for i in range(len(cls) - 1):
-                small, large = np.minimum(n[i], n[i + 1:]), np.maximum(n[i], n[i + 1:])
-                near = (comp[i + 1:] != comp[i]) & (100 * small >= percent * large)
+                near = comp[i + 1:] != comp[i]
                 if apart:
                     near &= block[i + 1:] != block[i]
                 at = np.flatnonzero(near) + i + 1
-                if len(at):
-                    distance = np.bitwise_count(bits[at] ^ bits[i]).sum(axis=1, dtype=np.int64)
-                    at = at[distance * (100 + percent) <= (n[at] + n[i]) * (100 - percent)]
-                for j in at.tolist():
-                    if forest:
-                        a, b = root(int(comp[i])), root(int(comp[j]))
-                        if a == b:
-                            continue
-                        parent[a] = b
-                    found.append((min(cls[i], cls[j]), max(cls[i], cls[j])))
+                small, large = np.minimum(n[i], n[at]), np.maximum(n[i], n[at])
+                at = at[100 * small >= percent * large]
+                if not len(at):
+                    continue
+                distance = np.bitwise_count(bits[at] ^ bits[i]).sum(axis=1, dtype=np.int64)
+                at = at[distance * (100 + percent) <= (n[at] + n[i]) * (100 - percent)]
+                if forest:  # one to each component, which then is this one's
+                    _, once = np.unique(comp[at], return_index=True)
+                    joined = comp[at[once]]
+                    at = at[np.sort(once)]
+                    if len(joined):
+                        comp[np.isin(comp, joined)] = comp[i]
+                found += [(min(cls[i], cls[j]), max(cls[i], cls[j])) for j in at.tolist()]
             if found:
                 a, b = zip(*found)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
-
-    # Blocks of a group meet pairwise: a class goes once to each block of its group.
+                yield pa.RecordBatch.from_arrays([
+                    pa.array([group["gid"][0]] * len(a), pa.int64()), pa.array(a, pa.int64()),
+                    pa.array(b, pa.int64())], names=["gid", "a", "b"])
+
+    # A class goes once to each pair of blocks that its own is part of.
+    own, parts = F.col("block"), F.col("parts")
+    others = F.sequence(F.lit(0), parts - 1) if whole else F.when(
+        own == 0, F.sequence(F.lit(0), parts - 1)).otherwise(F.array(F.lit(0), own))
     placed = members.withColumn("parts", F.ceil(F.col("size") / BLOCK).cast("int")).withColumn(
-        "block", F.pmod(F.xxhash64("cls"), F.col("parts")).cast("int")).withColumn(
-        "other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).select(
-        "gid", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"),
+        "block", F.pmod(F.xxhash64("cls"), parts).cast("int")).withColumn(
+        "other", F.explode(others)).select(
+        "gid", F.least(own, "other").alias("lo"), F.greatest(own, "other").alias("hi"),
         "block", "cls", "comp", "n", "value")
     return placed.repartition("gid", "lo", "hi").sortWithinPartitions(
-        "gid", "lo", "hi").mapInArrow(run, "a long, b long").distinct()
+        "gid", "lo", "hi").mapInArrow(run, "gid long, a long, b long").distinct()
 
 
 def linked(docs: DataFrame, words: int = 5, percent: int = 80, id_col: str = "doc_id",
@@ -402,48 +406,41 @@ def linked(docs: DataFrame, words: int = 5, percent: int = 80, id_col: str = "do
     every = frozenset(r["band"] for r in described.where("lacks").select("band").distinct().collect())
     groups = workspace.settle(_groups(_piece_keys(named, words, percent, every)), "groups")
 
-    members = workspace.settle(groups.join(classes, "cls").select("gid", "cls", "rep", "n"), "members")
-    first = members.groupBy("gid").agg(
-        F.min(F.struct("rep", "cls", "n")).alias("first"), F.count(F.lit(1)).alias("size"))
-    sized = members.join(first.select("gid", "first", "size"), "gid")
-    small, large = F.least("n", "first.n"), F.greatest("n", "first.n")
-    star = workspace.settle(sized.where("cls != first.cls").where(
-        100 * small >= percent * large).select(
-        F.least("cls", "first.cls").alias("a"), F.greatest("cls", "first.cls").alias("b")
-    ).distinct(), "star")
-    links = _verified(named, star, classes, words, percent)
-    tested = star
-
-    sketches: DataFrame | None = None
-    forest = True
-    while True:
+    sizes = groups.groupBy("gid").agg(F.count(F.lit(1)).alias("size"))
+    members = groups.join(sizes, "gid")
+    in_groups = workspace.settle(
+        groups.select("cls").distinct().join(classes, "cls"), "in_groups")
+    sketches = workspace.settle(_features(named, in_groups, words, bits=True).join(
+        in_groups.select("cls", "n"), "cls"), "sketches")
+    described_members = members.join(sketches, "cls")
+
+    pairs = workspace.settle(_between(described_members.withColumn("comp", F.col("cls")),
+                                      percent, forest=True, whole=False), "pairs")
+    tested = pairs.select("a", "b").distinct()
+    links = _verified(named, tested, classes, words, percent)
+    again = sizes.where(F.col("size") > BLOCK).select("gid")
+    for forest in (True, False):
+        # Groups that are not settled: a pair failed, or not all blocks have met.
+        failed = pairs.join(links, ["a", "b"], "left_anti").select("gid")
+        again = workspace.settle(again.unionAll(failed).distinct(), "again")
         found = components(links)
-        placed = members.join(found.select(F.col("node").alias("cls"), "component"), "cls", "left") \
-            .withColumn("comp", F.coalesce("component", "cls")).drop("component")
+        if again.isEmpty():
+            break
+        placed = members.join(again, "gid").join(
+            found.select(F.col("node").alias("cls"), "component"), "cls", "left").withColumn(
+            "comp", F.coalesce("component", "cls")).drop("component")
         mixed = placed.groupBy("gid").agg(
-            F.min("comp").alias("low"), F.max("comp").alias("high"),
-            F.count(F.lit(1)).alias("size")).where("low != high and size > 2").select("gid", "size")
+            F.min("comp").alias("low"), F.max("comp").alias("high")).where(
+            "low != high").select("gid")
         left = workspace.settle(placed.join(mixed, "gid"), "left")
-        if left.isEmpty():
-            break
-        if sketches is None:  # later rounds have fewer classes left
-            sketches = workspace.settle(_features(
-                named, left.select("cls", "rep").distinct(), words, bits=True), "sketches")
         pairs = workspace.settle(_between(
-            left.join(sketches, "cls"), percent, forest).join(tested, ["a", "b"], "left_anti"), "pairs")
-        if pairs.isEmpty():
-            if not forest:
-                break
-            forest = False  # a last look at all pairs that pass the tests
-            continue
-        more = _verified(named, pairs, classes, words, percent)
-        tested = workspace.settle(tested.unionAll(pairs), "tested")
-        if more.isEmpty():
-            if not forest:
-                break
-            forest = False
-            continue
+            left.join(sketches, "cls"), percent, forest, whole=True).join(
+            tested, ["a", "b"], "left_anti"), "pairs")
+        more = _verified(named, pairs.select("a", "b").distinct(), classes, words, percent)
+        tested = workspace.settle(tested.unionAll(pairs.select("a", "b").distinct()), "tested")
         links = workspace.settle(links.unionAll(more), "links")
+    else:
+        found = components(links)
 
     smallest = found.join(classes, found["node"] == classes["cls"]).groupBy("component").agg(
         F.min("rep").alias("component_id"))

@@ -15,9 +15,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from crosslex.llm.common import held, picked, slices, text_of, with_columns
+from crosslex.llm.common import SLICE, held, picked, slices, text_of
 from crosslex.sources import workspace
 
 FEATURES = 1 << 16
@@ -126,26 +125,32 @@ def _scored(docs: DataFrame, model: Model, text_col: str, lang_col: str,
     numbers = {lang: i for i, lang in enumerate(model.languages)}
     known = F.create_map(*[x for lang, i in numbers.items() for x in (F.lit(lang), F.lit(i))])
     declared = F.lower(F.regexp_extract(F.coalesce(F.col(lang_col), F.lit("")), "^[^-_]*", 0))
-    rows = docs.withColumns({
-        "_llm_host": host_of(F.col(address_col)),
-        "_llm_declared": F.when(declared == "", len(numbers) + 1).otherwise(
-            F.coalesce(known[declared], F.lit(len(numbers)))),
-        "_llm_text": text_of(text_col)})
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    names = [c for c in rows.columns if c != "_llm_text"]
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    # Only the text goes to Python and only numbers come back.
+    @F.arrow_udf("struct<logs:array<double>,n:bigint>")
+    def likelihoods(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         own = _model(shared.value)
-        for part in slices(batches):
-            logs, n = own.likelihoods(part.column("_llm_text").to_pylist())
-            yield with_columns(
-                part, names, _llm_logs=pa.FixedSizeListArray.from_arrays(
-                    pa.array(logs.reshape(-1)), logs.shape[1]).cast(pa.list_(pa.float64())),
-                _llm_n=pa.array(n, pa.int64()))
-
-    return rows.mapInArrow(run, T.StructType([
-        *[rows.schema[c] for c in names], T.StructField("_llm_logs", T.ArrayType(T.DoubleType())),
-        T.StructField("_llm_n", T.LongType())]))
+        for batch in batches:
+            logs, counts = [np.zeros((0, len(own.languages)))], [np.zeros(0, np.int64)]
+            for start in range(0, len(batch), SLICE):
+                one, n = own.likelihoods([t or "" for t in batch.slice(start, SLICE).to_pylist()])
+                logs.append(one)
+                counts.append(n)
+            each = np.concatenate(logs)
+            ends = np.arange(len(each) + 1, dtype=np.int32) * each.shape[1]
+            yield pa.StructArray.from_arrays([
+                pa.ListArray.from_arrays(pa.array(ends), pa.array(each.reshape(-1))),
+                pa.array(np.concatenate(counts), pa.int64())], names=["logs", "n"])
+
+    return docs.withColumns({
+        "_llm_host": host_of(F.col(address_col)),
+        "_llm_declared": F.when(declared == "", len(numbers) + 1).otherwise(
+            F.coalesce(known[declared], F.lit(len(numbers)))),
+        # Called so, a filter on the scores does not work them out a second time.
+        "_llm_scores": likelihoods.asNondeterministic()(F.col(text_col)),
+    }).withColumns({
+        "_llm_logs": F.col("_llm_scores.logs"), "_llm_n": F.col("_llm_scores.n")})
 
 
 def _normal(logs: Column) -> Column:
