@@ -16,7 +16,7 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from crosslex.functions.analysis import PLAIN
+from crosslex.functions.analysis import CZECH, HUNGARIAN, PLAIN
 from crosslex.operators import corpus, index, links
 from crosslex.sources import workspace
 
@@ -26,6 +26,9 @@ LANGS = [PIVOT, *TARGETS]
 ALL_LANGS = [*LANGS, "es"]
 PLAIN_ANALYZERS = {lang: PLAIN for lang in ALL_LANGS}
 
+#: The analyzers with stop words and stems, on languages that the test data has.
+ANALYZERS = {"en": CZECH, "de": HUNGARIAN}
+
 #: Folders per language and field of the indexes. For data of this size; on a
 #: cluster so many that a folder of documents is about a gigabyte.
 BUCKETS = 8
@@ -133,6 +136,13 @@ class Derived:
             self.articles, workspace.new_path(self.spark, "articles"), PLAIN_ANALYZERS,
             BUCKETS, unique_ids=True)
 
+    @cached_property
+    def analyzed_index(self) -> index.Index:
+        """Index of the articles of two languages with stop words and stems."""
+        return index.write_index(
+            self.articles.where(F.col("lang").isin(list(ANALYZERS))),
+            workspace.new_path(self.spark, "analyzed"), ANALYZERS, BUCKETS, unique_ids=True)
+
     @cached_property
     def renumbered_index(self) -> index.Index:
         """Index of articles numbered anew, so that ids recur within and across languages."""

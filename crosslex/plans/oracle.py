@@ -10,7 +10,7 @@ from crosslex.operators.corpus import ENTITIES, HTML_DROPPED
 from crosslex.operators.search import B, K1, SCOPES
 from crosslex.operators.titles import BLOCK
 from crosslex.plans.derived import LANGS, LINK_BLOCK
-from crosslex.plans.queries import ASKED, CLAUSES, SAME_QID
+from crosslex.plans.queries import ANALYZED, ASKED, CLAUSES, SAME_QID
 
 
 def quote(value: str) -> str:
@@ -329,7 +329,8 @@ def clauses_sql(name: str) -> str:
 
 # --- text --------------------------------------------------------------------
 
-def stem_cs_sql() -> str:
+def stem_cs_ctes() -> dict:
+    """``stemmed_cs(term, stem)`` of the words in ``vocabulary``."""
     def case(branches):
         return "CASE " + " ".join(f"WHEN {t} THEN {v}" for t, v in branches) + " ELSE w END"
 
@@ -352,20 +353,21 @@ def stem_cs_sql() -> str:
         ("length(w) > 1 AND substr(w, length(w) - 1, 1) = 'e'", f"{cut(2)} || right(w, 1)"),
         ("length(w) > 2 AND substr(w, length(w) - 1, 1) = 'ů'", f"{cut(2)} || 'o' || right(w, 1)"),
     ])
-    return with_ctes(f"SELECT term, {normalize} AS stem FROM s2", {
-        **VOCABULARY,
+    return {
         "s1": f"SELECT term, {case_step} AS w FROM (SELECT term, term AS w FROM vocabulary)",
         "s2": f"SELECT term, {possessive} AS w FROM s1",
-    })
+        "stemmed_cs": f"SELECT term, {normalize} AS stem FROM s2",
+    }
 
 
 VOCABULARY = {"vocabulary": f"""SELECT DISTINCT unnest(
     regexp_extract_all(lower(text), '{PLAIN_WORD}')) AS term FROM documents"""}
 
 
-def stem_hu_sql() -> str:
+def stem_hu_ctes() -> dict:
+    """``stemmed_hu(term, stem)`` of the words in ``vocabulary``."""
     region = quote(stemmers.HU_REGION)
-    ctes = {**VOCABULARY, "h0": f"""
+    ctes = {"h0": f"""
         SELECT term, term AS w, CASE WHEN regexp_matches(term, {region})
             THEN length(regexp_extract(term, {region})) ELSE length(term) END AS r
         FROM vocabulary"""}
@@ -390,7 +392,47 @@ def stem_hu_sql() -> str:
                 f"WHEN suffix IN ({listed(g)}) THEN head || {quote(n)}"
                 for n, g in groups.items()) + " END"
         ctes[f"h{i + 1}"] = f"SELECT term, {new} AS w, r FROM g{i}"
-    return with_ctes(f"SELECT term, w AS stem FROM h{len(stemmers.HU_RULES)}", ctes)
+    ctes["stemmed_hu"] = f"SELECT term, w AS stem FROM h{len(stemmers.HU_RULES)}"
+    return ctes
+
+
+def stem_sql(name: str, ctes: dict) -> str:
+    return with_ctes(f"SELECT term, stem FROM {name}", {**VOCABULARY, **ctes})
+
+
+def analyzed_ctes() -> dict:
+    """The tables of the index with stop words and stems: Czech ones on English, Hungarian
+    ones on German."""
+    words = (f"list_filter(regexp_extract_all(lower(value), {quote(UNICODE_WORD)}), "
+             "lambda w: regexp_matches(w, '[\\p{L}\\p{N}]'))")
+    asked = ("SELECT qid, lang, CASE WHEN \"at\" LIKE '%&%' THEN 1 ELSE 0 END AS in_both, "
+             "unnest(fields) AS field, qtext AS value FROM (SELECT *, list_filter(["
+             "CASE WHEN \"at\" LIKE '%T%' THEN 'title' END, "
+             "CASE WHEN \"at\" LIKE '%t%' THEN 'text' END], lambda f: f IS NOT NULL) AS fields "
+             "FROM decoded)")
+
+    def kept(rows: str) -> str:
+        return f"""SELECT * FROM ({rows}) WHERE NOT (lang = 'en' AND word IN (
+            {listed(stopwords.CZECH)})) AND NOT (lang = 'de' AND word IN ({listed(stopwords.HUNGARIAN)}))"""
+
+    stem = """CASE lang WHEN 'en' THEN c.stem ELSE h.stem END AS term"""
+    stems = "JOIN stemmed_cs c ON c.term = word JOIN stemmed_hu h ON h.term = word"
+    base = index_ctes("(SELECT * FROM article WHERE lang IN ('en', 'de'))")
+    search = search_ctes(rows(ANALYZED), langs=["en", "de"])
+    return {
+        "doc": base["doc"], "field_value": base["field_value"],
+        **{k: search[k] for k in ("query_row", "split_row", "decoded")},
+        "word_list": f"SELECT lang, id, dup_no, field, {words} AS words FROM field_value",
+        "kept_word": kept("""SELECT lang, id, dup_no, field, unnest(words) AS word,
+            unnest(range(len(words))) AS pos FROM word_list"""),
+        "asked_word": kept(f"SELECT qid, lang, in_both, field, unnest({words}) AS word FROM ({asked})"),
+        "vocabulary": "SELECT word AS term FROM kept_word UNION SELECT word FROM asked_word",
+        **stem_cs_ctes(), **stem_hu_ctes(),
+        "token": f"SELECT lang, id, dup_no, field, {stem}, pos FROM kept_word {stems}",
+        "query_term": f"SELECT qid, lang, in_both = 1 AS in_both, field, {stem} FROM asked_word {stems}",
+        **{k: base[k] for k in ("posting", "doc_length", "stats", "freq")},
+        **{k: search[k] for k in ("scored", "hit")},
+    }
 
 
 def words_sql(words: str) -> str:
@@ -514,8 +556,8 @@ def build() -> dict[str, str]:
             CASE lang {stop} ELSE words END, ' '), '') AS words
             FROM (SELECT doc_id, lang, regexp_extract_all(lower(text), '{PLAIN_WORD}') AS words
                 FROM documents)""",
-        "stem_cs": stem_cs_sql(),
-        "stem_hu": stem_hu_sql(),
+        "stem_cs": stem_sql("stemmed_cs", stem_cs_ctes()),
+        "stem_hu": stem_sql("stemmed_hu", stem_hu_ctes()),
         "fold_accents": over_links(
             f"SELECT id, translate(lower(title), '{ACCENTED}', '{UNACCENTED}') AS folded "
             "FROM article"),
@@ -529,6 +571,11 @@ def build() -> dict[str, str]:
             SELECT lang, field, term, id, count(*) AS copies, min(tf) AS tf, min(dl) AS dl
             FROM posting JOIN doc_length USING (lang, field, id, dup_no)
             GROUP BY lang, field, term, id""", "extracted"),
+        "index_analyzed": over_links("""SELECT lang, field, term, id, tf, dl,
+            array_to_string(positions, ',') AS positions
+            FROM posting JOIN doc_length USING (lang, field, id, dup_no)""", analyzed_ctes()),
+        "search_analyzed": over_links("""SELECT CAST(qid AS BIGINT) AS qid,
+            CAST(rank AS BIGINT) AS rank, lang, id, score FROM hit""", analyzed_ctes()),
         "lookup_id": over_links("""
             SELECT DISTINCT a.lang, a.id, title, text FROM article a
             JOIN pairs p ON a.lang = p.lang AND a.id = p.target_id"""),

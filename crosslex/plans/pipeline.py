@@ -23,8 +23,9 @@ def find_pairs(spark: SparkSession, langlinks, pages: dict, path: str, langs=LAN
     targets = list(langs[1:])
     wanted = tables.read_langlinks(spark, langlinks)
     wanted = wanted.where(wanted["ll_lang"].isin(targets))
-    found = links.resolve_links(wanted, tables.read_pages(spark, pages), namespaces)
-    tables.write_pairs(found, path)
+    found = workspace.settle(
+        links.resolve_links(wanted, tables.read_pages(spark, pages), namespaces), "pairs")
+    tables.write_pairs(found, path, langs[0], targets)
 
 
 def join_pairs(spark: SparkSession, pairs: str, path: str, langs=LANGS) -> None:

@@ -23,6 +23,10 @@ ASKED = [
 ]
 
 
+#: Queries of the index with stop words and stems.
+ANALYZED = [(1, "en:t:the thenou ale anda"), (2, "de:T|t:der undes az chaknak"),
+            (3, "en:T&t:that with a"), (4, "de:t:a az")]
+
 #: One query number given for two languages.
 SAME_QID = [(1, "en:T|t:the that"), (1, "de:T|t:der und")]
 
@@ -152,7 +156,8 @@ def extract_dump(d):
 @query
 def csv_roundtrip(d):
     path = workspace.new_path(d.spark, "csv")
-    tables.write_pairs(d.pairs, f"{path}/pairs")
+    found = workspace.settle(d.pairs, "pairs")
+    tables.write_pairs(found, f"{path}/pairs", PIVOT, TARGETS)
     pairs = tables.read_pairs(d.spark, f"{path}/pairs")
     tables.write_triples(links.pivot_join(pairs, PIVOT, TARGETS), f"{path}/triples")
     return tables.read_triples(d.spark, f"{path}/triples", LANGS)
@@ -263,6 +268,23 @@ def index_roundtrip(d):
         F.col("dl").cast("long").alias("dl"))
 
 
+@query
+def index_analyzed(d):
+    """Postings by the analyzers with stop words and stems, on two languages."""
+    return d.analyzed_index.postings.select(
+        "lang", "field", "term", "id", F.col("tf").cast("long").alias("tf"),
+        F.col("dl").cast("long").alias("dl"), joined("positions").alias("positions"))
+
+
+@query
+def search_analyzed(d):
+    asked = search.query_table(d.spark, ANALYZED)
+    found = search.search_batch(asked, d.analyzed_index)
+    return found.select(
+        F.col("qid").cast("long").alias("qid"), F.col("rank").cast("long").alias("rank"), "lang",
+        "id", "score")
+
+
 @query
 def lookup_id(d):
     ids = d.pairs.select("lang", F.col("target_id").alias("id"))

@@ -8,19 +8,6 @@ def _strings(*names: str) -> T.StructType:
 
 
 ARTICLE = _strings("id", "revid", "url", "title", "text")
-DOCUMENT = _strings("id", "title", "text")
-
-LANGLINKS = T.StructType([
-    T.StructField("ll_from", T.LongType()),
-    T.StructField("ll_lang", T.StringType()),
-    T.StructField("ll_title", T.StringType()),
-])
-
-PAGE = T.StructType([
-    T.StructField("page_id", T.LongType()),
-    T.StructField("page_namespace", T.IntegerType()),
-    T.StructField("page_title", T.StringType()),
-])
 
 
 def triples(langs) -> T.StructType:

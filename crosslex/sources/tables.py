@@ -50,15 +50,23 @@ def read_pages(spark: SparkSession, sources: dict) -> DataFrame:
 
 # --- pairs and triples -------------------------------------------------------
 
-def write_pairs(pairs: DataFrame, path: str) -> None:
-    """``pairs(pivot_id, lang, target_id)`` as headered CSV, one folder per language."""
-    pairs.select("lang", "pivot_id", "target_id").write.partitionBy("lang").csv(path, header=True)
+def write_pairs(pairs: DataFrame, path: str, pivot: str, langs) -> None:
+    """``pairs(pivot_id, lang, target_id)`` as CSV with the header ``<pivot>_id,<lang>_id``,
+    a folder per language.
+
+    The pairs are read once per language; give them as a written table.
+    """
+    for lang in langs:
+        pairs.where(F.col("lang") == lang).select(
+            F.col("pivot_id").alias(f"{pivot}_id"), F.col("target_id").alias(f"{lang}_id"),
+        ).write.csv(f"{path}/lang={lang}", header=True)
 
 
 def read_pairs(spark: SparkSession, path: str) -> DataFrame:
+    """The pairs of all folders; columns are known by their place, whatever the header says."""
     return (
         spark.read.schema("pivot_id string, target_id string, lang string")
-        .option("pathGlobFilter", "*.csv").csv(path, header=True)
+        .option("pathGlobFilter", "*.csv").option("enforceSchema", True).csv(path, header=True)
         .select("pivot_id", "lang", "target_id")
     )
 
