@@ -17,10 +17,11 @@ def other_languages(lang: Column, langs) -> Column:
 
 
 def expand_translations(hits: DataFrame, id_map: DataFrame, index: Index, langs,
-                        small: bool = False) -> DataFrame:
+                        small: bool = False, map_buckets: int | None = None) -> DataFrame:
     """``(qid, rank, score, pos, lang, id, title, text)``: each hit, then its translations.
 
-    A hit without translations stays alone; a translation that is not in the index
+    ``id_map`` may have a column ``bucket``, of ``map_buckets`` buckets or as many as the
+    index; then only the folders of the hits' buckets are read of it. A hit without translations stays alone; a translation that is not in the index
     has no title and text. Documents are read for these few ids only, after the
     ranking. ``small`` hits are broadcast, so that the scan is pruned to the ids'
     buckets.
@@ -28,9 +29,10 @@ def expand_translations(hits: DataFrame, id_map: DataFrame, index: Index, langs,
     def side(df):
         return F.broadcast(df) if small else df
 
-    others = id_map.join(
-        side(hits.select("qid", "rank", "score", "lang", "id")), ["lang", "id"]
-    ).select(
+    asked = hits.select("qid", "rank", "score", "lang", "id").withColumn(
+        "bucket", bucket(F.col("id"), map_buckets or index.buckets))
+    known = ["lang", "bucket", "id"] if "bucket" in id_map.columns else ["lang", "id"]
+    others = id_map.join(side(asked), known).select(
         "qid", "rank", "score",
         F.array_position(other_languages(F.col("lang"), langs), F.col("other_lang")).cast(
             "int").alias("pos"),
@@ -47,14 +49,16 @@ def expand_translations(hits: DataFrame, id_map: DataFrame, index: Index, langs,
 
 
 def cross_search(queries: DataFrame, index: Index, id_map: DataFrame, langs,
-                 k: int = ranked.TOP, lossy_norms: bool = True) -> DataFrame:
+                 k: int = ranked.TOP, lossy_norms: bool = True,
+                 map_buckets: int | None = None) -> DataFrame:
     """Search, top ``k``, translations: the whole of a cross-language query batch.
 
     The ranked hits are written before they are expanded. They are few, several
     joins read them, and their real number then decides what is broadcast.
     """
     hits = workspace.settle(ranked.search_batch(queries, index, k, lossy_norms), "hits")
-    return expand_translations(hits, id_map, index, langs, hits.count() <= BROADCAST_HITS)
+    return expand_translations(
+        hits, id_map, index, langs, hits.count() <= BROADCAST_HITS, map_buckets)
 
 
 def nest(rows: DataFrame) -> DataFrame:

@@ -166,7 +166,8 @@ class Derived:
 
     @cached_property
     def kept_id_map(self) -> DataFrame:
-        return workspace.settle(self.id_map, "id_map")
+        placed = self.id_map.withColumn("bucket", index.bucket(F.col("id"), BUCKETS))
+        return workspace.settle(placed, "id_map", "lang", "bucket")
 
 
 _SESSIONS: dict[tuple[str, str], Derived] = {}

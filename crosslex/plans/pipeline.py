@@ -54,10 +54,13 @@ def index_documents(spark: SparkSession, documents: str, path: str, analyzers=AN
     return index.write_index(tables.read_documents(spark, documents), path, analyzers, buckets)
 
 
-def map_ids(spark: SparkSession, triples: str, path: str, langs=LANGS) -> None:
-    """Tuples to the id map of every language."""
+def map_ids(spark: SparkSession, triples: str, path: str, langs=LANGS, buckets: int = 8) -> None:
+    """Tuples to the id map of every language: a table by bucket, as the index has them, and
+    from it JSON Lines to export."""
     found = links.build_id_map(tables.read_triples(spark, triples, langs), langs)
-    tables.write_id_map(found, path, langs)
+    tables.write_id_table(found, f"{path}/table", buckets)
+    written, _ = tables.read_id_table(spark, f"{path}/table")
+    tables.write_id_map(written.drop("bucket"), f"{path}/json", langs)
 
 
 def search(spark: SparkSession, queries: DataFrame, index_path: str, id_map: str,
@@ -67,5 +70,5 @@ def search(spark: SparkSession, queries: DataFrame, index_path: str, id_map: str
     Give the rows to ``results.to_lines`` for lines or ``results.write_json`` for JSON.
     """
     opened = index.read_index(spark, index_path, analyzers)
-    return results.cross_search(
-        queries, opened, tables.read_id_map(spark, id_map, langs), langs)
+    ids, buckets = tables.read_id_table(spark, f"{id_map}/table")
+    return results.cross_search(queries, opened, ids, langs, map_buckets=buckets)

@@ -141,6 +141,23 @@ def write_id_map(id_map: DataFrame, path: str, langs) -> None:
     nest_id_map(id_map, langs).write.partitionBy("lang").json(path)
 
 
+def write_id_table(id_map: DataFrame, path: str, buckets: int) -> None:
+    """The id map by language and bucket, for searches; a former one is replaced."""
+    placed = id_map.withColumn("bucket", F.pmod(F.xxhash64("id"), F.lit(buckets)).cast("int"))
+    placed.hint("rebalance", "lang", "bucket").write.mode("overwrite").partitionBy(
+        "lang", "bucket").parquet(f"{path}/ids")
+    id_map.sparkSession.range(1).select(F.lit(buckets).alias("buckets")).write.mode(
+        "overwrite").parquet(f"{path}/layout")
+
+
+def read_id_table(spark: SparkSession, path: str) -> tuple[DataFrame, int]:
+    """The id map and its number of buckets."""
+    buckets = spark.read.schema("buckets int").parquet(f"{path}/layout").first()["buckets"]
+    return spark.read.schema(
+        "id string, other_lang string, other_id string, lang string, bucket int"
+    ).parquet(f"{path}/ids"), buckets
+
+
 def read_id_map(spark: SparkSession, path: str, langs) -> DataFrame:
     """Back to one row per (id, other language)."""
     rows = (
