@@ -12,6 +12,7 @@ from crosslex.llm import (
     jaccard,
     language_id,
     licenses,
+    oracle,
     sharding,
     token_counts,
     token_files,
@@ -80,4 +81,8 @@ QUERIES: dict[str, Query] = {
         op9_parity_join, op10_vector_links)
 }
 
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {
+    "op1_decontamination": oracle.CONTAMINATION,
+    "op9_parity_join": oracle.SHINGLES,
+    "op10_vector_links": oracle.VECTORS,
+}
