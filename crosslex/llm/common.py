@@ -5,11 +5,26 @@ from functools import wraps
 from typing import Any
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Rows taken from an Arrow batch at a time, so that few texts are Python objects at once.
-SLICE = 256
+SLICE = 128
+#: Rows and bytes of the batches in which texts go to Python, at most: Spark's default for
+#: each, which is meant for narrow rows, and what takes its place.
+BATCH = {"spark.sql.execution.arrow.maxRecordsPerBatch": ("10000", "2000"),
+         "spark.sql.execution.arrow.maxBytesPerBatch": ("67108864b", "16777216b")}
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Let the session send texts to Python in smaller batches than by default.
+
+    The setting holds for the session from here on, as it is read when a query runs; what a
+    user has set stays.
+    """
+    for name, (default, smaller) in BATCH.items():
+        if spark.conf.get(name) == default:
+            spark.conf.set(name, smaller)
 
 
 def picked(docs: DataFrame, **columns: str | Column) -> DataFrame:
@@ -40,18 +55,22 @@ def text_of(column: str) -> Column:
     return F.coalesce(F.col(column), F.lit(""))
 
 
+_HELD: list[Any] = []
+
+
 def held(make: Callable[[Any], Any]) -> Callable[[Any], Any]:
     """Keep what was made of the last argument for the later tasks of a Python worker.
 
-    The argument is the value of a broadcast, the same object in all tasks of a worker.
+    The argument is the value of a broadcast, the same object in all tasks of a worker. One
+    such result is kept in all: the next operator's takes its place, so that a worker that
+    serves several does not hold the memory of all.
     """
-    last: list[Any] = []
-
     @wraps(make)
     def get(value: Any) -> Any:
-        if not last or last[0] is not value:
-            last[:] = [value, make(value)]
-        return last[1]
+        if not _HELD or _HELD[0] is not value:
+            _HELD.clear()
+            _HELD[:] = [value, make(value)]
+        return _HELD[1]
 
     return get
 

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from crosslex.llm.common import SLICE, held, picked, slices, text_of
+from crosslex.llm.common import SLICE, held, picked, slices, small_batches, text_of
 
 #: Words of a window.
 WINDOW = 10
@@ -242,6 +242,7 @@ def find_spans(docs: DataFrame, items: DataFrame, window: int = WINDOW,
     named. Documents are neither moved nor joined: each block of items adds its spans to the
     row. Every other column is returned; one named ``contamination`` is replaced.
     """
+    small_batches(docs.sparkSession)
     span = "array<struct<start:bigint,stop:bigint>>"
     rest = docs.drop("contamination")
     rows = rest.withColumns({

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from crosslex.llm.common import held, picked, slices, text_of
+from crosslex.llm.common import held, picked, slices, small_batches, text_of
 from crosslex.llm.html_parse import parse
 from crosslex.sources import workspace
 
@@ -38,6 +38,7 @@ def templates(pages: DataFrame, least_pages: int = LEAST_PAGES,
     article that is copied is no template. Only digests are shuffled, once for each host,
     subtree and text.
     """
+    small_batches(pages.sparkSession)
     rows = picked(pages, host=host_of(F.col(url_col)), html=text_of(html_col))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

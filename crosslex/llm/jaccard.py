@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from crosslex.llm.common import picked, slices, text_of
+from crosslex.llm.common import picked, slices, small_batches, text_of
 from crosslex.llm.components import components
 from crosslex.sources import workspace
 
@@ -397,6 +397,7 @@ def linked(docs: DataFrame, words: int = 5, percent: int = 80, id_col: str = "do
     component is null. Repeated rows are copies of one another. Texts are taken whole; no
     group, however large, loses a link.
     """
+    small_batches(docs.sparkSession)
     rows = picked(docs, id=id_col, text=text_of(text_col))
     described = workspace.settle(_described(rows, words, percent), "described")
     named = rows.where(F.col("id").isNotNull())

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from crosslex.llm.common import SLICE, held, picked, slices, text_of
+from crosslex.llm.common import SLICE, held, picked, slices, small_batches, text_of
 from crosslex.sources import workspace
 
 FEATURES = 1 << 16
@@ -125,6 +125,7 @@ def _scored(docs: DataFrame, model: Model, text_col: str, lang_col: str,
     numbers = {lang: i for i, lang in enumerate(model.languages)}
     known = F.create_map(*[x for lang, i in numbers.items() for x in (F.lit(lang), F.lit(i))])
     declared = F.lower(F.regexp_extract(F.coalesce(F.col(lang_col), F.lit("")), "^[^-_]*", 0))
+    small_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     # Only the text goes to Python and only numbers come back.

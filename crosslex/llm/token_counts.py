@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 from crosslex.llm import pieces as P
-from crosslex.llm.common import held, picked, slices, text_of, with_columns
+from crosslex.llm.common import held, picked, slices, small_batches, text_of, with_columns
 
 
 def count_merged(part: str, ranks: dict[str, float]) -> int:
@@ -79,6 +79,7 @@ def token_counts(docs: DataFrame, model: str, limit: int = 4096, id_col: str = "
     no bytes and no tokens; texts are taken whole; a row is returned for each row,
     repeated or without id. Only the two named columns are read.
     """
+    small_batches(docs.sparkSession)
     spark = docs.sparkSession
     shared = spark.sparkContext.broadcast(P.load(model))
 

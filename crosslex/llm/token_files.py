@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from crosslex.llm.common import Memo, held, picked, slices, text_of
+from crosslex.llm.common import Memo, held, picked, slices, small_batches, text_of
 from crosslex.sources import workspace
 
 # Ids in a word and bits of each, by selector from 1; 0 is not used.
@@ -280,6 +280,7 @@ def write_ids(docs: DataFrame, tokenizer: str, path: str, end_id: int, id_col: s
     the end id. A task sorts a range of the ids and writes one file, under a name of its
     own attempt until it is whole, so a lost task is simply run again.
     """
+    small_batches(docs.sparkSession)
     spark = docs.sparkSession
     shared = spark.sparkContext.broadcast(_model(tokenizer))
     rows = picked(docs, id=id_col, text=text_of(text_col))

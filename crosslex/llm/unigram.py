@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 from crosslex.llm import pieces as P
-from crosslex.llm.common import held, picked, slices, text_of, with_columns
+from crosslex.llm.common import held, picked, slices, small_batches, text_of, with_columns
 
 #: How much less than the worst piece an unknown character scores.
 UNKNOWN_COST = 10.0
@@ -134,6 +134,7 @@ def _encoder(model: tuple[P.Pieces, Trie]) -> Encoder:
 
 def _shared(docs: DataFrame, model: str):
     """Pieces and their trie, built once; a vocabulary's size does not grow with the data."""
+    small_batches(docs.sparkSession)
     pieces = P.load(model)
     if len(pieces.byte_ids) != 256:
         raise ValueError("the model has no piece for every byte")
