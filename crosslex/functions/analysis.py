@@ -7,21 +7,25 @@ from pyspark.sql import functions as F
 
 from crosslex.functions import stopwords
 from crosslex.functions.stemmers import stem_array
-from crosslex.functions.text import plain_words, unicode_words
-
-TOKENIZERS = {"plain": plain_words, "unicode": unicode_words}
+from crosslex.functions.text import MAX_WORD_LENGTH, plain_words, unicode_words
 
 
 @dataclass(frozen=True)
 class Analyzer:
-    """Word segmentation, stop words and stemming of one language."""
+    """Word segmentation, stop words and stemming of one language.
+
+    Unicode words longer than ``longest`` are cut into pieces of that length.
+    """
 
     tokenizer: str = "plain"
     stop: tuple = ()
     stemmer: str | None = None
+    longest: int = MAX_WORD_LENGTH
 
     def words(self, text: Column) -> Column:
-        return TOKENIZERS[self.tokenizer](text)
+        if self.tokenizer == "plain":
+            return plain_words(text)
+        return unicode_words(text, self.longest)
 
     def tokens(self, text: Column) -> Column:
         """``array<struct<term, pos>>``; removed stop words leave position gaps."""

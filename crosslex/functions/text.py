@@ -32,7 +32,7 @@ SIGNS = r"\u3041-\u309F\u3400-\u4DBF\u4E00-\u9FFF\uF900-\uFAFF\x{20000}-\x{2FA1F
 UNICODE_WORD_CJK = rf"[{SIGNS}]\p{{M}}*|" + _unicode_word(
     rf"[\p{{L}}&&[^{SIGNS}]]", rf"[\p{{L}}\p{{M}}&&[^{SIGNS}]]", "+")
 
-#: Longer words are cut into pieces of this many characters.
+#: By default longer words are cut into pieces of this many characters; nothing is lost.
 MAX_WORD_LENGTH = 255
 
 
@@ -63,15 +63,15 @@ def plain_words(text: Column) -> Column:
     return F.regexp_extract_all(F.lower(text), F.lit(PLAIN_WORD), F.lit(0))
 
 
-def unicode_words(text: Column) -> Column:
-    """Lower-cased words by Unicode word breaks, in order."""
+def unicode_words(text: Column, longest: int = MAX_WORD_LENGTH) -> Column:
+    """Lower-cased words by Unicode word breaks, in order, of at most ``longest`` characters."""
     words = F.regexp_extract_all(F.lower(text), F.lit(UNICODE_WORD_CJK), F.lit(0))
     words = F.filter(words, lambda w: F.trim(w, F.lit("_")) != "")
     # A second pass over every word only where one is too long: cutting inside
     # the pattern would make it backtrack.
     cut = F.flatten(F.transform(
         words,
-        lambda w: F.regexp_extract_all(w, F.lit(f"(?s).{{1,{MAX_WORD_LENGTH}}}"), F.lit(0)),
+        lambda w: F.regexp_extract_all(w, F.lit(f"(?s).{{1,{longest}}}"), F.lit(0)),
     ))
-    too_long = F.exists(words, lambda w: F.length(w) > MAX_WORD_LENGTH)
+    too_long = F.exists(words, lambda w: F.length(w) > longest)
     return F.when(too_long, cut).otherwise(words)
