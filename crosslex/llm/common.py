@@ -82,7 +82,7 @@ class Memo(dict):
     memory is bounded whatever the texts hold.
     """
 
-    def __init__(self, make: Callable[[str], Any], limit: int = 200_000, longest: int = 64):
+    def __init__(self, make: Callable[[str], Any], limit: int = 100_000, longest: int = 64):
         super().__init__()
         self.make, self.limit, self.longest, self.older = make, limit, longest, {}
 

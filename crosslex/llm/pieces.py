@@ -79,7 +79,7 @@ class Parts:
     def __init__(self, pieces: Pieces, make: Callable[[str], Any],
                  join: Callable[[list[Any]], Any]):
         self.neighbours, self.join = pieces.neighbours, join
-        self.parts = Memo(make, 60_000)
+        self.parts = Memo(make, 40_000)
         self.segments = Memo(self._of_segment)
 
     def _of_segment(self, segment: str) -> Any:

@@ -213,7 +213,7 @@ class Encoder:
         self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
         self.ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
         self.words = Memo(self._fresh, 200_000)
-        self.stretches = Memo(self._of_stretch)
+        self.stretches = Memo(self._of_stretch, 200_000)
 
     def _fresh(self, text: str) -> bytes:
         return np.array(self.library.encode(text, add_special_tokens=False).ids,
