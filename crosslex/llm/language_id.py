@@ -22,8 +22,10 @@ from crosslex.sources import workspace
 FEATURES = 1 << 16
 #: Labelled rows a language is learned from, about.
 SAMPLE_ROWS = 1_000
-#: A label is a language if it is on one in so many rows; so there are at most so many.
-LABEL_SHARE = 1_000
+#: A label is a language if it is on so many rows, or on one in so many of the labelled rows.
+LEAST_ROWS, LABEL_SHARE = 5, 1_000
+#: Languages whose counts a task of the training holds at once.
+HELD_LANGUAGES = 64
 #: Neighbouring trigrams tell much the same: a text counts as at most so many of them.
 EVIDENCE = 60
 #: Documents that a host's or suffix's prior weighs against its own.
@@ -75,13 +77,15 @@ def train(docs: DataFrame, sample_rows: int = SAMPLE_ROWS, text_col: str = "text
           lang_col: str = "lang") -> Model:
     """Learn languages from about ``sample_rows`` labelled rows each, chosen by hash.
 
-    What reaches the driver is bounded: a count a language and feature.
+    Every label on ``LEAST_ROWS`` rows is learned, however large the table; where fewer than
+    ``LEAST_ROWS * LABEL_SHARE`` rows are labelled, rarer ones too. Rows whose label is null
+    or blank do not count. What reaches the driver is a count a language and feature.
     """
-    rows = picked(docs, text=text_of(text_col), lang=lang_col)
-    labels = rows.groupBy("lang").count()
+    rows = picked(docs, text=text_of(text_col), lang=lang_col).where(F.trim("lang") != "")
+    labels = workspace.settle(rows.groupBy("lang").count(), "labels")
     total = labels.agg(F.sum("count")).first()[0] or 0
     found = {r["lang"]: r["count"] for r in labels.where(
-        F.col("lang").isNotNull() & (F.col("count") * LABEL_SHARE >= total)).collect()}
+        (F.col("count") >= LEAST_ROWS) | (F.col("count") * LABEL_SHARE >= total)).collect()}
     languages = sorted(found)
     if not languages:
         return Model([], np.zeros((0, FEATURES), np.float32))
@@ -91,14 +95,26 @@ def train(docs: DataFrame, sample_rows: int = SAMPLE_ROWS, text_col: str = "text
         F.pmod(F.xxhash64("text"), F.lit(1_000_003)) < share[F.col("lang")] * 1_000_003)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = np.zeros((len(languages), FEATURES), np.int64)
         place = {lang: k for k, lang in enumerate(languages)}
+        counts: dict[int, np.ndarray] = {}
+
+        def counted_so_far() -> Iterator[pa.RecordBatch]:
+            for k, own in counts.items():
+                f = np.flatnonzero(own)
+                yield pa.RecordBatch.from_pydict({"k": np.full(len(f), k), "f": f, "n": own[f]})
+            counts.clear()
+
         for part in slices(batches):
             for text, lang in zip(part.column("text").to_pylist(), part.column("lang").to_pylist()):
                 feature, counted, _ = trigrams([text])
-                counts[place[lang]] += np.bincount(feature[counted], minlength=FEATURES)
-        k, f = np.nonzero(counts)
-        yield pa.RecordBatch.from_pydict({"k": k, "f": f, "n": counts[k, f]})
+                own = np.bincount(feature[counted], minlength=FEATURES)
+                if (k := place[lang]) in counts:
+                    counts[k] += own
+                    continue
+                if len(counts) >= HELD_LANGUAGES:
+                    yield from counted_so_far()
+                counts[k] = own
+        yield from counted_so_far()
 
     summed = sample.mapInArrow(run, "k long, f long, n long").groupBy("k", "f").agg(
         F.sum("n").alias("n")).toPandas()

@@ -345,6 +345,36 @@ def test_language_odd(odd, empty, docs):
         odd.withColumn("lang", F.lit(None).cast("string"))).collect())
 
 
+def test_language_few_labelled(spark, docs):
+    """Labels on few rows of a large table: among unlabelled rows, and beside common ones."""
+    some = docs.where("length(text) > 40").groupBy("lang").agg(
+        F.slice(F.collect_list("text"), 1, 10).alias("texts")).select(
+        "lang", F.explode("texts").alias("text"))
+    few = some.unionByName(spark.range(45_000).select(
+        F.when(F.col("id") % 2 == 0, "").alias("lang"), F.lit("").alias("text")))
+    model = language_id.train(few)
+    assert model.languages == sorted(r["lang"] for r in docs.select("lang").distinct().collect())
+
+    rare = [(i, "ugu xaxo bogu zuxi " * 5 + str(i), "xx", "s") for i in range(12)]
+    table = spark.range(100, 15_100).select(
+        F.col("id").alias("doc_id"), F.lit("the end of the story is here").alias("text"),
+        F.lit("en").alias("lang"), F.lit("s").alias("source")).unionByName(
+        spark.createDataFrame(rare, "doc_id long, text string, lang string, source string"))
+    found = language_id.language_report(table).groupBy("declared", "language", "kept").count()
+    assert sorted(map(tuple, found.collect())) == [("en", "en", True, 15_000), ("xx", "xx", True, 12)]
+
+
+def test_language_many_labels(spark, monkeypatch):
+    """A task hands over its counts where it has many languages; nothing is lost."""
+    rows = [(f"{chr(97 + i)}{chr(98 + i)} " * 9, f"l{i}") for i in range(9)] * 4
+    frame = spark.createDataFrame(rows, "text string, lang string").coalesce(1)
+    once = language_id.train(frame)
+    monkeypatch.setattr(language_id, "HELD_LANGUAGES", 2)
+    again = language_id.train(frame)
+    assert again.languages == once.languages and len(once.languages) == 9
+    assert (again.logs == once.logs).all()
+
+
 # --- pages -------------------------------------------------------------------
 
 @pytest.mark.parametrize("html, text", [
