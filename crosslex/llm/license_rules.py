@@ -1,11 +1,13 @@
 """Signature rules for licence statements, in order of their priority.
 
 A rule has a label, a keyword that a text must hold before the rule is tried, a
-pattern and a priority. Most rules come from a few hand-written forms in which
+pattern and a priority. Whatever a pattern matches holds the rule's keywords, each a part
+of one word, as there may be anything between words. Most rules come from a few hand-written forms in which
 licences are stated (tag, address, sentence, notice), filled with the names of the
 licences; a licence with versions has rules for each version and some without.
 """
 
+import re
 from dataclasses import dataclass
 
 #: What a word is made of, inside a character class: digits, letters, all beyond ASCII.
@@ -89,26 +91,26 @@ COMMONS = {
 }
 COMMONS_VERSIONS = ["1.0", "2.0", "2.5", "3.0", "4.0"]
 
-#: Sentences and notices that name no licence family: label, keyword, pattern, priority.
+#: Sentences and notices that name no licence family: label, one keyword or two, pattern, priority.
 STATEMENTS = [
     ("mit-text", "hereby granted", "permission is hereby granted free of charge to any person obtaining a copy", 90),
     ("isc-text", "permission", "permission to use copy modify and or distribute this software for any purpose", 90),
-    ("bsd-text", "redistribution and use", "redistribution and use in source and binary forms", 88),
-    ("bsd-text", "endorse or promote", "may be used to endorse or promote products derived from this software", 89),
-    ("as-is", "as is", "this software is provided as is without any express or implied warranty", 70),
-    ("as-is", "as is", "the software is provided as is without warranty of any kind", 60),
-    ("wtfpl", "what the", "do what the (?:fuck|hell) you want to", 80),
-    ("public-domain", "public domain", "(?:released |dedicated |placed )?(?:in|into|to) the public domain", 75),
+    ("bsd-text", "redistribution", "redistribution and use in source and binary forms", 88),
+    ("bsd-text", "endorse promote", "may be used to endorse or promote products derived from this software", 89),
+    ("as-is", "warranty provided", "this software is provided as is without any express or implied warranty", 70),
+    ("as-is", "warranty provided", "the software is provided as is without warranty of any kind", 60),
+    ("wtfpl", "what want", "do what the (?:fuck|hell) you want to", 80),
+    ("public-domain", "domain public", "(?:released |dedicated |placed )?(?:in|into|to) the public domain", 75),
     ("cc0", "cc0", "cc0(?: 1 0)?(?: universal)?", 75),
-    ("cc0", "no rights reserved", "no rights reserved", 74),
+    ("cc0", "reserved rights", "no rights reserved", 74),
     ("unlicense", "unencumbered", "free and unencumbered software released into the public domain", 92),
-    ("some-reserved", "some rights reserved", "some rights reserved", 40),
+    ("some-reserved", "reserved some", "some rights reserved", 40),
     ("copyright", "copyright", r"copyright (?:c )?[12]\d\d\d", 30),
     ("copyright", "copyright", "(?:all )?copyrights? (?:is|are|by|of|holders?)", 20),
     ("confidential", "confidential", "(?:proprietary and confidential|confidential and proprietary)", 35),
     ("no-copying", "without", "may not be (?:reproduced|copied|distributed|republished) .{0,60}?without", 45),
-    ("no-copying", "permission", "without (?:the )?(?:prior |express |written )+(?:permission|consent)", 44),
-    ("terms", "terms of use", "(?:subject to|see) (?:our|the) terms of use", 15),
+    ("no-copying", "without", "without (?:the )?(?:prior |express |written )+(?:permission|consent)", 44),
+    ("terms", "terms", "(?:subject to|see) (?:our|the) terms of use", 15),
 ]
 
 
@@ -117,6 +119,14 @@ def _loose(name: str) -> str:
     return name.replace(" ?", "@").replace(" ", GAP).replace("@", rf"[^{WORD_CHARS}]*")
 
 
+def _keywords(name: str) -> tuple[str, str]:
+    """The longest of a name's words, and another of them, if any; a licence has either spelling."""
+    parts = [re.sub("licen[cs]e$", "licen", word) for word in name.split(" ")]
+    key = max(parts, key=lambda word: (word != "licen", len(word)))
+    rest = [word for word in parts if word != key]
+    return key, "licen" if "licen" in rest else rest[0] if rest else ""
+
+
 def _version(version: str) -> str:
     major, _, minor = version.partition(".")
     # 2.0 is written 2 as well
@@ -141,15 +151,16 @@ def build() -> list[Rule]:
             rf"spdx-license-identifier:\s*{label}-{version}(?:-only|-or-later|\+)?"), 100)
             for version in versions]
         for name in names:
-            own, also = _loose(name.replace("license", "licen[cs]e").replace("licence", "licen[cs]e")), name.split(" ")[0]
+            own = _loose(name.replace("license", "licen[cs]e").replace("licence", "licen[cs]e"))
             own += rf"(?:{GAP}licen[cs]e)?" * (not own.endswith("licen[cs]e"))
-            rules.append(Rule(label, "licen", also, _any_case(under + own), 80))
-            rules.append(Rule(label, "licen", also, _any_case(own.replace(")?", ")")), 65))
+            key, more = _keywords(name)
+            rules.append(Rule(label, key, more or "under", _any_case(under + own), 80))
+            rules.append(Rule(label, key, "licen", _any_case(own.replace(")?", ")")), 65))
             for version in versions:
                 rules += [
-                    Rule(f"{label}-{version}", "licen", also, _any_case(
+                    Rule(f"{label}-{version}", key, more or "under", _any_case(
                         rf"{under}{own}[\s,]{{0,3}}{_version(version)}"), 95),
-                    Rule(f"{label}-{version}", "licen", also, _any_case(
+                    Rule(f"{label}-{version}", key, more or version[0], _any_case(
                         rf"{own}[\s,]{{0,3}}{_version(version)}"), 85),
                 ]
     for letters, name in COMMONS.items():
@@ -161,17 +172,17 @@ def build() -> list[Rule]:
                     rf"creativecommons\.org/licenses/{letters}/{version}"), 99),
                 Rule(tagged, "cc", "by", _any_case(
                     rf"cc[\s_-]{{1,2}}{short}[\s_-]{{1,2}}{_version(version)}"), 96),
-                Rule(tagged, "creative commons", "attribution", _any_case(
+                Rule(tagged, "commons", "attribution", _any_case(
                     rf"creative{GAP}commons{GAP}{_loose(name)}[\s,]{{0,3}}{_version(version)}"), 97),
             ]
         rules += [
             Rule(f"cc-{letters}", "creativecommons.org", letters, _any_case(
                 rf"creativecommons\.org/licenses/{letters}(?=/|\s|$)"), 82),
-            Rule(f"cc-{letters}", "creative commons", "attribution", _any_case(
+            Rule(f"cc-{letters}", "commons", "attribution", _any_case(
                 rf"creative{GAP}commons{GAP}{_loose(name)}"), 81),
         ]
         if letters != "by":  # that one is a base phrase
             rules.append(Rule(f"cc-{letters}", "cc", "by", _any_case(rf"cc[\s_-]{{1,2}}{short}"), 79))
-    rules += [Rule(label, keyword, "", _any_case(pattern.replace(" ", GAP)), priority)
-              for label, keyword, pattern, priority in STATEMENTS]
+    rules += [Rule(label, *keywords.partition(" ")[::2], _any_case(pattern.replace(" ", GAP)), priority)
+              for label, keywords, pattern, priority in STATEMENTS]
     return sorted(rules, key=lambda rule: (-rule.priority, rule.label, rule.pattern))

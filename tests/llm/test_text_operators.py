@@ -286,6 +286,64 @@ def test_license_overlaps(spark):
     assert row["base_labels"] == "gpl" and row["labels"] == "apache-2.0,gpl,gpl-3.0,mit"
 
 
+def matched_text(parsed, rng):
+    """A text that a parsed pattern matches; line breaks between its words."""
+    out = ""
+    for op, value in parsed:
+        op = str(op)
+        if op == "LITERAL":
+            out += chr(value)
+        elif op == "IN":
+            kind, what = value[0]
+            # Of what is no word character a line break; of classes the first member.
+            out += "\n" if str(kind) == "NEGATE" or str(what) == "CATEGORY_SPACE" else (
+                "7" if str(kind) == "CATEGORY" else chr(what if isinstance(what, int) else what[0]))
+        elif op == "ANY":
+            out += "x"
+        elif op == "BRANCH":
+            out += matched_text(rng.choice(value[1]), rng)
+        elif op == "SUBPATTERN":
+            out += matched_text(value[3], rng)
+        elif op.endswith("REPEAT"):
+            low, high, inner = value
+            for _ in range(rng.randint(low, min(int(high), low + 1))):
+                out += matched_text(inner, rng)
+        else:
+            assert op.startswith("ASSERT") or op == "AT", op
+    return out
+
+
+def test_license_gates():
+    """Whatever a rule's pattern matches opens the rule's gate."""
+    rng = random.Random(6)
+    for rule in license_rules.build():
+        pattern = rule.pattern.replace(r"\x{10FFFF}", "\U0010ffff")
+        seen = 0
+        for _ in range(60):
+            text = matched_text(re._parser.parse(pattern), rng)
+            if found := re.search(pattern, text):
+                seen += 1
+                lowered = found[0].lower()
+                assert rule.keyword in lowered and rule.also in lowered, (rule, text)
+        assert seen, rule
+
+
+def test_license_without_keywords(spark):
+    """Names without the word licence, and notices whose lines are broken."""
+    texts = {
+        "Released under the GPLv3.": "gpl-3.0", "Distributed under GPL 3.0": "gpl-3.0",
+        "It is Apache 2.0 all through": "apache-2.0", "available under the terms of the MIT": "mit",
+        "THE SOFTWARE IS PROVIDED \"AS\nIS\", WITHOUT WARRANTY OF ANY KIND": "as-is",
+        "Permission is hereby\ngranted, free of charge, to any person obtaining a copy": "mit-text",
+        "Creative\nCommons Attribution 4.0": "cc-by-4.0", "in the public\n domain": "public-domain",
+        "Redistribution\nand use in source and binary forms": "bsd-text", "see our terms\tof use": "terms",
+        "no\nrights reserved": "cc0", "without written consent": "no-copying",
+    }
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r["doc_id"]: r["labels"] for r in licenses.license_report(frame).collect()}
+    assert [got[i] for i in range(len(texts))] == list(texts.values())
+
+
 def test_license_scan_keeps_columns(odd, empty):
     seen = licenses.scan(odd)
     assert seen.columns == [*[c for c in odd.columns if c not in ("found", "base")], "found", "base"]
