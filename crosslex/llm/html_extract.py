@@ -17,8 +17,8 @@ from crosslex.llm.html_parse import parse
 from crosslex.sources import workspace
 
 #: A subtree belongs to the template if it is on so many unlike pages of its host, and on
-#: this share of them. So a host has at most as many as its mean page has, over the share.
-LEAST_PAGES, LEAST_SHARE = 5, 0.3
+#: this share of them or on so many pages that no share is asked for.
+LEAST_PAGES, LEAST_SHARE, MANY_PAGES = 5, 0.3, 20
 #: Up to so many subtrees of all hosts are sent to every task; more are joined by host.
 BROADCAST_TREES = 200_000
 
@@ -30,8 +30,8 @@ def host_of(url: Column) -> Column:
 
 
 def templates(pages: DataFrame, least_pages: int = LEAST_PAGES,
-              least_share: float = LEAST_SHARE, url_col: str = "url",
-              html_col: str = "html") -> DataFrame:
+              least_share: float = LEAST_SHARE, many_pages: int = MANY_PAGES,
+              url_col: str = "url", html_col: str = "html") -> DataFrame:
     """``host, trees``: digests of the subtrees of a host's template.
 
     A page counts by its text: copies of one page under many addresses are one page, so an
@@ -60,7 +60,8 @@ def templates(pages: DataFrame, least_pages: int = LEAST_PAGES,
             F.col("tree").isNull() | (F.col("pages") >= least_pages)), "trees")
     whole = counts.where("tree is null").select("host", F.col("pages").alias("all_pages"))
     return counts.where("tree is not null").join(whole, "host").where(
-        F.col("pages") >= least_share * F.col("all_pages")).groupBy("host").agg(
+        (F.col("pages") >= many_pages)
+        | (F.col("pages") >= least_share * F.col("all_pages"))).groupBy("host").agg(
         F.collect_list("tree").alias("trees"))
 
 

@@ -214,6 +214,18 @@ def test_template_removal(spark):
     assert html_extract.extract(frame.where("false")).count() == 0
 
 
+def test_template_of_a_section(spark):
+    """What recurs in one section of a large host goes, whatever its share of the host."""
+    rows = [(i, f"http://host.org/{i}", f"<div class=x{i}>text {i}</div>" + (
+        "<div><span>Shop</span> offers</div>" if i < 60 else "")) for i in range(600)]
+    rows += [(1_000, "http://host.org/few", "<div>few</div><div class=y>a</div>"),
+             (1_001, "http://host.org/few2", "<div>few</div><div class=z>b</div>")]
+    frame = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = {r["page_id"]: r["text"] for r in html_extract.extract(frame).collect()}
+    assert all(got[i] == f"text {i}" for i in range(600))
+    assert got[1_000] == "few a" and got[1_001] == "few b"
+
+
 def test_template_removal_by_join(spark, monkeypatch):
     pages = spark.read.parquet(f"{SF}/pages.parquet")
     once = sorted(map(tuple, html_extract.extract(pages).collect()))
