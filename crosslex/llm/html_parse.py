@@ -36,7 +36,7 @@ CLOSES = {
     "option": (frozenset(["option"]), frozenset(["select"])),
     "body": (frozenset(["head"]), frozenset(["html"])),
 }
-#: Words in a class or id that mark what is no article; and roles.
+#: Words that mark what is no article, where a class or id is one of them or ends in it; roles.
 MARKS = frozenset(
     "ad ads advert adverts advertisement adbox adsense sponsor sponsored promo promotion banner "
     "nav navbar navigation menu menubar breadcrumb breadcrumbs header masthead topbar footer "
@@ -44,11 +44,18 @@ MARKS = frozenset(
     "respond discussion notice notices cookie cookies consent gdpr popup modal overlay newsletter "
     "subscribe subscription signup login share sharing social related recommended pagination pager "
     "toolbar copyright skip".split())
+#: Words that may stand behind a mark, and such that turn it into its contrary before it.
+BEHIND = frozenset(
+    "box block bar container wrapper wrap list link links item items area slot unit form panel "
+    "inner outer group top bottom left right".split())
+CONTRARY = frozenset("no not non without has have with hide hides hidden show".split())
 ROLES = frozenset(
     "navigation banner contentinfo complementary search alert alertdialog dialog menu menubar "
     "toolbar form".split())
 #: Elements that hold the article, and the whole page, whatever their class says.
 HOLDERS = frozenset(["article", "main", "body", "html"])
+#: Elements whose text is prose; a marked element that has so much of a page's text in them stays.
+PARAGRAPHS, MOST = frozenset("p pre blockquote li dd td".split()), 0.8
 #: Elements of running text: inside an article these are never a site's template.
 PROSE = frozenset(
     "p h1 h2 h3 h4 h5 h6 ul ol li dl dt dd blockquote pre table thead tbody tfoot tr td th caption "
@@ -66,6 +73,8 @@ class Open:
     parts: list[str] = field(default_factory=list)  # of its digest
     pieces: list[str | None] = field(default_factory=list)  # texts; None between blocks
     articles: int = 0  # that were found before it
+    number: int = 0  # of its opening tag
+    prose: int = 0  # characters of it before it
 
 
 @dataclass
@@ -93,19 +102,38 @@ def _blocks(pieces: list[str | None]) -> str:
     return " ".join(blocks)
 
 
-def parse(html: str, template: frozenset[int] | set[int] = frozenset()) -> Page:
+def _marked(names: str) -> bool:
+    """Whether one of the classes or ids marks what is no article."""
+    for name in names.split():
+        words = [w for w in re.split(r"[^a-z]+", name) if len(w) > 1]
+        while len(words) > 1 and words[-1] in BEHIND:
+            words.pop()
+        if words and words[-1] in MARKS and not CONTRARY.intersection(words):
+            return True
+    return False
+
+
+def parse(html: str, template: frozenset[int] | set[int] = frozenset(),
+          spared: frozenset[int] = frozenset()) -> Page:
     """Read a page; subtrees whose digest is in ``template`` are left out.
 
     The text is that of the outermost articles, else of the main element, else of the body.
+    Marked elements that turn out to hold most of the text as prose are ``spared``, by the
+    number of their opening tag, when the page is read again.
     """
     root = Open("")
     stack, digests = [root], set()
     articles: list[tuple[str, list]] = []
     inside = 0  # open articles
+    opened = lost = paragraphs = 0  # elements so far; open ones that are gone, of prose
+    shown_chars = prose = 0  # characters outside of what is gone, of them in prose
+    dropped: list[tuple[int, int]] = []  # marked elements left out, and their prose
 
     def close() -> None:
-        nonlocal inside
+        nonlocal inside, lost, paragraphs
         own = stack.pop()
+        lost -= own.gone
+        paragraphs -= own.tag in PARAGRAPHS
         above = stack[-1]
         content = "\0".join(own.parts)
         digest = int.from_bytes(blake2b(
@@ -118,6 +146,8 @@ def parse(html: str, template: frozenset[int] | set[int] = frozenset()) -> Page:
         if own.gone and not (own.tag == "form" and holds) or own.marked and (
                 not holds or own.articles):
             # A marked element may be around the article, but not around a later one.
+            if own.marked and not own.gone and not holds:
+                dropped.append((own.number, prose - own.prose))
             del articles[own.articles:]
             return
         if not holds and own.parts and (
@@ -147,12 +177,16 @@ def parse(html: str, template: frozenset[int] | set[int] = frozenset()) -> Page:
         return None
 
     def text(raw: str) -> None:
+        nonlocal shown_chars, prose
         if raw:
             shown = unescape(raw)
             top = stack[-1]
             top.pieces.append(shown)
             if word := " ".join(shown.split()):
                 top.parts.append(word)
+                if not lost:
+                    shown_chars += len(word)
+                    prose += len(word) * (paragraphs > 0)
 
     at, size = 0, len(html)
     while at < size:
@@ -190,13 +224,14 @@ def parse(html: str, template: frozenset[int] | set[int] = frozenset()) -> Page:
                 frozenset(["p"]), frozenset(["article", "main", "div", "section", "td", "th",
                                              "li", "blockquote", "button", "body"]))) is not None:
             close_to(place)
-        new = Open(tag, articles=len(articles))
+        opened += 1
+        new = Open(tag, articles=len(articles), number=opened, prose=prose)
         if "=" in source or source.strip(" /\n\t\r"):
             given = _attributes(source)
             marks = f"{given.get('class', '')} {given.get('id', '')}".lower()
             new.plain = not marks.strip()
             new.marked = bool(
-                MARKS.intersection(re.split(r"[^a-z]+", marks))
+                opened not in spared and _marked(marks)
                 or given.get("role", "").lower() in ROLES or "hidden" in given
                 or given.get("aria-hidden") == "true"
                 or re.search(r"display\s*:\s*none", given.get("style", ""))) and tag not in ("main", "body", "html")
@@ -205,6 +240,8 @@ def parse(html: str, template: frozenset[int] | set[int] = frozenset()) -> Page:
                 new.parts.append(given.get("href", ""))
         new.parts = [p for p in new.parts if p]
         new.gone = tag in GONE
+        lost += new.gone
+        paragraphs += tag in PARAGRAPHS
         if tag in ("article", "main"):
             inside += 1
         stack.append(new)
@@ -217,6 +254,9 @@ def parse(html: str, template: frozenset[int] | set[int] = frozenset()) -> Page:
         elif source.endswith("/") and tag in ("svg", "path", "use", "g"):
             close()
     close_to(1)
+    if not spared and (again := frozenset(
+            number for number, chars in dropped if chars > MOST * shown_chars)):
+        return parse(html, template, again)
     chosen = [p for tag, p in articles if tag == "article" and _blocks(p)] or [
         p for _, p in articles if _blocks(p)] or [root.pieces]
     return Page(_blocks([x for p in chosen for x in [*p, None]]), digests)

@@ -450,3 +450,20 @@ def test_language_many_labels(spark, monkeypatch):
 ])
 def test_page_text(html, text):
     assert html_parse.parse(html).text == text
+
+
+@pytest.mark.parametrize("names", [
+    "content no-sidebar", "main has-header", "post-body hide-comments", "ad-free", "share-enabled"])
+def test_page_compound_class(names):
+    """A mark inside a compound class is none, in an article or without one."""
+    wrapped = f"<div class='{names}'>running <p>text</p></div>"
+    for page in (wrapped, f"<article>{wrapped}</article>", f"<div id='{names.split()[-1]}'>running <p>text</p></div>"):
+        assert html_parse.parse(f"<body>{page}<div class='site-footer'>f</div></body>").text == "running text"
+
+
+def test_page_marked_wrapper():
+    """A marked wrapper stays where it holds most of the text as prose."""
+    page = "<div class='related'><div class='widget'><p>{}</p></div></div><div>{}</div>"
+    assert html_parse.parse(page.format("long text " * 9, "x")).text == "long text " * 9 + "x"
+    assert html_parse.parse(page.format("more", "a text of its own")).text == "a text of its own"
+    assert html_parse.parse("<div class='ad-300x250'>ad</div><ul id=main-menu><li>m</ul>t").text == "t"
