@@ -21,6 +21,10 @@ from crosslex.sources import workspace
 
 #: Vectors that rotations are learned from, at most; and bytes of them.
 SAMPLE_ROWS, SAMPLE_BYTES = 20_000, 32_000_000
+#: Pairs that are made to find how many tables there must be, at most.
+MADE_PAIRS = 2_000
+#: Vectors are hashed with their mean where it would take so many times the tables without it.
+MOST_TABLES = 10
 #: Vectors of a bucket are compared in blocks of so many.
 BLOCK = 1_024
 
@@ -56,19 +60,45 @@ def rotation(centred: np.ndarray, seed: int, rounds: int = 30) -> np.ndarray:
     return turn
 
 
+def _angles(sample: np.ndarray, mean: np.ndarray, cosine: float) -> np.ndarray:
+    """Angles, after the mean is taken off, of pairs made at the cosine from vectors of the sample.
+
+    The second of a pair is disturbed in all directions alike, square to the first.
+    """
+    if not len(sample) or sample.shape[1] < 2:
+        return np.array([math.acos(cosine)])
+    first = sample[:MADE_PAIRS]
+    noise = np.random.default_rng(0).standard_normal(first.shape)
+    noise -= (noise * first).sum(axis=1, keepdims=True) * first
+    noise /= np.maximum(np.sqrt((noise * noise).sum(axis=1, keepdims=True)), 1e-300)
+    second = cosine * first + math.sqrt(max(0.0, 1 - cosine * cosine)) * noise
+    a, b = first - mean, second - mean
+    lengths = np.sqrt((a * a).sum(axis=1) * (b * b).sum(axis=1))
+    # A vector that is all mean has no direction left.
+    found = (a * b).sum(axis=1)[lengths > 1e-12] / lengths[lengths > 1e-12]
+    return np.arccos(np.clip(found, -1, 1)) if len(found) else np.array([math.acos(cosine)])
+
+
 def learn(sample: np.ndarray, vectors: int, cosine: float) -> Codes:
     """Codes for about ``vectors`` vectors.
 
     Keys have as many bits as the number of vectors asks for, so that a bucket holds a few
-    unlike vectors at any size. Two vectors at the least cosine differ in a bit with the
-    probability ``acos(cosine) / pi``; there are as many tables as let such a pair miss all
-    of them in one of twenty cases. Closer pairs are missed far less.
+    unlike vectors at any size. Bits of two vectors at the least cosine are the same less often
+    where what the vectors have in common is large, as that is taken off first: pairs are made
+    from vectors of the sample, and there are as many tables as let them miss all tables in
+    one of twenty cases, on average over the pairs. Closer pairs are missed far less. Where
+    that takes too many tables the mean stays on: buckets are larger then, but none is cut.
     """
     size = sample.shape[1]
     bits = max(12, min(32, math.ceil(math.log2(max(vectors, 2)))))
-    same = (1 - math.acos(cosine) / math.pi) ** bits
-    tables = math.ceil(math.log(0.05) / math.log(1 - same))
     mean = sample.mean(axis=0) if len(sample) else np.zeros(size)
+    same = (1 - _angles(sample, mean, cosine) / math.pi) ** bits
+    least = math.ceil(math.log(0.05) / math.log(1 - (1 - math.acos(cosine) / math.pi) ** bits))
+    tables = least
+    while ((1 - same) ** tables).mean() > 0.05 and tables < MOST_TABLES * least:
+        tables += 1
+    if ((1 - same) ** tables).mean() > 0.05:
+        mean, tables = np.zeros(size), least
     turns = [rotation(sample - mean, seed) for seed in range(-(-bits * tables // size))]
     # Bits of one key come from all directions: shuffled, alike every time.
     every = np.concatenate(turns, axis=1)

@@ -181,6 +181,26 @@ def test_vectors_near_the_threshold(spark):
     assert sum(got.values()) >= 0.9 * sum(want.values())
 
 
+@pytest.mark.parametrize("common", [0.0, 0.57, 0.71, 0.95, 0.999])
+def test_vectors_with_a_common_part(common):
+    """Pairs just above the least cosine share a key, however much all vectors have in common."""
+    rng = np.random.default_rng(8)
+
+    def unit(v):
+        return v / np.linalg.norm(v, axis=1, keepdims=True)
+
+    own = unit(rng.standard_normal((4_000, 64))) * np.sqrt(1 - common ** 2)
+    own[:, 0] += common
+    own = unit(own)
+    first = own[2_000:]
+    noise = rng.standard_normal(first.shape)
+    noise = unit(noise - (noise * first).sum(axis=1, keepdims=True) * first)
+    second = 0.951 * first + np.sqrt(1 - 0.951 ** 2) * noise
+    for vectors in (20_000, 10_000_000):
+        codes = embeddings.learn(own[:2_000], vectors, 0.95)
+        assert (codes.keys(first) == codes.keys(second)).any(axis=1).mean() >= 0.9
+
+
 def test_vectors_odd(spark):
     nan, inf = float("nan"), float("inf")
     rows = [(1, None), (2, []), (3, [0.0, 0.0]), (4, [1.0, None]), (5, [nan, 1.0]), (6, [inf, 1.0]),
