@@ -6,8 +6,10 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from crosslex.llm import (
+    conversations,
     decontamination,
     embeddings,
+    filter_audit,
     html_extract,
     jaccard,
     language_id,
@@ -17,6 +19,7 @@ from crosslex.llm import (
     token_counts,
     token_files,
     unigram,
+    url_rules,
 )
 from crosslex.sources import workspace
 
@@ -74,15 +77,44 @@ def op10_vector_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embeddings.near_vectors(_table(spark, sf_dir, "embeddings"), cosine=0.95)
 
 
+# The rules given to the URL filter.
+LISTED = [url_rules.Listed("block", "net", "/"), url_rules.Listed("allow", "example.net", "/en/"),
+          url_rules.Listed("block", "example.com", "/de/"), url_rules.Listed("allow", "org", "/fr/")]
+
+
+def op11_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page; rules are mined from what the list and the labels say about pages."""
+    pages = _table(spark, sf_dir, "pages")
+    known = url_rules.labelled_urls(pages, _table(spark, sf_dir, "labels"), LISTED)
+    return url_rules.judge_urls(pages, LISTED, url_rules.mine(known))
+
+
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every conversation, damaged and repaired."""
+    given = _table(spark, sf_dir, "conversations")
+    damaged = conversations.damage(given)
+    return conversations.repaired_digests(damaged, conversations.audit(damaged, given))
+
+
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents and labels, all orders of the five filters, by source."""
+    masks = filter_audit.failure_masks(_table(spark, sf_dir, "documents"))
+    return filter_audit.filter_interactions(
+        filter_audit.mask_cells(masks, _table(spark, sf_dir, "labels")))
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f for f in (
         op1_decontamination, op2_license_scan, op3_sentencepieces, op4_token_files,
         op5_language_id, op6_shards, op7_token_counts, op8_html_text,
-        op9_parity_join, op10_vector_links)
+        op9_parity_join, op10_vector_links, op11_url_rules, op12_conversation_repair,
+        op13_filter_audit)
 }
 
 SQL: dict[str, str] = {
     "op1_decontamination": oracle.CONTAMINATION,
     "op9_parity_join": oracle.SHINGLES,
     "op10_vector_links": oracle.VECTORS,
+    "op12_conversation_repair": oracle.CONVERSATIONS,
+    "op13_filter_audit": oracle.FILTERS,
 }
