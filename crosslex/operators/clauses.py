@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from crosslex.functions.analysis import analyzer_for
-from crosslex.operators import search
+from crosslex.operators import lookups, search
 from crosslex.operators.index import Index, bucket
 
 # Kinds of clause, ways to combine groups, most edits of fuzzy clauses.
@@ -27,7 +27,7 @@ class Clause:
     """One condition.
 
     ``value`` is words for ``term`` (any may match) and ``phrase`` (in sequence,
-    up to ``slop`` moves apart for different words), a pattern for ``prefix``, ``wildcard``
+    up to ``slop`` moves apart), a pattern for ``prefix``, ``wildcard``
     and ``regex``, a word for ``fuzzy`` (within ``edits``; all near terms, or the
     ``expansions`` nearest if asked for), and the lower end of a ``range`` up to
     ``upper``.
@@ -80,11 +80,15 @@ def analyzed(index: Index, lang: str, value: str) -> list[tuple[str, int]]:
 
 
 def _of_terms(index: Index, lang: str, field: str, terms) -> DataFrame:
-    """Postings of given terms; folders and row groups are pruned by literals."""
+    """Postings of given terms, or of pairs of terms; folders and row groups are pruned by
+    literals."""
     terms = sorted(set(terms))
     folders = [bucket(F.lit(t), index.buckets) for t in terms]
-    return _postings(index, lang, field).where(
-        F.col("term_bucket").isin(*folders) & F.col("term").isin(terms))
+    pairs = [" " in t for t in terms]
+    postings = index.lookups.pairs if any(pairs) else index.postings
+    return postings.where(
+        (F.col("lang") == lang) & (F.col("field") == field)
+        & F.col("term_bucket").isin(*folders) & F.col("term").isin(terms))
 
 
 def _term_weights(index: Index, lang: str, field: str, terms) -> DataFrame:
@@ -169,19 +173,103 @@ def sloppy_frequency(slop: int, offsets=(0, 1)) -> Column:
     return F.aggregate(merged, begin, step, lambda acc: acc["sum"])
 
 
+#: A word of a phrase: its number, that of the same word before it (or -1), its place in the
+#: phrase, and where the word stands in a document.
+SLOT = "struct<slot int, previous int, offset int, positions array<int>>"
+
+
+def repeated_frequency(slots: Column, slop: Column) -> Column:
+    """Weighted matches of words up to ``slop`` moves apart where words may repeat.
+
+    A match gives every slot a place of its word, slots of one word different places in the
+    order in which they stand in the phrase. On the places, shifted as if the words were in
+    sequence, a match begins at a place of any slot and takes for each other slot the next
+    place that is left to it. It reaches to the farthest of them and counts 1 / (1 + that
+    distance) if it is at most ``slop`` - unless the slot it begins with has another place
+    before those of all the others, from where a match is as short. For different words this
+    is :func:`sloppy_frequency`.
+    """
+    place = "struct<at int, slot int, pos int>"
+    none = F.lit(None).cast(place)
+    merged = F.sort_array(F.flatten(F.transform(slots, lambda s: F.transform(
+        s["positions"], lambda p: F.struct(
+            (p - s["offset"]).alias("at"), s["slot"].alias("slot"), p.alias("pos"))))), asc=False)
+    # Per slot its next places, as many as there are slots: more others cannot have taken.
+    begin = F.struct(F.lit(0.0).alias("sum"), F.transform(
+        slots, lambda s: F.array().cast(f"array<{place}>")).alias("next"))
+
+    def taken(next_, start):
+        """Places of a match that begins at ``start``, slot by slot; null where there is none."""
+        def take(acc, s):
+            after = F.when(s["previous"] >= 0, F.get(acc, s["previous"])["pos"]).otherwise(-1)
+            free = F.filter(F.get(next_, s["slot"]), lambda p: p["pos"] > after)
+            own = F.when(start["pos"] > after, start).otherwise(none)
+            return F.array_append(acc, F.when(s["slot"] == start["slot"], own).when(
+                after.isNull(), none).otherwise(F.get(free, 0)))
+
+        return F.aggregate(slots, F.array().cast(f"array<{place}>"), take)
+
+    def step(acc, start):
+        match = taken(acc["next"], start)
+        others = F.filter(match, lambda p: p["slot"] != start["slot"])
+        again = F.get(F.get(acc["next"], start["slot"]), 0)
+        reach = F.array_max(F.transform(match, lambda p: p["at"])) - start["at"]
+        counts = (F.size(others) == F.size(slots) - 1) & ~F.exists(match, lambda p: p.isNull()) & (
+            reach <= slop) & F.coalesce(F.array_min(others) < again, F.lit(True))
+        return F.struct(
+            (acc["sum"] + F.when(counts, 1.0 / (1.0 + reach)).otherwise(0.0)).alias("sum"),
+            F.transform(acc["next"], lambda places, i: F.when(
+                i == start["slot"], F.slice(F.concat(F.array(start), places), 1, F.size(slots))
+            ).otherwise(places)).alias("next"))
+
+    return F.aggregate(merged, begin, step, lambda acc: acc["sum"])
+
+
+def _slots(tokens, terms) -> Column:
+    """The slots of a phrase whose words' positions are in ``p0``, ``p1``, ..."""
+    words = [t for t, _ in tokens]
+    return F.array(*[
+        F.struct(F.lit(i).alias("slot"),
+                 F.lit(max((j for j in range(i) if words[j] == t), default=-1)).alias("previous"),
+                 F.lit(pos - tokens[0][1]).alias("offset"),
+                 F.col(f"p{terms.index(t)}").alias("positions")).cast(SLOT)
+        for i, (t, pos) in enumerate(tokens)])
+
+
+def phrase_units(tokens, frequent) -> list[tuple[str, int]]:
+    """What to look up for words in sequence: ``(term, position)``, pairs of frequent
+    neighbours as one term and the words that are in no such pair."""
+    pairs = [(f"{a} {b}", pos) for (a, pos), (b, following) in zip(tokens, tokens[1:])
+             if following == pos + 1 and a in frequent and b in frequent]
+    paired = {p for _, pos in pairs for p in (pos, pos + 1)}
+    return sorted(pairs + [(t, pos) for t, pos in tokens if pos not in paired], key=lambda u: u[1])
+
+
+def _units(index, lang, field, tokens) -> list[tuple[str, int]]:
+    if index.lookups is None:
+        return tokens
+    words = [t for t, _ in tokens]
+    known = index.lookups.frequent.where(
+        (F.col("lang") == lang) & (F.col("field") == field) & F.col("term").isin(words))
+    return phrase_units(tokens, {r["term"] for r in known.collect()})
+
+
 def _match_phrase(index, lang, c: Clause, lossy: bool) -> DataFrame:
     tokens = analyzed(index, lang, c.value)
     terms = sorted({t for t, _ in tokens}, key=[t for t, _ in tokens].index)
     if not terms:
         return _nothing(index)
+    looked_up = terms
     if not c.slop:
-        frequency = phrase_frequency(tokens, terms)
+        units = _units(index, lang, c.field, tokens)
+        looked_up = sorted({t for t, _ in units}, key=[t for t, _ in units].index)
+        frequency = phrase_frequency(units, looked_up)
     elif len(terms) == 1 and len(tokens) == 1:
         frequency = F.size("p0").cast("double")
     elif len(tokens) == len(terms):
         frequency = sloppy_frequency(c.slop, [pos - tokens[0][1] for _, pos in tokens])
     else:
-        raise ValueError("slop is for phrases without repeated words")
+        frequency = repeated_frequency(_slots(tokens, terms), F.lit(c.slop))
     weights = _term_weights(index, lang, c.field, terms)
     known = {r["term"]: r["df"] for r in weights.select("term", "df").collect()}
     if len(known) < len(terms):
@@ -192,7 +280,15 @@ def _match_phrase(index, lang, c: Clause, lossy: bool) -> DataFrame:
     weight = weights.select(F.sum(F.element_at(counts, F.col("term")) * search.idf(
         F.col("n_docs"), F.col("df")))).scalar()
     mean = weights.select(F.max("avgdl")).scalar()
-    docs = phrase_positions(index, lang, c, terms, sorted(terms, key=lambda t: (known[t], t)))
+    pairs = [t for t in looked_up if " " in t]
+    if pairs:
+        stats = index.lookups.pair_stats.where(
+            (F.col("lang") == lang) & (F.col("field") == c.field) & F.col("term").isin(pairs))
+        known |= {r["term"]: r["df"] for r in stats.select("term", "df").collect()}
+    if any(t not in known for t in looked_up):
+        return _nothing(index)
+    rarest = sorted(looked_up, key=lambda t: (known[t], t))
+    docs = phrase_positions(index, lang, c, looked_up, rarest)
     score = weight * search.tf_norm(F.col("freq"), F.col("dl"), mean, lossy)
     return docs.withColumn("freq", frequency).where(F.col("freq") > 0).select(
         *DOC, score.alias("score"))
@@ -212,9 +308,23 @@ def _match_range(index, lang, c: Clause, lossy: bool) -> DataFrame:
     return _constant(_postings(index, lang, c.field).where(test))
 
 
-def _by_vocabulary(index, lang, c: Clause, test: Column) -> DataFrame:
-    """Documents with a term that passes a test made once per term, not per posting."""
-    terms = _vocabulary(index, lang, c.field).where(test).select("term_bucket", "term")
+def _with_grams(index, lang, field, needed: list[str] | None) -> DataFrame:
+    """``(term_bucket, term)`` with all the grams that a pattern needs; the whole vocabulary
+    if it needs none or the index has no gram table."""
+    if not needed or index.lookups is None:
+        return _vocabulary(index, lang, field).select("term_bucket", "term")
+    folders = [bucket(F.lit(gram), index.buckets) for gram in needed]
+    return index.lookups.grams.where(
+        (F.col("lang") == lang) & (F.col("field") == field) & F.col("gram_bucket").isin(*folders)
+        & F.col("gram").isin(needed)).groupBy("term_bucket", "term").agg(
+        F.count(F.lit(1)).alias("n")).where(F.col("n") == len(needed)).drop("n")
+
+
+def _by_vocabulary(index, lang, c: Clause, needed: Column, test: Column) -> DataFrame:
+    """Documents with a term that passes a test, made for the candidates of its grams only."""
+    grams = None if index.lookups is None else index.postings.sparkSession.range(1).select(
+        needed.alias("grams")).first()["grams"]
+    terms = _with_grams(index, lang, c.field, grams).where(test)
     return _constant(_postings(index, lang, c.field).join(
         terms, ["term_bucket", "term"], "left_semi"))
 
@@ -226,11 +336,14 @@ def wildcard_pattern(value: str) -> str:
 
 
 def _match_wildcard(index, lang, c: Clause, lossy: bool) -> DataFrame:
-    return _by_vocabulary(index, lang, c, F.col("term").like(wildcard_pattern(c.value.lower())))
+    value = c.value.lower()
+    return _by_vocabulary(index, lang, c, lookups.wildcard_grams(F.lit(value)),
+                          F.col("term").like(wildcard_pattern(value)))
 
 
 def _match_regex(index, lang, c: Clause, lossy: bool) -> DataFrame:
-    return _by_vocabulary(index, lang, c, F.col("term").rlike(f"^(?:{c.value})$"))
+    return _by_vocabulary(index, lang, c, lookups.regex_grams(F.lit(c.value)),
+                          F.col("term").rlike(f"^(?:{c.value})$"))
 
 
 def edit_distance(term: Column, word: str, most: int = MAX_EDITS) -> Column:
@@ -264,12 +377,27 @@ def edit_distance(term: Column, word: str, most: int = MAX_EDITS) -> Column:
     return distance
 
 
+def _near_vocabulary(index, lang, field, word: str, edits: int) -> DataFrame:
+    """Term statistics of the terms that share a neighbour with a word, or of all terms."""
+    vocabulary = _vocabulary(index, lang, field)
+    if index.lookups is None:
+        return vocabulary
+    spark = index.postings.sparkSession
+    keys = spark.range(1).select(
+        F.explode(lookups.deletions(F.lit(word), edits)).alias("key")).withColumn(
+        "key_bucket", bucket(F.col("key"), index.buckets))
+    found = index.lookups.neighbours.where(
+        (F.col("lang") == lang) & (F.col("field") == field)).join(
+        F.broadcast(keys), ["key_bucket", "key"]).select("term_bucket", "term").distinct()
+    return vocabulary.join(found, ["term_bucket", "term"], "left_semi")
+
+
 def fuzzy_terms(index, lang, c: Clause) -> DataFrame:
     """All near terms with their weight, or the most similar ``expansions`` of them."""
     word = c.value.lower()
     shorter = F.least(F.length("term"), F.lit(len(word)))
     # An edit changes the length by one at most; the distance is worked out for these only.
-    near = _vocabulary(index, lang, c.field).where(
+    near = _near_vocabulary(index, lang, c.field, word, c.edits).where(
         F.abs(F.length("term") - len(word)) <= c.edits).withColumn(
         "edits", edit_distance(F.col("term"), word, c.edits)).where(F.col("edits").isNotNull())
     weight = F.when(F.col("edits") == 0, 1.0).otherwise(1.0 - F.col("edits") / shorter)

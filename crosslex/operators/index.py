@@ -34,6 +34,19 @@ class Index:
     field_stats: DataFrame
     buckets: int
     analyzers: dict
+    #: Tables from patterns, misspelt words and pairs of words to terms, where they were built.
+    lookups: "Lookups | None" = None
+
+
+@dataclass(frozen=True)
+class Lookups:
+    """Tables of :mod:`crosslex.operators.lookups`, in as many buckets as the index."""
+
+    grams: DataFrame
+    neighbours: DataFrame
+    frequent: DataFrame
+    pairs: DataFrame
+    pair_stats: DataFrame
 
 
 def bucket(key: Column, buckets: int) -> Column:
@@ -80,7 +93,12 @@ def document_terms(docs: DataFrame, analyzers=ANALYZERS) -> DataFrame:
 
 
 def build_postings(docs: DataFrame, analyzers=ANALYZERS) -> DataFrame:
-    """One row per document, field and term, with frequency and positions.
+    """One row per document, field and term, with frequency and positions."""
+    return group_terms(document_terms(docs, analyzers).withColumn("dl", F.size("tokens")))
+
+
+def group_terms(rows: DataFrame) -> DataFrame:
+    """Postings of rows with their sorted ``tokens`` and the length ``dl`` of the field.
 
     A document is one row, so its terms are grouped inside the row: sort the
     tokens, find where each term starts, slice. Nothing is shuffled.
@@ -92,7 +110,7 @@ def build_postings(docs: DataFrame, analyzers=ANALYZERS) -> DataFrame:
 
     marked = F.transform(tokens, lambda t, i: F.when(starts_here(t, i), i))
     starts = F.array_compact(marked)
-    cut = document_terms(docs, analyzers).withColumn("starts", starts)
+    cut = rows.withColumn("starts", starts)
 
     def term_group(start, n):
         end = F.coalesce(F.get(F.col("starts"), n + 1), F.size(tokens))
@@ -105,7 +123,7 @@ def build_postings(docs: DataFrame, analyzers=ANALYZERS) -> DataFrame:
         )
 
     return cut.select(
-        "lang", "field", "id", "dup_no", "copies", F.size("tokens").alias("dl"),
+        "lang", "field", "id", "dup_no", "copies", "dl",
         F.inline(F.transform(F.col("starts"), term_group)),
     ).select("lang", "field", "term", "id", "dup_no", "copies", "tf", "dl", "first", "positions")
 
@@ -154,23 +172,23 @@ def write_index(documents: DataFrame, path: str, analyzers=ANALYZERS, buckets: i
     """
     spark = documents.sparkSession
     built = build_index(documents, analyzers, buckets, unique_ids)
-    _write(built.docs, f"{path}/docs", ["lang", "bucket"], number("id"))
+    write_folders(built.docs, f"{path}/docs", ["lang", "bucket"], number("id"))
 
     docs = spark.read.schema(built.docs.schema).parquet(f"{path}/docs")
     postings = build_postings(docs, analyzers).withColumn(
         "term_bucket", bucket(F.col("term"), buckets))
     folders = ["lang", "field", "term_bucket"]
-    _write(postings, f"{path}/postings", folders, F.col("term"))
+    write_folders(postings, f"{path}/postings", folders, F.col("term"))
 
     written = spark.read.schema(postings.schema).parquet(f"{path}/postings")
-    _write(_term_stats(written, buckets), f"{path}/term_stats", folders, F.col("term"))
+    write_folders(_term_stats(written, buckets), f"{path}/term_stats", folders, F.col("term"))
     field_stats(written).write.mode("overwrite").parquet(f"{path}/field_stats")
     spark.range(1).select(F.lit(buckets).alias("buckets")).write.mode("overwrite").parquet(
         f"{path}/layout")
     return read_index(spark, path, analyzers)
 
 
-def _write(df: DataFrame, path: str, folders: list[str], order: Column) -> None:
+def write_folders(df: DataFrame, path: str, folders: list[str], order: Column) -> None:
     """Write sorted files into folders, even in size.
 
     Text folders are declared not null: the writer would otherwise replace empty

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from crosslex.functions.analysis import CZECH, HUNGARIAN, PLAIN
-from crosslex.operators import corpus, index, links
+from crosslex.operators import corpus, index, links, lookups
 from crosslex.sources import workspace
 
 PIVOT = "en"
@@ -136,6 +136,12 @@ class Derived:
             self.articles, workspace.new_path(self.spark, "articles"), PLAIN_ANALYZERS,
             BUCKETS, unique_ids=True)
 
+    @cached_property
+    def looked_up_index(self) -> index.Index:
+        """The same with tables from patterns, misspelt words and word pairs to terms."""
+        return lookups.write_lookups(
+            self.article_index, workspace.new_path(self.spark, "lookups"))
+
     @cached_property
     def analyzed_index(self) -> index.Index:
         """Index of the articles of two languages with stop words and stems."""

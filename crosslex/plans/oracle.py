@@ -269,6 +269,36 @@ def _slop(lang, c) -> str:
     return _phrase_score(lang, c, words, starts)
 
 
+def _slop_repeat(lang, c) -> str:
+    """All ways to give each word a place; of those that begin at one place the shortest."""
+    words, doc = _words(c), "lang, field, id, dup_no"
+    n = len(words)
+    joins = " ".join(
+        f"JOIN place t{i} USING ({doc})" for i in range(1, n))
+    tests = [f"t{i}.term = {quote(w)}" for i, w in enumerate(words)]
+    tests += [f"abs((t{i}.pos - {i}) - (t0.pos - 0)) <= {c.slop}" for i in range(1, n)]
+    tests += [f"t{i}.pos < t{j}.pos" for i in range(n) for j in range(i + 1, n) if words[i] == words[j]]
+    keys = [f"(t{i}.pos - {i}) * {n} + {i}" for i in range(n)]
+    first = f"least({', '.join(keys)})"
+    second = f"list_sort([{', '.join(keys)}])[2]"
+    after = "CASE " + " ".join(
+        f"WHEN {k} = {first} THEN (t{i}.again - {i}) * {n} + {i}" for i, k in enumerate(keys)) + " END"
+    last = f"greatest({', '.join(f't{i}.pos - {i}' for i in range(n))})"
+    begin = f"least({', '.join(f't{i}.pos - {i}' for i in range(n))})"
+    starts = f"""SELECT {doc}, sum(1.0::DOUBLE / (1 + reach)) AS tf FROM (
+            SELECT {doc}, first, min(reach) AS reach, min(second) AS second, any_value(after) AS after
+            FROM (WITH place AS (SELECT *, lead(pos) OVER (
+                        PARTITION BY {doc}, term ORDER BY pos) AS again
+                    FROM token WHERE lang = {quote(lang)} AND field = {quote(c.field)}
+                        AND term IN ({listed(words)}))
+                SELECT {doc}, {first} AS first, {second} AS second, {after} AS after,
+                    {last} - {begin} AS reach
+                FROM place t0 {joins} WHERE {" AND ".join(tests)})
+            WHERE reach <= {c.slop} GROUP BY {doc}, first)
+        WHERE after IS NULL OR second < after GROUP BY {doc}"""
+    return _phrase_score(lang, c, words, starts)
+
+
 def _fuzzy(lang, c) -> str:
     w, word, size = c.value.lower(), quote(c.value.lower()), len(c.value)
     swapped = " ".join(f"""WHEN list_bool_or(list_transform(range(length(term)), lambda k:
@@ -295,6 +325,8 @@ def clause_sql(lang, c) -> str:
     if c.kind == "term":
         return _scoring(scope + f"p.term IN ({listed(_words(c))})")
     if c.kind == "phrase":
+        if c.slop and len(set(_words(c))) < len(_words(c)):
+            return _slop_repeat(lang, c)
         return _slop(lang, c) if c.slop else _phrase(lang, c)
     if c.kind == "prefix":
         return _constant(scope + f"starts_with(term, {quote(c.value)})")

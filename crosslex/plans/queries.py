@@ -421,6 +421,8 @@ CLAUSES = {
     "phrase": ("en", [Clause("text", "phrase", "in the"), Clause("text", "phrase", "of the that")]),
     "phrase_slop": ("en", [Clause("text", "phrase", "the with", slop=3)]),
     "phrase_slop_three": ("en", [Clause("text", "phrase", "the of that", slop=6)]),
+    "phrase_slop_repeat": ("en", [Clause("text", "phrase", "the that the", slop=5),
+                                  Clause("text", "phrase", "of of", slop=4)]),
     "prefix": ("en", [Clause("text", "prefix", "therb")]),
     "wildcard": ("en", [Clause("text", "wildcard", "th?r*ble")]),
     "fuzzy": ("en", [Clause("text", "fuzzy", "tehre")]),
@@ -441,7 +443,7 @@ def _clause_query(name):
     lang, given = CLAUSES[name]
 
     def run(spark, sf_dir):
-        return clauses.score_clauses(derived(spark, sf_dir).article_index, lang, given).select(
+        return clauses.score_clauses(derived(spark, sf_dir).looked_up_index, lang, given).select(
             "lang", "id", "score")
     return run
 
