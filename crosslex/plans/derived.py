@@ -13,11 +13,12 @@ The same tables are spelled in SQL in :mod:`crosslex.plans.oracle`.
 from dataclasses import dataclass
 from functools import cached_property
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from crosslex.functions.analysis import CZECH, HUNGARIAN, PLAIN
-from crosslex.operators import corpus, index, links, lookups
+from crosslex.functions.text import plain_words
+from crosslex.operators import clause_batch, corpus, index, links, lookups
 from crosslex.sources import workspace
 
 PIVOT = "en"
@@ -123,6 +124,44 @@ class Derived:
         return self.table("benchmark").select(
             F.col("item_id").alias("qid"), F.concat(F.lit("en:T|t:"), "text").alias("q"))
 
+    @cached_property
+    def passage_clauses(self) -> DataFrame:
+        """Structured queries, as clauses, from the first words of every benchmark passage."""
+        def word(n):
+            return F.get(F.col("words"), F.lit(n))
+
+        def several(*numbers):
+            return F.array_join(F.array_compact(F.array(*[word(n) for n in numbers])), " ")
+
+        given = [
+            {"kind": "term", "value": several(0, 1, 2, 3, 4), "occur": "must", "grp": 1},
+            {"kind": "term", "value": several(5, 6, 7), "occur": "must", "grp": 1, "field": "title"},
+            {"kind": "phrase", "value": several(1, 2), "boost": 2.0},
+            {"kind": "phrase", "value": several(3, 4, 3), "slop": 4},
+            {"kind": "prefix", "value": F.left(word(5), F.lit(4))},
+            {"kind": "wildcard", "boost": 0.5,
+             "value": F.concat(F.left(word(6), F.lit(2)), F.lit("*"), F.right(word(6), F.lit(1)))},
+            {"kind": "fuzzy", "value": word(7)},
+            {"kind": "fuzzy", "value": word(8), "edits": 1, "expansions": 3},
+            {"kind": "range", "value": word(9), "upper": F.concat(word(9), F.lit("e")),
+             "inclusive": F.col("item_id") % 2 == 0},
+            {"kind": "regex",
+             "value": F.concat(F.left(word(10), F.lit(1)), F.lit(".+"), F.right(word(10), F.lit(2)))},
+            {"kind": "term", "value": word(11), "occur": "must_not", "field": "title"},
+            {"kind": "prefix", "value": F.lit("the"), "occur": "must", "grp": 2},
+            {"kind": "term", "value": word(12), "occur": "must", "grp": 2},
+        ]
+        common = {"lang": PIVOT, "field": "text", "occur": "should"}
+        rows = []
+        for n, clause in enumerate(given):
+            values = common | clause | {"qid": F.col("item_id"), "clause": n}
+            rows.append(F.struct(*[
+                (v if isinstance(v := values.get(c), Column) else F.lit(v)).cast(t).alias(c)
+                for c, t in clause_batch.COLUMNS.items()]))
+        return self.table("benchmark").select(
+            "item_id", plain_words(F.col("text")).alias("words")).select(
+            F.inline(F.array(*rows))).where("value IS NOT NULL")
+
     # Written tables: read by several queries, so each is built once per session.
 
     @cached_property

@@ -359,6 +359,137 @@ def clauses_sql(name: str) -> str:
         WHERE true {without} GROUP BY lang, id, dup_no HAVING {" AND ".join(having)}""")
 
 
+# --- clauses of many queries ---------------------------------------------------
+
+def _passage_clauses() -> str:
+    def word(n):
+        return f"words[{n + 1}]"
+
+    def several(*numbers):
+        return f"concat_ws(' ', {', '.join(word(n) for n in numbers)})"
+
+    plain = {"field": "'text'", "occur": "'should'", "boost": "1.0", "grp": "NULL", "upper": "NULL",
+             "inclusive": "true", "slop": "0", "edits": "2", "expansions": "NULL"}
+    given = [
+        {"kind": "term", "value": several(0, 1, 2, 3, 4), "occur": "'must'", "grp": "1"},
+        {"kind": "term", "value": several(5, 6, 7), "occur": "'must'", "grp": "1", "field": "'title'"},
+        {"kind": "phrase", "value": several(1, 2), "boost": "2.0"},
+        {"kind": "phrase", "value": several(3, 4, 3), "slop": "4"},
+        {"kind": "prefix", "value": f"left({word(5)}, 4)"},
+        {"kind": "wildcard", "value": f"left({word(6)}, 2) || '%' || right({word(6)}, 1)", "boost": "0.5"},
+        {"kind": "fuzzy", "value": word(7)},
+        {"kind": "fuzzy", "value": word(8), "edits": "1", "expansions": "3"},
+        {"kind": "range", "value": word(9), "upper": f"{word(9)} || 'e'", "inclusive": "qid % 2 = 0"},
+        {"kind": "regex", "value": f"left({word(10)}, 1) || '.+' || right({word(10)}, 2)"},
+        {"kind": "term", "value": word(11), "occur": "'must_not'", "field": "'title'"},
+        {"kind": "prefix", "value": "'the'", "occur": "'must'", "grp": "2"},
+        {"kind": "term", "value": word(12), "occur": "'must'", "grp": "2"},
+    ]
+    rows_ = []
+    for n, c in enumerate(given):
+        values = plain | c | {"kind": quote(c["kind"]), "clause": str(n), "lang": "'en'"}
+        rows_.append("{" + ", ".join(f"{quote(k)}: {v}" for k, v in sorted(values.items())) + "}")
+    return f"""SELECT * FROM (SELECT qid, unnest(c, recursive := true) FROM (
+        SELECT qid, unnest([{', '.join(rows_)}]) AS c FROM (
+            SELECT item_id AS qid, regexp_extract_all(lower(text), '{PLAIN_WORD}') AS words
+            FROM benchmark))) WHERE value IS NOT NULL"""
+
+
+def clause_batch_ctes() -> dict:
+    doc, slots = "lang, field, id, dup_no", range(3)
+    same = " AND ".join(f"t{{i}}.{c} = t0.{c}" for c in ("lang", "field", "id", "dup_no"))
+    keys = [f"(t{i}.pos - {i}) * 3 + {i}" for i in slots]
+    ends = ", ".join(f"t{i}.pos - {i}" for i in slots)
+    after = "CASE " + " ".join(
+        f"WHEN {k} = least({', '.join(keys)}) THEN (t{i}.again - {i}) * 3 + {i}"
+        for i, k in enumerate(keys)) + " END"
+    order = " AND ".join(f"(c.words[{i + 1}] <> c.words[{j + 1}] OR t{i}.pos < t{j}.pos)"
+                         for i in slots for j in slots if i < j)
+    near = " AND ".join(f"abs((t{i}.pos - {i}) - t0.pos) <= c.slop" for i in (1, 2))
+    others = " ".join(f"JOIN place t{i} ON t{i}.term = c.words[{i + 1}] AND {same.format(i=i)}"
+                      for i in (1, 2))
+    first = "JOIN place t0 ON t0.term = c.words[1] AND t0.lang = c.lang AND t0.field = c.field"
+    # The distance of DuckDB is one of bytes: other signs become single bytes, alike where they are.
+    bytes_ = "left(array_to_string(list_transform(range(1, 32), lambda i: chr(i::INTEGER)), ''), length(beyond))"
+    swap = """list_min(list_concat([9], flatten(list_transform(range(1, length(v)),
+        lambda i: list_transform(range(1, length(t)), lambda k: CASE
+            WHEN substr(v, i, 1) <> substr(v, i + 1, 1)
+                AND substr(t, k, 2) = substr(v, i + 1, 1) || substr(v, i, 1)
+            THEN 1 + levenshtein(substr(t, 1, k - 1), substr(v, 1, i - 1))
+                + levenshtein(substr(t, k + 2), substr(v, i + 2)) ELSE 9 END)))))"""
+    size = "least(length(term), length(value))"
+    return {
+        "clause_row": _passage_clauses(),
+        "clause_word": """SELECT qid, clause, lang, field, unnest(string_split(value, ' ')) AS term
+            FROM clause_row WHERE kind IN ('term', 'phrase')""",
+        "by_word": f"""SELECT qid, clause, lang, id, dup_no, sum({IDF} * {tf_norm()}) AS part
+            FROM clause_word JOIN (SELECT qid, clause FROM clause_row WHERE kind = 'term') USING (qid, clause)
+            JOIN posting USING (lang, field, term) JOIN doc_length USING ({doc})
+            JOIN stats USING (lang, field) JOIN freq USING (lang, field, term)
+            GROUP BY ALL""",
+        "spelt": """SELECT qid, clause, lang, field, term FROM clause_row JOIN freq USING (lang, field)
+            WHERE CASE kind WHEN 'prefix' THEN starts_with(term, value)
+                WHEN 'wildcard' THEN term LIKE value WHEN 'regex' THEN regexp_full_match(term, value)
+                WHEN 'range' THEN CASE WHEN inclusive THEN term >= value AND term <= upper
+                    ELSE term > value AND term < upper END ELSE false END""",
+        "by_spelling": """SELECT DISTINCT qid, clause, lang, id, dup_no, 1.0::DOUBLE AS part
+            FROM spelt JOIN posting USING (lang, field, term)""",
+        "met": """SELECT *, regexp_replace(value, '[\x00-\x7F]', '', 'g') AS beyond
+            FROM clause_row JOIN freq USING (lang, field)
+            WHERE kind = 'fuzzy' AND abs(length(term) - length(value)) <= edits""",
+        "in_bytes": f"""SELECT *, translate(value, beyond, {bytes_}) AS v,
+                regexp_replace(translate(term, beyond, {bytes_}), '[^\x00-\x7E]', chr(127), 'g') AS t
+            FROM met""",
+        "close": f"""SELECT *, least(levenshtein(t, v), {swap}) AS distance FROM in_bytes""",
+        "alike": f"""SELECT *, CASE WHEN distance = 0 THEN 1.0::DOUBLE
+                ELSE 1.0 - distance::DOUBLE / {size} END AS weight
+            FROM close WHERE distance <= edits AND (distance = 0 OR distance < {size})""",
+        "blended": """SELECT qid, clause, lang, field, term, weight,
+                max(df) OVER (PARTITION BY qid, clause) AS df
+            FROM (SELECT * FROM alike QUALIFY expansions IS NULL OR row_number() OVER (
+                PARTITION BY qid, clause ORDER BY weight DESC, term) <= expansions)""",
+        "by_nearness": f"""SELECT qid, clause, lang, id, dup_no, sum(weight * {IDF} * {tf_norm()}) AS part
+            FROM blended JOIN posting USING (lang, field, term) JOIN doc_length USING ({doc})
+            JOIN stats USING (lang, field) GROUP BY ALL""",
+        "phrase_row": """SELECT qid, clause, lang, field, slop, string_split(value, ' ') AS words
+            FROM clause_row WHERE kind = 'phrase'""",
+        "phrase_weight": f"""SELECT qid, clause, sum({IDF}) AS weight FROM clause_word
+            JOIN phrase_row USING (qid, clause, lang, field) JOIN freq USING (lang, field, term)
+            JOIN stats USING (lang, field) GROUP BY ALL""",
+        "place": f"""SELECT *, lead(pos) OVER (PARTITION BY {doc}, term ORDER BY pos) AS again
+            FROM token WHERE term IN (SELECT term FROM clause_word)""",
+        "in_sequence": f"""SELECT c.qid, c.clause, t0.lang, t0.field, t0.id, t0.dup_no,
+                count(*)::DOUBLE AS tf
+            FROM phrase_row c {first}
+            JOIN place t1 ON t1.term = c.words[2] AND {same.format(i=1)} AND t1.pos = t0.pos + 1
+            WHERE c.slop = 0 GROUP BY ALL""",
+        "near_match": f"""SELECT c.qid, c.clause, c.slop, t0.lang, t0.field, t0.id, t0.dup_no,
+                least({', '.join(keys)}) AS first, list_sort([{', '.join(keys)}])[2] AS second,
+                {after} AS after, greatest({ends}) - least({ends}) AS reach
+            FROM phrase_row c {first} {others} WHERE c.slop > 0 AND {near} AND {order}""",
+        "nearby": f"""SELECT qid, clause, {doc}, sum(1.0::DOUBLE / (1 + reach)) AS tf FROM (
+                SELECT qid, clause, {doc}, first, min(reach) AS reach, min(second) AS second,
+                    any_value(after) AS after
+                FROM near_match WHERE reach <= slop GROUP BY ALL)
+            WHERE after IS NULL OR second < after GROUP BY ALL""",
+        "by_phrase": f"""SELECT qid, clause, lang, id, dup_no, weight * {tf_norm()} AS part
+            FROM (SELECT * FROM in_sequence UNION ALL BY NAME SELECT * FROM nearby)
+            JOIN phrase_weight USING (qid, clause) JOIN doc_length USING ({doc})
+            JOIN stats USING (lang, field)""",
+        "part": """SELECT * FROM by_word UNION ALL BY NAME SELECT * FROM by_spelling
+            UNION ALL BY NAME SELECT * FROM by_nearness UNION ALL BY NAME SELECT * FROM by_phrase""",
+        "needed": """SELECT qid, count(DISTINCT grp) AS groups FROM clause_row
+            WHERE occur = 'must' GROUP BY qid""",
+    }
+
+
+CLAUSE_BATCH = """SELECT qid, p.lang, id, round(sum(part * boost) FILTER (occur <> 'must_not'), 6) AS score
+    FROM part p JOIN clause_row USING (qid, clause) JOIN needed USING (qid)
+    GROUP BY qid, p.lang, id, dup_no, groups
+    HAVING count(*) FILTER (occur = 'must_not') = 0
+        AND count(DISTINCT grp) FILTER (occur = 'must') = groups"""
+
+
 # --- text --------------------------------------------------------------------
 
 def stem_cs_ctes() -> dict:
@@ -649,6 +780,7 @@ def build() -> dict[str, str]:
             SELECT qid, rank, pos, concat_ws(' ', id, upper(lang), title) AS line
             FROM translated"""),
         **{name: clauses_sql(name) for name in CLAUSES},
+        "clause_batch": over_index(CLAUSE_BATCH, more=clause_batch_ctes()),
         "title_dictionary": over_titles("SELECT * FROM dictionary"),
         "title_token_index": over_titles(f"""
             SELECT lang, token, dict_id // {BLOCK} AS block,

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from crosslex.functions import stopwords, text
 from crosslex.functions.analysis import remove_stopwords
 from crosslex.functions.stemmers import stem
+from crosslex.operators import clause_batch as batch
 from crosslex.operators import clauses, corpus, index, links, results, search, titles
 from crosslex.operators.clauses import Clause
 from crosslex.plans.derived import (
@@ -452,6 +453,12 @@ for _name in CLAUSES:
     QUERIES[_name] = _clause_query(_name)
 
 
+@query
+def clause_batch(d):
+    """Structured queries of every benchmark passage, all at once."""
+    return scores(batch.score_clause_batch(d.looked_up_index, d.passage_clauses))
+
+
 # --- title dictionary --------------------------------------------------------
 
 def dictionary(d):
