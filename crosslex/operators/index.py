@@ -36,6 +36,10 @@ class Index:
     analyzers: dict
     #: Tables from patterns, misspelt words and pairs of words to terms, where they were built.
     lookups: "Lookups | None" = None
+    #: Tables of :mod:`crosslex.operators.by_document`, where they were built.
+    weights: DataFrame | None = None
+    bounds: DataFrame | None = None
+    blocks: int = 0
 
 
 @dataclass(frozen=True)
@@ -188,8 +192,10 @@ def write_index(documents: DataFrame, path: str, analyzers=ANALYZERS, buckets: i
     return read_index(spark, path, analyzers)
 
 
-def write_folders(df: DataFrame, path: str, folders: list[str], order: Column) -> None:
-    """Write sorted files into folders, even in size.
+def write_folders(df: DataFrame, path: str, folders: list[str], order: Column,
+                  dynamic: bool = False) -> None:
+    """Write sorted files into folders, even in size; ``dynamic`` replaces only folders that
+    have rows in ``df``.
 
     Text folders are declared not null: the writer would otherwise replace empty
     values in them, and then sort everything once more.
@@ -198,7 +204,8 @@ def write_folders(df: DataFrame, path: str, folders: list[str], order: Column) -
         if name in folders and kind == "string":
             df = df.withColumn(name, F.coalesce(name, F.lit("")))
     df.hint("rebalance", *folders).sortWithinPartitions(*folders, order).write.mode(
-        "overwrite").partitionBy(*folders).parquet(path)
+        "overwrite").option("partitionOverwriteMode", "dynamic" if dynamic else "static").partitionBy(
+        *folders).parquet(path)
 
 
 DOCS = ("id string, dup_no int, copies long, title string, text string, "

@@ -115,21 +115,37 @@ def bm25(tf: Column, dl: Column, avgdl: Column, n_docs: Column, df: Column,
     return idf(n_docs, df) * tf_norm(tf, dl, avgdl, lossy_norms)
 
 
+def with_weights(terms: DataFrame, index: Index, small: bool = True) -> DataFrame:
+    """Query terms that the index knows, with the weight of the term and the mean length."""
+    keys = ["lang", "field", "term_bucket", "term"]
+    # One row per indexed language and field.
+    stats = F.broadcast(index.field_stats.select("lang", "field", "n_docs", "avgdl"))
+    known = index.term_stats.select(*keys, "df").join(
+        F.broadcast(terms) if small else terms, keys)
+    return known.join(stats, ["lang", "field"]).select(
+        *keys, "qid", "both", "avgdl", "df",
+        (F.col("qtf") * idf(F.col("n_docs"), F.col("df"))).alias("weight"))
+
+
+def weighted_terms(queries: DataFrame, index: Index) -> DataFrame:
+    """The same for the valid ones of ``queries(qid, q)``."""
+    valid, _ = validate_queries(queries, list(index.analyzers))
+    return with_weights(query_terms(decode_queries(valid), index), index)
+
+
 def match_terms(terms: DataFrame, index: Index, small: bool = True) -> DataFrame:
     """Postings of the query terms, with the weight of the term and the mean length.
 
     ``small`` query terms are broadcast twice: to the term statistics, and with
-    these to the postings, whose folders are pruned by the terms' buckets. Beyond
+    these to the postings, whose folders are pruned by the terms' buckets; an index that is
+    laid out by document as well is read in that layout, bucket by bucket. Beyond
     that bound both joins shuffle, and every term is spread over ``SALTS`` tasks.
     """
     keys = ["lang", "field", "term_bucket", "term"]
-    # One row per indexed language and field.
-    stats = F.broadcast(index.field_stats.select("lang", "field", "n_docs", "avgdl"))
-    known = index.term_stats.select(*keys, "df").join(
-        F.broadcast(terms) if small else terms, keys)
-    weighted = known.join(stats, ["lang", "field"]).select(
-        *keys, "qid", "both", "avgdl",
-        (F.col("qtf") * idf(F.col("n_docs"), F.col("df"))).alias("weight"))
+    weighted = with_weights(terms, index, small)
+    if small and index.weights is not None:
+        return index.weights.drop("block").join(
+            F.broadcast(weighted.drop("term_bucket")), ["lang", "field", "term"])
     postings = index.postings.select(*keys, "id", "dup_no", "copies", "tf", "dl")
     if small:
         return postings.join(F.broadcast(weighted), keys)
@@ -146,16 +162,28 @@ def score_documents(matches: DataFrame, lossy_norms: bool = True) -> DataFrame:
     of the key: ids of different languages are unlike, and a query number may be given
     for several languages.
     """
+    return finish_scores(document_parts(matches, lossy_norms), summed=True)
+
+
+def document_parts(matches: DataFrame, lossy_norms: bool = True, *also: str) -> DataFrame:
+    """Sums of a document's matches, before they are rounded and the scope is held against them."""
     part = F.col("weight") * tf_norm(F.col("tf"), F.col("dl"), F.col("avgdl"), lossy_norms)
     in_title = F.col("field") == "title"
-    scored = matches.select(
-        "qid", "lang", "id", "dup_no", "copies", "both", part.alias("part"),
+    return matches.select(
+        "qid", "lang", "id", "dup_no", *also, "copies", "both", part.alias("part"),
         in_title.alias("in_title"), (~in_title).alias("in_text"),
-    ).groupBy("qid", "lang", "id", "dup_no").agg(
-        F.round(F.sum("part"), 6).alias("score"), F.max("copies").alias("copies"),
-        F.max("both").alias("both"),
-        F.max("in_title").alias("in_title"), F.max("in_text").alias("in_text"),
-    )
+    ).groupBy("qid", "lang", "id", "dup_no", *also).agg(
+        F.sum("part").alias("part"), F.max("copies").alias("copies"), F.max("both").alias("both"),
+        F.max("in_title").alias("in_title"), F.max("in_text").alias("in_text"))
+
+
+def finish_scores(parts: DataFrame, summed: bool = False) -> DataFrame:
+    """Scores from the parts of documents; parts of one document are added up."""
+    if not summed:
+        parts = parts.groupBy("qid", "lang", "id", "dup_no").agg(
+            F.sum("part").alias("part"),
+            *[F.max(c).alias(c) for c in ("copies", "both", "in_title", "in_text")])
+    scored = parts.withColumn("score", F.round("part", 6))
     return scored.where(~F.col("both") | (F.col("in_title") & F.col("in_text"))).select(
         "qid", "lang", "id", "dup_no", "copies", "score")
 

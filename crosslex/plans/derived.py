@@ -18,7 +18,8 @@ from pyspark.sql import functions as F
 
 from crosslex.functions.analysis import CZECH, HUNGARIAN, PLAIN
 from crosslex.functions.text import plain_words
-from crosslex.operators import clause_batch, corpus, index, links, lookups
+from crosslex.operators import (
+    by_document, clause_batch, corpus, index, links, lookups, update)
 from crosslex.sources import workspace
 
 PIVOT = "en"
@@ -124,6 +125,13 @@ class Derived:
         return self.table("benchmark").select(
             F.col("item_id").alias("qid"), F.concat(F.lit("en:T|t:"), "text").alias("q"))
 
+    @cached_property
+    def short_passages(self) -> DataFrame:
+        """``queries(qid, q)``: the first three words of every benchmark passage as a query."""
+        first = F.array_join(F.slice(plain_words(F.col("text")), 1, 3), " ")
+        return self.table("benchmark").select(
+            F.col("item_id").alias("qid"), F.concat(F.lit("en:T|t:"), first).alias("q"))
+
     @cached_property
     def passage_clauses(self) -> DataFrame:
         """Structured queries, as clauses, from the first words of every benchmark passage."""
@@ -181,6 +189,25 @@ class Derived:
         return lookups.write_lookups(
             self.article_index, workspace.new_path(self.spark, "lookups"))
 
+    @cached_property
+    def by_document_index(self) -> index.Index:
+        """The same laid out by document as well."""
+        return by_document.write_by_document(
+            self.article_index, workspace.new_path(self.spark, "by-document"))
+
+    @cached_property
+    def updated_index(self) -> index.Index:
+        """An index of most articles to which a third of two languages' articles, changed or new,
+        were added afterwards."""
+        path = workspace.new_path(self.spark, "updated")
+        first = self.articles.where(F.col("num_id") % 5 != 4)
+        built = index.write_index(first, path, PLAIN_ANALYZERS, BUCKETS, unique_ids=True)
+        by_document.write_by_document(built, path)
+        changed = self.articles.where(
+            F.col("lang").isin(PIVOT, "de") & (F.col("num_id") % 3 == 0)).withColumn(
+            "text", F.concat(F.split_part("text", F.lit("."), F.lit(1)), F.lit(" zusatz "), "title"))
+        return update.update_index(self.spark, path, changed, PLAIN_ANALYZERS)
+
     @cached_property
     def analyzed_index(self) -> index.Index:
         """Index of the articles of two languages with stop words and stems."""

@@ -62,6 +62,11 @@ CTES = {
         WHERE d.lang = 'de' AND f.lang = 'fr'""",
     "corpus": """
         SELECT * FROM article WHERE num_id NOT IN (SELECT doc_id FROM labels WHERE toxic = 1)""",
+    "changed": """
+        SELECT lang, id, title, split_part(text, '.', 1) || ' zusatz ' || title AS text FROM article
+        WHERE lang IN ('en', 'de') AND num_id % 3 = 0
+        UNION ALL SELECT lang, id, title, text FROM article
+        WHERE num_id % 5 <> 4 AND NOT (lang IN ('en', 'de') AND num_id % 3 = 0)""",
     "renumbered": """
         SELECT CAST(num_id // 4 AS VARCHAR) AS id, lang, title, text FROM article""",
     "complete": """
@@ -753,6 +758,17 @@ def build() -> dict[str, str]:
         "accent_sensitive": over_index(SCORES, more=search_ctes(
             rows([(1, "fr:t:étion"), (2, "fr:t:etion")]), langs=ALL)),
         "search_batch": over_index("SELECT qid, rank, id, score FROM hit", more=passages),
+        "search_pruned": over_index("SELECT qid, rank, id, score FROM hit", more=search_ctes(
+            f"""SELECT item_id AS qid, 'en:T|t:' || array_to_string(
+                regexp_extract_all(lower(text), '{PLAIN_WORD}')[1:3], ' ') AS q FROM benchmark""",
+            langs=ALL)),
+        "index_update": over_index("""
+            SELECT lang, field, term, id, tf, dl, df, ttf, n_docs, tf AS weight_tf,
+                round(avgdl, 6) AS avgdl
+            FROM posting JOIN doc_length USING (lang, field, id, dup_no)
+            JOIN freq USING (lang, field, term) JOIN stats USING (lang, field)
+            JOIN (SELECT lang, field, term, CAST(sum(tf) AS BIGINT) AS ttf FROM posting GROUP BY ALL)
+                USING (lang, field, term)""", "changed"),
         "search_batch_large": over_index("SELECT qid, rank, id, score FROM hit", more=passages),
         "search_same_qid": over_index(
             "SELECT CAST(rank AS BIGINT) AS rank, lang, id, score FROM hit", "renumbered",

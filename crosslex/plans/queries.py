@@ -7,7 +7,7 @@ from crosslex.functions import stopwords, text
 from crosslex.functions.analysis import remove_stopwords
 from crosslex.functions.stemmers import stem
 from crosslex.operators import clause_batch as batch
-from crosslex.operators import clauses, corpus, index, links, results, search, titles
+from crosslex.operators import by_document, clauses, corpus, index, links, results, search, titles
 from crosslex.operators.clauses import Clause
 from crosslex.plans.derived import (
     ALL_LANGS, BUCKETS, LANGS, PIVOT, PLAIN_ANALYZERS, TARGETS, derived)
@@ -269,6 +269,18 @@ def index_roundtrip(d):
         F.col("dl").cast("long").alias("dl"))
 
 
+@query
+def index_update(d):
+    """Postings and statistics of an index that documents were added to and changed in."""
+    updated, keys = d.updated_index, ["lang", "field", "term"]
+    return updated.postings.join(updated.term_stats.select(*keys, "df", "ttf"), keys).join(
+        updated.field_stats, ["lang", "field"]).join(
+        updated.weights.select(*keys, "id", F.col("tf").alias("weight_tf")), [*keys, "id"]).select(
+        *keys, "id", F.col("tf").cast("long").alias("tf"), F.col("dl").cast("long").alias("dl"),
+        "df", "ttf", "n_docs", F.col("weight_tf").cast("long").alias("weight_tf"),
+        F.round("avgdl", 6).alias("avgdl"))
+
+
 @query
 def index_analyzed(d):
     """Postings by the analyzers with stop words and stems, on two languages."""
@@ -359,7 +371,14 @@ def accent_sensitive(d):
 
 @query
 def search_batch(d):
-    found = search.search_batch(d.passages, d.article_index)
+    found = search.search_batch(d.passages, d.by_document_index)
+    return found.select("qid", F.col("rank").cast("long").alias("rank"), "id", "score")
+
+
+@query
+def search_pruned(d):
+    """The hits of short queries, from as few postings as the bounds of blocks allow."""
+    found = by_document.search_pruned(d.short_passages, d.by_document_index)
     return found.select("qid", F.col("rank").cast("long").alias("rank"), "id", "score")
 
 
