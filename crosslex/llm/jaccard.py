@@ -177,20 +177,21 @@ def fold(bits: np.ndarray, words: int) -> np.ndarray:
 
 
 def _described(docs: DataFrame, words: int, percent: int) -> DataFrame:
-    """``id, n, cls, band, lacks`` of each row; ``cls`` null without shingles."""
+    """``id, text_hash, n, cls, band, lacks`` of each row; ``cls`` null without shingles."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bands = Bands(percent)
         for part in slices(batches):
             sets = shingle_sets(part.column("text").to_pylist(), words)
             yield pa.RecordBatch.from_arrays([
-                part.column("id"), pa.array([len(s) for s in sets], pa.int64()),
+                part.column("id"), part.column("text_hash"),
+                pa.array([len(s) for s in sets], pa.int64()),
                 pa.array([class_of(s) if len(s) else None for s in sets], pa.int64()),
                 pa.array([bands.band(len(s)) if len(s) else None for s in sets], pa.int32()),
                 pa.array([bool(len(s)) and bands.lacks(s) for s in sets], pa.bool_()),
-            ], names=["id", "n", "cls", "band", "lacks"])
+            ], names=["id", "text_hash", "n", "cls", "band", "lacks"])
 
-    return docs.mapInArrow(run, T.StructType([
-        docs.schema["id"], T.StructField("n", T.LongType()), T.StructField("cls", T.LongType()),
+    return docs.withColumn("text_hash", F.xxhash64("text")).mapInArrow(run, T.StructType([
+        docs.schema["id"], T.StructField("text_hash", T.LongType()), T.StructField("n", T.LongType()), T.StructField("cls", T.LongType()),
         T.StructField("band", T.IntegerType()), T.StructField("lacks", T.BooleanType())]))
 
 
@@ -389,13 +390,21 @@ def _between(members: DataFrame, percent: int, forest: bool, whole: bool) -> Dat
 
 def linked(docs: DataFrame, words: int = 5, percent: int = 80, id_col: str = "doc_id",
            text_col: str = "text") -> DataFrame:
-    """``<id>, n_shingles, component_id`` for every row.
+    """``<id>, n_shingles, component_id`` for every row: :func:`report` without the rest."""
+    return report(docs, words, percent, id_col, text_col).select(
+        id_col, "n_shingles", "component_id")
+
+
+def report(docs: DataFrame, words: int = 5, percent: int = 80, id_col: str = "doc_id",
+           text_col: str = "text") -> DataFrame:
+    """``<id>, n_shingles, component_id, text_hash, group`` for every row.
 
     Two rows are linked if ``100 * common >= percent * all`` of their distinct shingles of
     ``words`` words. ``component_id`` is the smallest id that links lead to. Rows without
     words have no shingles and are linked with nothing, as are rows without id, whose
     component is null. Repeated rows are copies of one another. Texts are taken whole; no
-    group, however large, loses a link.
+    group, however large, loses a link. ``group`` is a number of the component that, unlike its
+    smallest id, no other component has; ``text_hash`` tells rows of one id apart.
     """
     small_batches(docs.sparkSession)
     rows = picked(docs, id=id_col, text=text_of(text_col))
@@ -447,27 +456,38 @@ def linked(docs: DataFrame, words: int = 5, percent: int = 80, id_col: str = "do
         F.min("rep").alias("component_id"))
     of_class = classes.join(found.withColumnRenamed("node", "cls"), "cls", "left").join(
         smallest, "component", "left").select(
-        "cls", F.coalesce("component_id", "rep").alias("component_id"))
+        "cls", F.coalesce("component_id", "rep").alias("component_id"),
+        F.coalesce("component", "cls").alias("group"))
     return described.join(of_class, "cls", "left").select(
         F.col("id").alias(id_col), F.col("n").alias("n_shingles"),
-        F.when(F.col("id").isNotNull(), F.coalesce("component_id", "id")).alias("component_id"))
+        F.when(F.col("id").isNotNull(), F.coalesce("component_id", "id")).alias("component_id"),
+        "text_hash", "group")
 
 
 def keep_one(docs: DataFrame, words: int = 5, percent: int = 80, id_col: str = "doc_id",
              text_col: str = "text") -> DataFrame:
-    """The documents without those that are linked to one of a smaller id.
+    """One document of each group of linked ones: that of the smallest id.
 
-    Of rows with the same id and text one stays. Rows without words or without id all stay.
+    Of rows of that id one text stays, and of rows with the same id and text one. Rows whose
+    id another text has as well are told apart by their text. Rows without words or without id
+    all stay.
     """
-    report = workspace.settle(linked(docs, words, percent, id_col, text_col), "near")
-    gone = report.where(F.col("component_id") != F.col(id_col)).select(id_col)
+    found = workspace.settle(report(docs, words, percent, id_col, text_col), "near").where(
+        F.col("group").isNotNull() & F.col(id_col).isNotNull())
+    key = [id_col, "text_hash"]
+    # A sum by group, partial before its shuffle; then rows meet it by their own id and text.
+    kept_rows = found.groupBy("group").agg(F.min(F.struct(*key)).alias("kept")).select("kept.*")
+    gone = found.select(*key).distinct().join(kept_rows, key, "left_anti")
     if gone.count() <= BROADCAST_IDS:
         gone = F.broadcast(gone)
-    kept = docs.join(gone, id_col, "left_anti").select(*docs.columns)
-    repeated = report.where(F.col("component_id").isNotNull() & (F.col("n_shingles") > 0)).groupBy(
-        id_col).count().where("count > 1").select(id_col)
+    theirs = gone.select(F.col(id_col).alias("_id"), F.col("text_hash").alias("_hash"))
+    text_hash = F.xxhash64(F.coalesce(docs[text_col], F.lit("")))
+    kept = docs.join(theirs, (docs[id_col] == F.col("_id")) & (text_hash == F.col("_hash")), "left_anti")
+    repeated = found.groupBy(*key).count().where("count > 1").select(
+        F.col(id_col).alias("_id"), F.col("text_hash").alias("_hash"))
     if repeated.isEmpty():
         return kept
-    return kept.join(repeated, id_col, "left_anti").select(*docs.columns).unionByName(
-        kept.join(repeated, id_col, "left_semi").select(*docs.columns).dropDuplicates(
-            [id_col, text_col]))
+    again = (kept[id_col] == F.col("_id")) & (
+        F.xxhash64(F.coalesce(kept[text_col], F.lit(""))) == F.col("_hash"))
+    return kept.join(repeated, again, "left_anti").unionByName(
+        kept.join(repeated, again, "left_semi").dropDuplicates([id_col, text_col]))

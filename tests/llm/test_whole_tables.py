@@ -293,3 +293,19 @@ def test_registry():
     names = [f"op{n}_" for n in range(1, 11)]
     assert all(any(q.startswith(n) for q in queries.QUERIES) for n in names)
     assert {"pipeline", *queries.QUERIES} <= set(entry.queries())
+
+
+# --- one of a group ------------------------------------------------------------
+
+def test_keep_one_tells_rows_of_one_id_apart(spark):
+    words = [f"w{i}" for i in range(60)]
+    a, b = " ".join(words), " ".join([*words[:-1], "other"])
+    clean, last = " ".join(f"c{i}" for i in range(40)), " ".join(f"d{i}" for i in range(40))
+    rows = [(1, a), (5, b), (5, clean), (5, clean), (7, a), (8, last), (8, last + " more"), (9, None),
+            (9, None), (None, a), (10, "")]
+    frame = spark.createDataFrame(rows, "doc_id long, text string").withColumn("group", F.lit("?"))
+    kept = sorted(((r["doc_id"], r["text"]) for r in jaccard.keep_one(frame).collect()), key=str)
+    assert [r for r in kept if r[0] != 8] == sorted(
+        [(1, a), (5, clean), (9, None), (9, None), (None, a), (10, "")], key=str)
+    assert len([r for r in kept if r[0] == 8]) == 1
+    assert jaccard.keep_one(frame.where("false")).count() == 0
