@@ -19,7 +19,7 @@ _ATTRIBUTE = re.compile(r"([A-Za-z_:][-\w:.]*)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title noscript iframe noembed noframes xmp template".split())
 GONE = frozenset(
-    "head nav footer header aside form button select menu dialog svg math object audio video "
+    "head nav footer header aside form button select menu dialog svg object audio video "
     "canvas script style noscript iframe template title textarea map datalist".split())
 HEAD_ONLY = frozenset("title meta link script style base noscript template".split())
 INLINE = frozenset(
@@ -56,6 +56,10 @@ ROLES = frozenset(
 HOLDERS = frozenset(["article", "main", "body", "html"])
 #: Elements whose text is prose; a marked element that has so much of a page's text in them stays.
 PARAGRAPHS, MOST = frozenset("p pre blockquote li dd td".split()), 0.8
+#: Elements that a class or id does not mark inside an article: its own headings and parts.
+UNMARKED = frozenset("h1 h2 h3 h4 h5 h6 li dt dd blockquote pre table td th caption".split())
+#: Marks that inside an article are its own.
+OUTSIDE = frozenset(["header"])
 #: Elements of running text: inside an article these are never a site's template.
 PROSE = frozenset(
     "p h1 h2 h3 h4 h5 h6 ul ol li dl dt dd blockquote pre table thead tbody tfoot tr td th caption "
@@ -71,7 +75,7 @@ class Open:
     marked: bool = False
     plain: bool = True  # without class and id
     parts: list[str] = field(default_factory=list)  # of its digest
-    pieces: list[str | None] = field(default_factory=list)  # texts; None between blocks
+    start: int = 0  # pieces of the page before it
     articles: int = 0  # that were found before it
     number: int = 0  # of its opening tag
     prose: int = 0  # characters of it before it
@@ -102,13 +106,14 @@ def _blocks(pieces: list[str | None]) -> str:
     return " ".join(blocks)
 
 
-def _marked(names: str) -> bool:
-    """Whether one of the classes or ids marks what is no article."""
+def _marked(names: str, inside: bool = False) -> bool:
+    """Whether one of the classes or ids marks what is no article; ``inside`` one or not."""
     for name in names.split():
         words = [w for w in re.split(r"[^a-z]+", name) if len(w) > 1]
         while len(words) > 1 and words[-1] in BEHIND:
             words.pop()
-        if words and words[-1] in MARKS and not CONTRARY.intersection(words):
+        if words and words[-1] in MARKS and not CONTRARY.intersection(words) and not (
+                inside and words[-1] in OUTSIDE):
             return True
     return False
 
@@ -117,13 +122,18 @@ def parse(html: str, template: frozenset[int] | set[int] = frozenset(),
           spared: frozenset[int] = frozenset()) -> Page:
     """Read a page; subtrees whose digest is in ``template`` are left out.
 
-    The text is that of the outermost articles, else of the main element, else of the body.
+    The text is that of the outermost articles and of what stands between them, with the main
+    element that holds them where there is one; else of the main element, else of the body.
+    The time is that of the page's length: a piece of text is stored once, in one list that
+    elements are parts of, and what an element leaves out is cut off its end.
     Marked elements that turn out to hold most of the text as prose are ``spared``, by the
     number of their opening tag, when the page is read again.
     """
     root = Open("")
     stack, digests = [root], set()
-    articles: list[tuple[str, list]] = []
+    out: list[str | None] = []  # texts; None between blocks
+    is_open: dict[str, int] = {}
+    articles: list[tuple[str, int, int]] = []  # kind, first and last piece
     inside = 0  # open articles
     opened = lost = paragraphs = 0  # elements so far; open ones that are gone, of prose
     shown_chars = prose = 0  # characters outside of what is gone, of them in prose
@@ -132,6 +142,7 @@ def parse(html: str, template: frozenset[int] | set[int] = frozenset(),
     def close() -> None:
         nonlocal inside, lost, paragraphs
         own = stack.pop()
+        is_open[own.tag] -= 1
         lost -= own.gone
         paragraphs -= own.tag in PARAGRAPHS
         above = stack[-1]
@@ -149,26 +160,31 @@ def parse(html: str, template: frozenset[int] | set[int] = frozenset(),
             if own.marked and not own.gone and not holds:
                 dropped.append((own.number, prose - own.prose))
             del articles[own.articles:]
+            del out[own.start:]
             return
         if not holds and own.parts and (
                 not inside and own.tag not in INLINE or own.tag not in PROSE or not own.plain):
             digests.add(digest)
             if digest in template:
+                del out[own.start:]
                 return
         if own.tag in ("article", "main"):
-            if own.tag == "article" or len(articles) == own.articles:
-                del articles[own.articles:]
-                articles.append((own.tag, own.pieces))
-        if own.tag in INLINE:
-            above.pieces += own.pieces
-        else:
-            above.pieces += [None, *own.pieces, None]
+            kind = "article" if own.tag == "article" or len(articles) > own.articles else "main"
+            del articles[own.articles:]
+            articles.append((kind, own.start, len(out)))
+        if own.tag not in INLINE:
+            out.append(None)
 
     def close_to(place: int) -> None:
         while len(stack) > place:
             close()
 
     def find(tags: frozenset[str], stops: frozenset[str]) -> int | None:
+        for tag in tags:
+            if is_open.get(tag):
+                break
+        else:
+            return None
         for i in range(len(stack) - 1, 0, -1):
             if stack[i].tag in tags:
                 return i
@@ -180,21 +196,32 @@ def parse(html: str, template: frozenset[int] | set[int] = frozenset(),
         nonlocal shown_chars, prose
         if raw:
             shown = unescape(raw)
-            top = stack[-1]
-            top.pieces.append(shown)
+            out.append(shown)
             if word := " ".join(shown.split()):
-                top.parts.append(word)
+                stack[-1].parts.append(word)
                 if not lost:
                     shown_chars += len(word)
                     prose += len(word) * (paragraphs > 0)
 
     at, size = 0, len(html)
+    last = html.rfind(">")
     while at < size:
-        match = _TAG.search(html, at)
-        if match is None:
-            text(html[at:])
+        sign = html.find("<", at)
+        if sign < 0 or sign > last:
+            # No tag ends any more: only a comment or a section may begin.
+            begun = html.find("<!", at) if sign >= 0 else -1
+            while begun >= 0 and not html.startswith(("<!--", "<![CDATA["), begun):
+                begun = html.find("<!", begun + 2)
+            text(html[at:] if begun < 0 else html[at:begun])
+            if begun >= 0 and html.startswith("<![CDATA[", begun):
+                text(html[begun + 9:])
             break
-        text(html[at:match.start()])
+        match = _TAG.match(html, sign)
+        if match is None:
+            text(html[at:sign + 1])
+            at = sign + 1
+            continue
+        text(html[at:sign])
         at = match.end()
         name = match[2] or match[5]
         if name is None:
@@ -204,7 +231,7 @@ def parse(html: str, template: frozenset[int] | set[int] = frozenset(),
         tag = name.lower()
         if match[1] or match[4]:
             if tag == "br":
-                stack[-1].pieces.append(" ")
+                out.append(" ")
             elif (place := find(frozenset([tag]), frozenset())) is not None:
                 close_to(place)
             continue
@@ -214,7 +241,7 @@ def parse(html: str, template: frozenset[int] | set[int] = frozenset(),
             close_to(place)
         if tag in VOID:
             # A line break is white space inside its block.
-            stack[-1].pieces.append(" " if tag == "br" else None if tag == "hr" else "")
+            out.append(" " if tag == "br" else None if tag == "hr" else "")
             continue
         if tag in CLOSES:
             tags, stops = CLOSES[tag]
@@ -225,13 +252,16 @@ def parse(html: str, template: frozenset[int] | set[int] = frozenset(),
                                              "li", "blockquote", "button", "body"]))) is not None:
             close_to(place)
         opened += 1
-        new = Open(tag, articles=len(articles), number=opened, prose=prose)
+        new = Open(tag, articles=len(articles), number=opened, prose=prose, start=len(out))
+        if tag not in INLINE:
+            out.append(None)
         if "=" in source or source.strip(" /\n\t\r"):
             given = _attributes(source)
             marks = f"{given.get('class', '')} {given.get('id', '')}".lower()
             new.plain = not marks.strip()
             new.marked = bool(
-                opened not in spared and _marked(marks)
+                opened not in spared and not (inside and tag in UNMARKED) and _marked(
+                    marks, inside > 0)
                 or given.get("role", "").lower() in ROLES or "hidden" in given
                 or given.get("aria-hidden") == "true"
                 or re.search(r"display\s*:\s*none", given.get("style", ""))) and tag not in ("main", "body", "html")
@@ -245,10 +275,13 @@ def parse(html: str, template: frozenset[int] | set[int] = frozenset(),
         if tag in ("article", "main"):
             inside += 1
         stack.append(new)
+        is_open[tag] = is_open.get(tag, 0) + 1
         if tag in RAW:
             ends = re.compile(f"</{re.escape(tag)}[^>]*>", re.I).search(html, at)
             body = html[at:ends.start() if ends else size]
             new.parts.append(body)
+            if tag == "xmp":  # shown as it stands
+                out.append(body)
             at = ends.end() if ends else size
             close()
         elif source.endswith("/") and tag in ("svg", "path", "use", "g"):
@@ -257,6 +290,8 @@ def parse(html: str, template: frozenset[int] | set[int] = frozenset(),
     if not spared and (again := frozenset(
             number for number, chars in dropped if chars > MOST * shown_chars)):
         return parse(html, template, again)
-    chosen = [p for tag, p in articles if tag == "article" and _blocks(p)] or [
-        p for _, p in articles if _blocks(p)] or [root.pieces]
-    return Page(_blocks([x for p in chosen for x in [*p, None]]), digests)
+    shown = [a for a in articles if _blocks(out[a[1]:a[2]])]
+    chosen = [a for a in shown if a[0] == "article"] or shown
+    # From the first to the last, with what stands between them.
+    pieces = out[chosen[0][1]:chosen[-1][2]] if chosen else out
+    return Page(_blocks(pieces), digests)

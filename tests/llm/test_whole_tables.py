@@ -4,13 +4,15 @@ import collections
 import itertools
 import random
 import re
+import time
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from crosslex.llm import components, decontamination, embeddings, html_extract, jaccard, queries
+from crosslex.llm import (
+    components, decontamination, embeddings, html_extract, html_parse, jaccard, queries)
 
 SF = "/root/testdata/sf0.001"
 
@@ -309,3 +311,43 @@ def test_keep_one_tells_rows_of_one_id_apart(spark):
         [(1, a), (5, clean), (9, None), (9, None), (None, a), (10, "")], key=str)
     assert len([r for r in kept if r[0] == 8]) == 1
     assert jaccard.keep_one(frame.where("false")).count() == 0
+
+
+# --- pages: the article whole, in time that grows with the page -------------------
+
+def test_articles_keep_what_is_theirs():
+    def text(inner):
+        return html_parse.parse(f"<article>{inner}</article>").text
+
+    assert text('<h2 class="section-header">Head</h2>t') == "Head t"
+    assert text('<h2 id="related">Related work</h2><h3 id="discussion">On it</h3>') == "Related work On it"
+    assert text('<div class="entry-header"><h1>Title</h1></div>x') == "Title x"
+    assert text("a <math><mi>x</mi></math> b") == "a x b"
+    assert text("<xmp>raw <b></xmp>") == "raw <b>"
+    assert text('<div class="comments">no</div><p class="ad">no</p><nav>no</nav>yes') == "yes"
+    assert html_parse.parse('<div class="header">no</div><p>yes</p>').text == "yes"
+
+
+def test_text_around_articles_stays():
+    parse = html_parse.parse
+    assert parse("<main><p>intro</p><article>one</article><p>tail</p></main><p>out</p>").text == (
+        "intro one tail")
+    assert parse("<nav>n</nav><article>one</article><p>mid</p><article>two</article><p>out</p>").text == (
+        "one mid two")
+    assert parse("<main><article>one</article><nav>no</nav></main>").text == "one"
+
+
+def test_open_ends():
+    parse = html_parse.parse
+    assert parse("x <!-- no").text == "x"
+    assert parse("<p>a<![CDATA[ q").text == "a q"
+    assert parse("a < b").text == "a < b" and parse("<p>1 < 2 <b>x</b>").text == "1 < 2 x"
+
+
+def test_long_pages_take_time_in_proportion():
+    for page in ("<a " * 300_000, "<div>text " * 100_000, "<div>" * 100_000 + "x",
+                 "<li><div>" * 50_000, '<a ">' * 100_000, "<!--" * 100_000,
+                 "<p>" + "<span>" * 100_000 + "<div>" * 1_000):
+        start = time.process_time()
+        html_parse.parse(page)
+        assert time.process_time() - start < 10, page[:20]
