@@ -95,7 +95,6 @@ WIKI_MARKUP = [
     (r"(?is)<ref[^>/]*/>", ""),
     (r"(?is)<ref[^>]*>.*?</ref>", ""),
     (r"(?is)<(math|gallery|timeline)[^>]*>.*?</\1>", ""),
-    (r"(?s)\{\|.*?\|\}", ""),
     (r"\[\[[^\[\]|:]*:(?=\S)[^\[\]|]*\|[^\[\]]*(?:\[\[[^\[\]]*\]\][^\[\]]*)*\]\]", ""),
     (r"\[\[[^\[\]|:]+:(?=\S)[^\[\]]*\]\]", ""),
     (r"\[\[[^\[\]|]*\|([^\[\]]*)\]\]", "$1"),
@@ -115,36 +114,82 @@ def decode_entities(text: Column) -> Column:
     return reduce(lambda c, pair: F.replace(c, F.lit(pair[0]), F.lit(pair[1])), ENTITIES, text)
 
 
-def without_templates(text: Column) -> Column:
-    """Text outside double braces, however deeply they are nested.
+# Signs that open and close what may be nested; a closing sign of a table is none
+# where its last character closes a template.
+SIGNS = {"{{": "}}", "{|": "|}", "[[": "]]"}
+PIECES = r"\{\{|\}\}|\{\||\|\}(?!\})|\[\[|\]\]|[^{}\[\]|]+|[{}\[\]|]"
+#: A link into a namespace, whose text is no running text, but not one that only points there.
+NAMESPACE_LINK = r"(?s)^\[\[[^\[\]|:]+:(?=\S)"
+#: Characters that are put together before they join a list, so that no long text is copied.
+CHUNK = 2_048
+
 
-    The text is cut into pairs of braces and what is between; a piece is outside if as
-    many were closed as opened. A closing pair too many is text, an opening pair too many
-    hides nothing.
+def without_nested(text: Column, signs: dict[str, str] = SIGNS) -> Column:
+    """Text outside templates, tables and links into namespaces, however deeply they are nested.
+
+    The text is cut into signs and what is between. A stack holds the signs that are open; what
+    the outermost of them spans is dropped when it closes, or kept if it is a plain link. A
+    closing sign too many is text, what is opened and never closed hides nothing; a sign that
+    closes an outer one closes all in it.
     """
-    pieces = F.regexp_extract_all(text, F.lit(r"\{\{|\}\}|[^{}]+|[{}]"), F.lit(0))
-    begin = F.struct(F.lit("").alias("out"), F.lit("").alias("held"), F.lit(0).alias("depth"))
+    pieces = F.regexp_extract_all(text, F.lit(PIECES), F.lit(0))
+    opening = F.create_map(*[F.lit(x) for i, a in enumerate(signs) for x in (a, str(i))])
+    closing = F.create_map(*[F.lit(x) for i, b in enumerate(signs.values()) for x in (b, str(i))])
+    none = F.array().cast("array<string>")
+    # ``done`` and ``held`` are lists of texts, the last being written; ``open`` the stack.
+    begin = F.struct(none.alias("done"), F.lit("").alias("now"), none.alias("held"),
+                     F.lit("").alias("inside"), F.lit("").alias("open"))
+
+    def long(text_: Column) -> Column:
+        return F.length(text_) > CHUNK
 
     def step(acc: Column, piece: Column) -> Column:
-        opened = (piece == "{{").cast("int")
-        closed = (piece == "}}").cast("int")
-        inside = acc["depth"] + opened
-        after = F.greatest(inside - closed, F.lit(0))
-        held = F.concat(acc["held"], piece)
-        # Held back while a template is open, dropped when it ends.
+        opened = F.try_element_at(opening, piece)
+        closed = F.try_element_at(closing, piece)
+        # The stack without the innermost sign that this one closes and what is in it.
+        at = F.length(acc["open"]) - F.position(closed, F.reverse(acc["open"]))
+        closes = closed.isNotNull() & (F.position(F.coalesce(closed, F.lit("-")), acc["open"]) > 0)
+        after = F.when(opened.isNotNull(), F.concat(acc["open"], opened)).when(
+            closes, F.left(acc["open"], at)).otherwise(acc["open"])
+        return F.struct(acc["done"].alias("done"), acc["now"].alias("now"), acc["held"].alias("held"),
+                        acc["inside"].alias("inside"), acc["open"].alias("before"),
+                        after.alias("open"), piece.alias("piece"))
+
+    def moved(acc: Column) -> Column:
+        """Where the piece goes: to the text, to what is held, or it ends what is held."""
+        outside = (acc["before"] == "") & (acc["open"] == "")
+        ends = (acc["before"] != "") & (acc["open"] == "")
+        inside = F.concat(acc["inside"], acc["piece"])
+        first = F.concat(F.coalesce(F.get(acc["held"], F.lit(0)), F.lit("")), inside)
+        plain = ends & first.startswith("[[") & ~first.rlike(NAMESPACE_LINK)
+        now = F.when(outside, F.concat(acc["now"], acc["piece"])).when(
+            plain & (F.size(acc["held"]) == 0), F.concat(acc["now"], inside)).otherwise(acc["now"])
+        done = F.when(plain & (F.size(acc["held"]) > 0), F.concat(
+            acc["done"], F.array(acc["now"]), acc["held"], F.array(inside))).otherwise(acc["done"])
+        now = F.when(plain & (F.size(acc["held"]) > 0), "").otherwise(now)
+        spills = ~ends & ~outside & long(inside)
         return F.struct(
-            F.when(inside == 0, F.concat(acc["out"], piece)).otherwise(acc["out"]).alias("out"),
-            F.when((inside == 0) | (after == 0), F.lit("")).otherwise(held).alias("held"),
-            after.alias("depth"))
+            F.when(long(now), F.array_append(done, now)).otherwise(done).alias("done"),
+            F.when(long(now), "").otherwise(now).alias("now"),
+            F.when(ends | outside, none).when(spills, F.array_append(acc["held"], inside)).otherwise(
+                acc["held"]).alias("held"),
+            F.when(ends | outside | spills, "").otherwise(inside).alias("inside"),
+            acc["open"].alias("open"))
 
-    return F.aggregate(pieces, begin, step, lambda acc: F.concat(acc["out"], acc["held"]))
+    return F.aggregate(pieces, begin, lambda acc, piece: moved(step(acc, piece)), lambda acc: F.array_join(
+        F.concat(acc["done"], F.array(acc["now"]), acc["held"], F.array(acc["inside"])), ""))
+
+
+def without_templates(text: Column) -> Column:
+    """Text outside double braces, however deeply they are nested."""
+    return without_nested(text, {"{{": "}}"})
 
 
 def strip_wiki(text: Column) -> Column:
-    """Text of a wiki page; templates are dropped, not expanded."""
+    """Text of a wiki page; templates are dropped, not expanded. Null stays null."""
     hidden, rest = WIKI_MARKUP[:4], WIKI_MARKUP[4:]
     visible = reduce(lambda c, rule: F.regexp_replace(c, *rule), hidden, text)
-    plain = reduce(lambda c, rule: F.regexp_replace(c, *rule), rest, without_templates(visible))
+    plain = reduce(lambda c, rule: F.regexp_replace(c, *rule), rest, without_nested(visible))
     return F.trim(decode_entities(plain))
 
 

@@ -10,7 +10,7 @@ from crosslex.operators.corpus import ENTITIES, HTML_DROPPED
 from crosslex.operators.search import B, K1, SCOPES
 from crosslex.operators.titles import BLOCK
 from crosslex.plans.derived import LANGS, LINK_BLOCK
-from crosslex.plans.queries import ANALYZED, ASKED, CLAUSES, SAME_QID
+from crosslex.plans.queries import ANALYZED, ASKED, CLAUSES, MARKUP_SIGNS, SAME_QID
 
 
 def quote(value: str) -> str:
@@ -615,6 +615,15 @@ def decoded_entities(column: str) -> str:
     return column
 
 
+def plain_markup() -> str:
+    """The text of an article whose lines were marked up, without the markup."""
+    lines = f"string_split(translate(text, {quote(MARKUP_SIGNS)}, repeat(' ', {len(MARKUP_SIGNS)})), chr(10))"
+    joined = f"""array_to_string(list_transform({lines}, lambda line, i: CASE (i - 1) % 5
+        WHEN 3 THEN line || ' ' || lang WHEN 4 THEN line || ' ' || lang ELSE line END), chr(10))"""
+    single = f"regexp_replace({joined}, '[ \\t]+', ' ', 'g')"
+    return f"trim(regexp_replace({single}, '\\n{{3,}}', chr(10) || chr(10), 'g'))"
+
+
 def articles_sql() -> str:
     body = "regexp_replace(html, '(?s)<!--.*?-->', ' ', 'g')"
     for element in HTML_DROPPED:
@@ -704,11 +713,10 @@ def build() -> dict[str, str]:
         "extract_documents": over_links("SELECT lang, id, title, text FROM extracted"),
         "corpus_counts": over_links("SELECT lang, count(*) AS n_docs FROM extracted GROUP BY lang"),
         "extract_articles": articles_sql(),
-        "strip_wiki": over_links(
-            "SELECT id, concat(id, ' ', lang, ' ', source) AS text FROM article"),
-        "extract_dump": over_links("""
+        "strip_wiki": over_links(f"SELECT id, {plain_markup()} AS text FROM article"),
+        "extract_dump": over_links(f"""
             SELECT id, CAST(num_id + 1 AS VARCHAR) AS revid, 'https://en.example.org/' || id AS url,
-                concat(id, ' ', lang, ' ', source) AS text
+                {plain_markup()} AS text
             FROM article WHERE source NOT IN ('src2', 'src3')"""),
         "csv_roundtrip": over_links(triple_rows),
         "jsonl_articles": over_links("""

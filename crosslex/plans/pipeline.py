@@ -43,7 +43,8 @@ def create_documents(spark: SparkSession, articles: dict, triples: str, path: st
     """
     corpora = workspace.settle(tables.read_articles(spark, articles), "articles", "lang")
     tuples = tables.read_triples(spark, triples, langs)
-    complete = corpus.complete_triples(tuples, corpora, langs)
+    # Read once for every language: settled, so that the tuples are filtered once.
+    complete = workspace.settle(corpus.complete_triples(tuples, corpora, langs), "complete")
     return tables.write_documents(
         corpus.extract_documents(corpora, complete, langs), path, langs)
 

@@ -124,13 +124,29 @@ def extract_articles(d):
     return corpus.extract_articles(d.table("pages"))
 
 
+#: Signs that mean something in markup, taken out of the texts that are marked up.
+BOLD = "'''"
+MARKUP_SIGNS = "[]{}|'=<>&*#:;"
+
+
 def marked_up(d):
-    """A small article of wiki markup for every document, with templates up to seven deep."""
-    deep = (F.col("num_id") % 8).cast("int")
-    return d.articles.select("id", "num_id", "source", "title", F.concat(
-        F.expr("repeat('{{x|', cast(num_id % 8 as int))"), F.repeat(F.lit("}}"), deep),
-        F.lit("'''"), "id", F.lit("''' [["), "lang", F.lit("]] {{g|{{h}}}}"), "source",
-    ).alias("markup"))
+    """The whole text of every document as wiki markup: templates, tables, file links and links
+    around its lines, nested in one another."""
+    lines = F.split(F.translate("text", MARKUP_SIGNS, " " * len(MARKUP_SIGNS)), "\n")
+
+    def marked(line, i):
+        return (
+            F.when(i % 5 == 0, F.concat(F.expr("repeat('{{x|', 1 + cast(num_id % 8 as int))"), "source",
+                                        F.expr("repeat('}}', 1 + cast(num_id % 8 as int))"), line))
+            .when(i % 5 == 1, F.concat(line, F.lit(
+                '{| class="a"\n|-\n| b {{y|{| c |}}} || {| d\n|-\n| {| e |}\n|}\n|}')))
+            .when(i % 5 == 2, F.concat(F.lit("[[File:p.png|thumb|see [[q|r]], [[s]] {{t|}}]]"), line))
+            .when(i % 5 == 3, F.concat(line, F.lit(" [["), "id", F.lit("|''"), "lang", F.lit("'']]")))
+            .otherwise(F.concat(F.lit(BOLD), line, F.lit(f"{BOLD} [["), "lang", F.lit("]]")))
+        )
+
+    return d.articles.select("id", "num_id", "lang", "source", "title", F.array_join(
+        F.transform(lines, marked), "\n").alias("markup"))
 
 
 @query

@@ -163,3 +163,28 @@ def test_running_number(spark):
     for group in range(3):
         found = [r["n"] for r in numbered.where(f"g = {group}").orderBy("k").collect()]
         assert found == list(range(1, len(found) + 1))
+
+
+NESTED = [
+    ("a {{b {{c}} d}} e", "a  e"), ("a {{b", "a {{b"), ("a }} b", "a }} b"), ("{{a|}}b", "b"),
+    ("a {| x\n| {| y |} z\n|} b", "a  b"), ("a {| {{t|}} |} b {{u {| v |} }} c", "a  b  c"),
+    ("[[File:x.png|see [[b|c]] and {{d}}]] e", " e"), ("[[a|b]] [[c]]", "[[a|b]] [[c]]"),
+    ("[[a|{{t}}]]", "[[a|{{t}}]]"), ("{{a [[b }} c", " c"), ("{a} [b] | c", "{a} [b] | c"),
+    ("", ""), (None, None), ("[[:Category:x]]", "[[:Category:x]]"), ("{{{a}}}", "}"),
+    ("{{a}}" * 3_000 + "b" * 5_000 + "{{" + "c" * 9_000, "b" * 5_000 + "{{" + "c" * 9_000),
+    ("{{" * 500 + "x" + "}}" * 500 + "y", "y"), ("[[a " + "b" * 9_000 + "]]", "[[a " + "b" * 9_000 + "]]"),
+]
+
+
+def test_balanced_markup(spark):
+    frame = spark.createDataFrame([(n, t) for n, (t, _) in enumerate(NESTED)], "n int, t string")
+    got = {r["n"]: r["x"] for r in frame.select("n", corpus.without_nested(F.col("t")).alias("x")).collect()}
+    for n, (text, want) in enumerate(NESTED):
+        assert got[n] == want, text and text[:60]
+
+
+def test_markup_takes_time_in_proportion(spark):
+    """A million signs, in one row."""
+    frame = spark.range(1).select(F.expr("repeat('{{a}} [[b|c]] {| d |} ', 30000)").alias("t"))
+    text = frame.select(corpus.without_nested(F.col("t"))).first()[0]
+    assert text.split() == ["[[b|c]]"] * 30_000
