@@ -15,22 +15,47 @@ MID_NUMBER = "'’.,;"
 PLAIN_WORD = r"[\p{L}\p{M}\p{N}]+"
 
 
-def _unicode_word(letter: str, letters: str, more: str) -> str:
-    words = rf"{letters}+(?:[{MID_LETTER}]{letter}{letters}*)*{more}"
-    numbers = rf"\p{{N}}+(?:[{MID_NUMBER}]\p{{N}}+)*{more}"
-    return rf"(?:{words}|{numbers}|_+)+{more}"
-
-
-#: Approximation of Unicode word breaks that needs no look-around.
-UNICODE_WORD = _unicode_word(r"\p{L}", r"[\p{L}\p{M}]", "")
-
-# Blocks of Han and Hiragana signs, each of which is a word.
-SIGNS = r"\u3041-\u309F\u3400-\u4DBF\u4E00-\u9FFF\uF900-\uFAFF\x{20000}-\x{2FA1F}"
-
-#: The same for Java: possessive, so that a very long word cannot exhaust the
-#: stack, and with each sign a word of its own.
-UNICODE_WORD_CJK = rf"[{SIGNS}]\p{{M}}*|" + _unicode_word(
-    rf"[\p{{L}}&&[^{SIGNS}]]", rf"[\p{{L}}\p{{M}}&&[^{SIGNS}]]", "+")
+# Classes of word breaks, as the inside of character classes. Signs of Han and
+# Hiragana are words each; Katakana joins with Katakana only; other letters, Hangul among them,
+# join with letters and digits; underscores join any of them. Marks and joiners go with what
+# stands before them.
+SIGNS = r"\x{3041}-\x{3096}\x{309D}-\x{309F}\x{3400}-\x{4DBF}\x{4E00}-\x{9FFF}\x{F900}-\x{FAFF}\x{20000}-\x{2FA1F}"
+KATAKANA = (r"\x{3031}-\x{3035}\x{309B}\x{309C}\x{30A0}-\x{30FA}\x{30FC}-\x{30FF}"
+            r"\x{31F0}-\x{31FF}\x{FF66}-\x{FF9D}")
+EXTEND = r"\p{M}\x{AD}\x{200C}\x{200D}\x{2060}"
+# Pictographs that are shown as emoji, those that are if a selector follows,
+# regional letters (two are a flag), skin tones, signs of a key cap, tags.
+EMOJI = (r"\x{231A}\x{231B}\x{23E9}-\x{23EC}\x{23F0}\x{23F3}\x{25FD}\x{25FE}\x{2614}\x{2615}"
+         r"\x{2648}-\x{2653}\x{267F}\x{2693}\x{26A1}\x{26AA}\x{26AB}\x{26BD}\x{26BE}\x{26C4}\x{26C5}"
+         r"\x{26CE}\x{26D4}\x{26EA}\x{26F2}\x{26F3}\x{26F5}\x{26FA}\x{26FD}\x{2705}\x{270A}\x{270B}"
+         r"\x{2728}\x{274C}\x{274E}\x{2753}-\x{2755}\x{2757}\x{2795}-\x{2797}\x{27B0}\x{27BF}\x{2B1B}"
+         r"\x{2B1C}\x{2B50}\x{2B55}\x{1F004}\x{1F0CF}\x{1F18E}\x{1F191}-\x{1F19A}\x{1F201}\x{1F21A}"
+         r"\x{1F22F}\x{1F232}-\x{1F236}\x{1F238}-\x{1F23A}\x{1F250}\x{1F251}\x{1F300}-\x{1F3FA}"
+         r"\x{1F400}-\x{1F64F}\x{1F680}-\x{1F6FF}\x{1F7E0}-\x{1F7EB}\x{1F90C}-\x{1F9FF}\x{1FA70}-\x{1FAFF}")
+PICTOGRAPH = EMOJI + (r"\x{A9}\x{AE}\x{203C}\x{2049}\x{2122}\x{2139}\x{2194}-\x{21AA}\x{2300}-\x{23FF}"
+                      r"\x{24C2}\x{25AA}-\x{27BF}\x{2934}\x{2935}\x{2B05}-\x{2B07}\x{3030}\x{303D}")
+REGIONAL, TONES, TAGS = r"\x{1F1E6}-\x{1F1FF}", r"\x{1F3FB}-\x{1F3FF}", r"\x{E0020}-\x{E007F}"
+
+#: An emoji with what belongs to it: a tone, tags, others joined to it; a flag; a key cap.
+EMOJI_WORD = (
+    rf"[{REGIONAL}]{{2}}|[0-9#*]\x{{FE0F}}?\x{{20E3}}"
+    rf"|(?:[{EMOJI}]\x{{FE0F}}?|[{PICTOGRAPH}]\x{{FE0F}})[{TONES}]?[{TAGS}]*"
+    rf"(?:\x{{200D}}[{PICTOGRAPH}]\x{{FE0F}}?[{TONES}]?)*")
+
+
+def _unicode_word() -> str:
+    """Words by Unicode word breaks, for Java: possessive, so that a very long word cannot
+    exhaust the stack."""
+    extend = rf"[{EXTEND}]*+"
+    letters = rf"(?:[\p{{L}}&&[^{SIGNS}{KATAKANA}]]{extend})++"
+    digits = rf"(?:\p{{N}}{extend})++"
+    words = rf"{letters}(?:[{MID_LETTER}]{extend}{letters})*+"
+    numbers = rf"{digits}(?:[{MID_NUMBER}]{extend}{digits})*+"
+    part = rf"(?:(?:{words}|{numbers})++|(?:[{KATAKANA}]{extend})++)"
+    return rf"{EMOJI_WORD}|[{SIGNS}]{extend}|_*+{part}(?:_++{part})*+_*+"
+
+
+UNICODE_WORD = _unicode_word()
 
 #: By default longer words are cut into pieces of this many characters; nothing is lost.
 MAX_WORD_LENGTH = 255
@@ -64,9 +89,11 @@ def plain_words(text: Column) -> Column:
 
 
 def unicode_words(text: Column, longest: int = MAX_WORD_LENGTH) -> Column:
-    """Lower-cased words by Unicode word breaks, in order, of at most ``longest`` characters."""
-    words = F.regexp_extract_all(F.lower(text), F.lit(UNICODE_WORD_CJK), F.lit(0))
-    words = F.filter(words, lambda w: F.trim(w, F.lit("_")) != "")
+    """Lower-cased words by Unicode word breaks, in order, of at most ``longest`` characters.
+
+    Emoji, with what is joined to them, are words.
+    """
+    words = F.regexp_extract_all(F.lower(text), F.lit(UNICODE_WORD), F.lit(0))
     # A second pass over every word only where one is too long: cutting inside
     # the pattern would make it backtrack.
     cut = F.flatten(F.transform(

@@ -5,7 +5,8 @@ rows, statistics are counted where they are used, nothing is bucketed or salted.
 """
 
 from crosslex.functions import stemmers, stopwords, text
-from crosslex.functions.text import ACCENTED, PLAIN_WORD, UNACCENTED, UNICODE_WORD
+from crosslex.functions.text import (
+    ACCENTED, EMOJI_WORD, EXTEND, KATAKANA, MID_LETTER, MID_NUMBER, PLAIN_WORD, SIGNS, UNACCENTED)
 from crosslex.operators.corpus import ENTITIES, HTML_DROPPED
 from crosslex.operators.search import B, K1, SCOPES
 from crosslex.operators.titles import BLOCK
@@ -571,8 +572,8 @@ def stem_sql(name: str, ctes: dict) -> str:
 def analyzed_ctes() -> dict:
     """The tables of the index with stop words and stems: Czech ones on English, Hungarian
     ones on German."""
-    words = (f"list_filter(regexp_extract_all(lower(value), {quote(UNICODE_WORD)}), "
-             "lambda w: regexp_matches(w, '[\\p{L}\\p{N}]'))")
+    words = unicode_words("value")
+    asked_words = unicode_words("value")
     asked = ("SELECT qid, lang, CASE WHEN \"at\" LIKE '%&%' THEN 1 ELSE 0 END AS in_both, "
              "unnest(fields) AS field, qtext AS value FROM (SELECT *, list_filter(["
              "CASE WHEN \"at\" LIKE '%T%' THEN 'title' END, "
@@ -593,7 +594,7 @@ def analyzed_ctes() -> dict:
         "word_list": f"SELECT lang, id, dup_no, field, {words} AS words FROM field_value",
         "kept_word": kept("""SELECT lang, id, dup_no, field, unnest(words) AS word,
             unnest(range(len(words))) AS pos FROM word_list"""),
-        "asked_word": kept(f"SELECT qid, lang, in_both, field, unnest({words}) AS word FROM ({asked})"),
+        "asked_word": kept(f"SELECT qid, lang, in_both, field, unnest({asked_words}) AS word FROM ({asked})"),
         "vocabulary": "SELECT word AS term FROM kept_word UNION SELECT word FROM asked_word",
         **stem_cs_ctes(), **stem_hu_ctes(),
         "token": f"SELECT lang, id, dup_no, field, {stem}, pos FROM kept_word {stems}",
@@ -603,6 +604,22 @@ def analyzed_ctes() -> dict:
     }
 
 
+def unicode_words(column: str) -> str:
+    """Words by Unicode word breaks: blanks are put where classes part, then what is left
+    between blanks is cut."""
+    cut = f"lower({column})"
+    for pattern, new in (
+            (f"([{SIGNS}][{EXTEND}]*)", r" \1 "), (f"([{KATAKANA}][{EXTEND}]*)([^{KATAKANA}{EXTEND}_])", r"\1 \2"),
+            (f"([^{KATAKANA}{EXTEND}_][{EXTEND}]*)([{KATAKANA}])", r"\1 \2")):
+        cut = f"regexp_replace({cut}, {quote(pattern)}, {quote(new)}, 'g')"
+    letters, digits = rf"(?:\p{{L}}[{EXTEND}]*)+", rf"(?:\p{{N}}[{EXTEND}]*)+"
+    kana = rf"[{KATAKANA}][{EXTEND}]*"
+    word = (rf"(?:{letters}(?:[{MID_LETTER}][{EXTEND}]*{letters})*|"
+            rf"{digits}(?:[{MID_NUMBER}][{EXTEND}]*{digits})*|(?:{kana})+|_+)+")
+    return (f"list_filter(regexp_extract_all({cut}, {quote(EMOJI_WORD + '|' + word)}), "
+            "lambda w: trim(w, '_') <> '')")
+
+
 def words_sql(words: str) -> str:
     return f"""SELECT doc_id, CAST(len(words) AS BIGINT) AS n,
         coalesce(array_to_string(words, ' '), '') AS words
@@ -725,9 +742,7 @@ def build() -> dict[str, str]:
         "jsonl_documents": over_links("SELECT lang, id, title, text FROM extracted"),
         "id_map_json": over_links("SELECT lang, id, other_lang, other_id FROM id_map"),
         "tokenize": words_sql(f"regexp_extract_all(lower(text), '{PLAIN_WORD}')"),
-        "tokenize_standard": words_sql(
-            f"list_filter(regexp_extract_all(lower(text), {quote(UNICODE_WORD)}), "
-            "lambda w: regexp_matches(w, '[\\p{L}\\p{N}]'))"),
+        "tokenize_standard": words_sql(unicode_words("text")),
         "stopwords": f"""SELECT doc_id, coalesce(array_to_string(
             CASE lang {stop} ELSE words END, ' '), '') AS words
             FROM (SELECT doc_id, lang, regexp_extract_all(lower(text), '{PLAIN_WORD}') AS words

@@ -27,6 +27,38 @@ def test_unicode_words(spark):
     assert [len(w) for w in words[3]] == [255, 45]
 
 
+#: Cases of the published rules of word boundaries, and of emoji.
+BREAKS = {
+    "can't 32.3 1,234.5 e.g. a.b": ["can't", "32.3", "1,234.5", "e.g", "a.b"],
+    "a_b 1_a _x_ __ a__1": ["a_b", "1_a", "_x_", "a__1"],
+    "カタカナ ｶﾀｶﾅ カタkana カ_a ア.ア": ["カタカナ", "ｶﾀｶﾅ", "カタ", "kana", "カ_a", "ア", "ア"],
+    "한국어abc 한글 3한": ["한국어abc", "한글", "3한"],
+    "漢字かなカナ": ["漢", "字", "か", "な", "カナ"],
+    "👍🏽 ok👍ok": ["👍🏽", "ok", "👍", "ok"],
+    "👨‍👩‍👧‍👦 ❤️ ❤": ["👨‍👩‍👧‍👦", "❤️"],
+    "🇨🇿🇭🇺 🇸": ["🇨🇿", "🇭🇺"],
+    "1️⃣ #️⃣ 12": ["1️⃣", "#️⃣", "12"],
+    "🏴󠁧󠁢󠁥󠁮󠁧󠁿x": ["🏴󠁧󠁢󠁥󠁮󠁧󠁿", "x"],
+    "e\u0301te\u0301 so\u00adft": ["e\u0301te\u0301", "so\u00adft"],
+    "👩🏽‍🚀🚀": ["👩🏽‍🚀", "🚀"],
+    "שלום עולם Ωμέγα": ["שלום", "עולם", "ωμέγα"],
+}
+
+
+def test_word_breaks(spark):
+    assert column(spark, list(BREAKS), text.unicode_words) == list(BREAKS.values())
+
+
+def test_word_breaks_by_sql(spark):
+    """The SQL that checks whole tables gives the same on these cases."""
+    import duckdb
+
+    from crosslex.plans.oracle import unicode_words
+
+    for given, want in BREAKS.items():
+        assert duckdb.execute(f"SELECT {unicode_words('t')} FROM (SELECT ? AS t)", [given]).fetchone()[0] == want
+
+
 def test_very_long_word(spark):
     [words] = column(spark, ["a1" * 40_000], text.unicode_words)
     assert sum(map(len, words)) == 80_000
