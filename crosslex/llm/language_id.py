@@ -74,18 +74,19 @@ def _model(model: Model) -> Model:
 
 
 def train(docs: DataFrame, sample_rows: int = SAMPLE_ROWS, text_col: str = "text",
-          lang_col: str = "lang") -> Model:
+          lang_col: str = "lang", least_rows: int = LEAST_ROWS,
+          label_share: int = LABEL_SHARE) -> Model:
     """Learn languages from about ``sample_rows`` labelled rows each, chosen by hash.
 
-    Every label on ``LEAST_ROWS`` rows is learned, however large the table; where fewer than
-    ``LEAST_ROWS * LABEL_SHARE`` rows are labelled, rarer ones too. Rows whose label is null
+    Every label on ``least_rows`` rows is learned, however large the table; where fewer than
+    ``least_rows * label_share`` rows are labelled, rarer ones too. Rows whose label is null
     or blank do not count. What reaches the driver is a count a language and feature.
     """
     rows = picked(docs, text=text_of(text_col), lang=lang_col).where(F.trim("lang") != "")
     labels = workspace.settle(rows.groupBy("lang").count(), "labels")
     total = labels.agg(F.sum("count")).first()[0] or 0
     found = {r["lang"]: r["count"] for r in labels.where(
-        (F.col("count") >= LEAST_ROWS) | (F.col("count") * LABEL_SHARE >= total)).collect()}
+        (F.col("count") >= least_rows) | (F.col("count") * label_share >= total)).collect()}
     languages = sorted(found)
     if not languages:
         return Model([], np.zeros((0, FEATURES), np.float32))
