@@ -191,7 +191,9 @@ def candidates(urls: DataFrame, strengths: dict[str, float], least_share: float,
     chosen = urls.where(F.pmod(F.xxhash64("url"), F.lit(parts)) < int(parts * min(1.0, rows / total)))
     items = workspace.settle(
         chosen.select("tokens", "blocked").mapInArrow(strongest, "items array<string>"), "items")
-    model = FPGrowth(minSupport=least_share, itemsCol="items").fit(items)
+    # A few small files are one task's; the patterns are grown in as many as there are cores.
+    spread = items.repartition(spark.sparkContext.defaultParallelism)
+    model = FPGrowth(minSupport=least_share, itemsCol="items").fit(spread)
     marks = F.array(*[F.lit(m) for m in MARKS.values()])
     found = model.freqItemsets.where(F.arrays_overlap("items", marks)).select(
         F.array_sort(F.array_except("items", marks)).alias("tokens")).where(
