@@ -4,12 +4,16 @@ from collections.abc import Callable, Iterator
 from functools import wraps
 from typing import Any
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Rows taken from an Arrow batch at a time, so that few texts are Python objects at once.
 SLICE = 128
+#: Bytes of text in a slice, unless one text alone has more.
+SLICE_BYTES = 1 << 20
 #: Rows and bytes of the batches in which texts go to Python, at most: Spark's default for
 #: each, which is meant for narrow rows, and what takes its place.
 BATCH = {"spark.sql.execution.arrow.maxRecordsPerBatch": ("10000", "2000"),
@@ -35,11 +39,53 @@ def picked(docs: DataFrame, **columns: str | Column) -> DataFrame:
     ])
 
 
-def slices(batches: Iterator[pa.RecordBatch], rows: int = SLICE) -> Iterator[pa.RecordBatch]:
-    """The batches cut into slices of at most ``rows`` rows."""
+def slices(batches: Iterator[pa.RecordBatch], rows: int = SLICE,
+           size: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
+    """The batches cut into slices of at most ``rows`` rows, and of at most ``size`` bytes where
+    they have more than one row."""
     for batch in batches:
-        for start in range(0, batch.num_rows, rows):
-            yield batch.slice(start, rows)
+        ends = np.cumsum(_row_bytes(batch))
+        start = 0
+        while start < batch.num_rows:
+            before = ends[start - 1] if start else 0
+            fitting = int(np.searchsorted(ends, before + size, side="right"))
+            stop = min(max(fitting, start + 1), start + rows, batch.num_rows)
+            yield batch.slice(start, stop - start)
+            start = stop
+    pa.default_memory_pool().release_unused()
+
+
+def _row_bytes(batch: pa.RecordBatch) -> np.ndarray:
+    """Bytes of the texts in each row."""
+    total = np.zeros(batch.num_rows, np.int64)
+    for column in batch.columns:
+        if pa.types.is_string(column.type) or pa.types.is_large_string(column.type):
+            total += pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False)
+    return total
+
+
+def split_texts(texts: pa.Array, at: str) -> tuple[list[str], np.ndarray, np.ndarray]:
+    """Texts cut at a sign: the distinct parts, the parts in order as numbers of these, and
+    where each text's parts begin (one more at the end)."""
+    cut = pc.split_pattern(texts, at)
+    coded = cut.flatten().dictionary_encode()
+    ends = cut.offsets.to_numpy()
+    return coded.dictionary.to_pylist(), coded.indices.to_numpy(), ends - ends[0]
+
+
+def gather(found: list[bytes], numbers: np.ndarray, begins: np.ndarray,
+           kind: str) -> tuple[np.ndarray, np.ndarray]:
+    """The values of all parts in order, and where each text's begin, from those of the distinct
+    parts."""
+    width = np.dtype(kind).itemsize
+    values = np.frombuffer(b"".join(found), kind)
+    sizes = np.fromiter(map(len, found), np.int64, len(found)) // width
+    first = np.cumsum(sizes) - sizes
+    counts = sizes[numbers]
+    ends = np.cumsum(counts)
+    total = int(ends[-1]) if len(ends) else 0
+    places = np.repeat(first[numbers] - (ends - counts), counts) + np.arange(total)
+    return values[places], np.concatenate([[0], ends])[begins]
 
 
 def with_columns(batch: pa.RecordBatch, kept: list[str], **more: Any) -> pa.RecordBatch:

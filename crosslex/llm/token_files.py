@@ -14,16 +14,19 @@ words, escapes); six numbers (documents, blocks, ids, offsets of the two tables,
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyarrow import fs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from crosslex.llm.common import Memo, held, picked, slices, small_batches, text_of
+from crosslex.llm.common import (
+    Memo, gather, held, picked, slices, small_batches, split_texts, text_of)
 from crosslex.sources import workspace
 
 # Ids in a word and bits of each, by selector from 1; 0 is not used.
@@ -34,6 +37,8 @@ MAGIC = b"S8BIDS01"
 BLOCK = 65_536
 #: Ids read from a file at a time are those of one block; a table this many rows.
 TAIL = 48
+#: Rows that are encoded together, as far as their bytes allow.
+ROWS = 2_000
 
 
 def pack(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -192,7 +197,7 @@ SIGNS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
 def is_word(text: str) -> bool:
     """Whether a text is letters below U+0180 only. Lower-casing and composing leave such
     letters apart, and the tokenizer makes one word of them, whose last token ends it."""
-    return text.isalpha() and max(text) < "ƀ" and "İ" not in text
+    return text.isalpha() and (text.isascii() or max(text) < "ƀ" and "İ" not in text)
 
 
 @dataclass
@@ -213,43 +218,57 @@ class Encoder:
         self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
         self.ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
         self.words = Memo(self._fresh, 200_000)
-        self.stretches = Memo(self._of_stretch, 200_000)
+        self.stretches = Memo(self._fresh, 200_000)
 
     def _fresh(self, text: str) -> bytes:
         return np.array(self.library.encode(text, add_special_tokens=False).ids,
                         "<u4").tobytes()
 
-    def _of_stretch(self, stretch: str) -> bytes:
-        word = stretch.rstrip(SIGNS)
-        if not word:
-            return self.words[stretch]
-        if not is_word(word):
-            return self._fresh(stretch)
-        signs = stretch[len(word):]
-        found = self.words[word.lower()]
-        return found + self.words[signs] if signs else found
-
-    def prepare(self, texts: list[str]) -> None:
-        """Encode the unknown words of some texts in one go, which is faster than each alone."""
-        seen: set[str] = set()
-        for text in texts:
-            seen.update(text.replace("\n", " ").split(" "))
-        known, older = self.stretches, self.stretches.older
-        words = {word.lower() for stretch in seen if stretch not in known and stretch not in older
-                 and is_word(word := stretch.rstrip(SIGNS))}
-        known, older = self.words, self.words.older
-        fresh = [word for word in words if word not in known and word not in older]
+    def look_up(self, stretches: list[str]) -> list[bytes]:
+        """Ids of different stretches. Unknown words are encoded in one go, which is faster than
+        each alone."""
+        memo, words = self.stretches, self.words
+        found: list[bytes | None] = list(map(memo.get, stretches))
+        parts, fresh = [], {}
+        for i, stretch in enumerate(stretches):
+            if found[i] is not None:
+                continue
+            if (older := memo.older.get(stretch)) is None:
+                word = stretch.rstrip(SIGNS)
+                if word and is_word(word):
+                    lower = word.lower()
+                    parts.append((i, stretch, lower, stretch[len(word):]))
+                    if lower not in words and lower not in words.older:
+                        fresh[lower] = None
+                    continue
+                older = self._fresh(stretch) if word else words[stretch]
+            found[i] = older
+            memo.put(stretch, older)
         ids = np.array(self.library.encode("\n".join(fresh), add_special_tokens=False).ids, "<u4")
         stops = np.flatnonzero(self.ends[ids]) + 1
         if len(stops) == len(fresh):
-            for word, one in zip(fresh, np.split(ids, stops[:-1])):
-                self.words.put(word, one.tobytes())
+            data, last = ids.tobytes(), 0
+            for word, stop in zip(fresh, (4 * stops).tolist()):
+                words.put(word, data[last:stop])
+                last = stop
+        for i, stretch, lower, signs in parts:
+            found[i] = own = words[lower] + words[signs] if signs else words[lower]
+            memo.put(stretch, own)
+        return found
+
+    def ids_of(self, texts: pa.Array) -> list[np.ndarray]:
+        """The ids of each text. All are cut at once, and a stretch is looked up once for all."""
+        distinct, numbers, begins = split_texts(pc.replace_substring(texts, "\n", " "), " ")
+        ids, first = gather(self.look_up(distinct), numbers, begins, "<u4")
+        found = np.split(ids, first[1:-1])
+        special = reduce(pc.or_, [pc.match_substring(texts, x) for x in self.specials],
+                         pa.array([False] * len(texts)))
+        for n in np.flatnonzero(special.to_numpy(zero_copy_only=False)):
+            found[n] = np.frombuffer(self._fresh(texts[n].as_py()), "<u4")
+        return found
 
     def ids(self, text: str) -> np.ndarray:
-        if any(special in text for special in self.specials):
-            return np.frombuffer(self._fresh(text), "<u4")
-        stretches = text.replace("\n", " ").split(" ")
-        return np.frombuffer(b"".join(map(self.stretches.__getitem__, stretches)), "<u4")
+        return self.ids_of(pa.array([text], pa.string()))[0]
 
 
 @held
@@ -294,13 +313,12 @@ def write_ids(docs: DataFrame, tokenizer: str, path: str, end_id: int, id_col: s
         name = f"{folder}/ids-{number:06d}.s8b"
         own = f"{folder}/.ids-{number:06d}-{task.taskAttemptId()}"
         end = np.array([end_id], "<u4")
-        for part in slices(batches):
+        for part in slices(batches, ROWS):
             if writer is None:
                 writer = Writer(where.open_output_stream(own))
-            texts = part.column("text").to_pylist()
-            encoder.prepare(texts)
-            for doc, text in zip(part.column("id").to_pylist(), texts):
-                writer.add(doc, np.concatenate([encoder.ids(text), end]))
+            found = encoder.ids_of(part.column("text"))
+            for doc, ids in zip(part.column("id").to_pylist(), found):
+                writer.add(doc, np.concatenate([ids, end]))
         if writer is not None:
             writer.close()
             where.move(own, name)
