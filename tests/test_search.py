@@ -116,6 +116,25 @@ def test_lengths_match_frequencies(ix):
     assert ix.postings.where("size(positions) <> tf").count() == 0
 
 
+def test_terms_are_grouped_whatever_the_slices(spark, monkeypatch):
+    texts = ["b a b é a b", "", "z", "a " * 9, "Á b é b"]
+    rows = spark.createDataFrame(
+        [("sk", "text", str(n), 0, 1, len(t.split()), [(w, i) for i, w in enumerate(t.split())])
+         for n, t in enumerate(texts)],
+        "lang string, field string, id string, dup_no int, copies long, dl int, "
+        "tokens array<struct<term string, pos int>>").coalesce(1)
+    want = []
+    for n, text in enumerate(texts):
+        words = text.split()
+        for term in sorted(set(words), key=str.encode):
+            places = [i for i, w in enumerate(words) if w == term]
+            want.append(("sk", "text", term, str(n), 0, 1, len(places), len(words),
+                         term == min(words, key=str.encode), places))
+    for most in (1, 7, 1 << 20):
+        monkeypatch.setattr(index, "SLICE_TOKENS", most)
+        assert [tuple(r) for r in index.group_terms(rows).collect()] == want
+
+
 def test_lossy_lengths(spark):
     pairs = {5: 5, 39: 39, 40: 40, 41: 40, 42: 42, 100: 96, 1000: 984, 12345: 12312}
     df = spark.createDataFrame([(k,) for k in pairs], "dl int")
