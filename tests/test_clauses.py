@@ -152,6 +152,20 @@ def test_distance_and_neighbourhoods(spark):
         assert r["meet1"] or want > 1
 
 
+def test_terms_that_begin_alike_share_their_keys(spark):
+    terms = [f"abcdefg{a}{b}" for a in LETTERS for b in LETTERS]
+    frame = spark.createDataFrame([("sk", str(n), term, "x") for n, term in enumerate(terms)],
+                                  "lang string, id string, title string, text string")
+    built = lookups.write_lookups(index.write_index(
+        frame, workspace.new_path(spark, "ix"), {"sk": PLAIN}, buckets=3), workspace.new_path(spark, "lookups"))
+    stats = built.term_stats.where("field = 'title'")
+    keys = spark.range(1).select(F.size(lookups.deletions(F.lit("abcdefg"), 2))).first()[0]
+    assert lookups.neighbour_table(stats, 3).count() == keys
+    near = clauses.fuzzy_terms(built, "sk", Clause("title", "fuzzy", "abcdfgaa"))
+    assert {r["term"] for r in near.collect()} == {
+        t for t in terms if plain_distance(t, "abcdfgaa") <= 2}
+
+
 def test_pairs_of_frequent_words(ix):
     """A pair's positions are those where both words stand in sequence."""
     frequent = {r["term"] for r in ix.lookups.frequent.where("lang = 'sk' AND field = 'text'").collect()}
