@@ -114,6 +114,11 @@ def test_scores_need_no_shuffle(spark, laid_out):
     assert all_rows(scored) == all_rows(search.score_queries(queries, plain))
 
 
+def test_as_many_tasks_as_blocks(laid_out):
+    sums = laid_out.weights.groupBy("id").agg(F.sum("tf"))
+    assert sums.rdd.getNumPartitions() == laid_out.blocks == 8
+
+
 def test_pruned_search_reads_fewer_postings(spark, laid_out):
     queries = search.query_table(spark, [
         (1, "sk:T|t:of the r5"), (2, "sk:t:r7 of"), (3, "sk:T&t:of t3 r3"), (4, "sk:t:unknown"),
