@@ -1,3 +1,5 @@
+import time
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -188,3 +190,19 @@ def test_markup_takes_time_in_proportion(spark):
     frame = spark.range(1).select(F.expr("repeat('{{a}} [[b|c]] {| d |} ', 30000)").alias("t"))
     text = frame.select(corpus.without_nested(F.col("t"))).first()[0]
     assert text.split() == ["[[b|c]]"] * 30_000
+
+
+def test_deep_markup_takes_time_in_proportion(spark):
+    """Two hundred thousand signs within one another, in one row."""
+    frame = spark.range(1).select(F.expr(
+        "concat('a ', repeat('{{', 200000), ' |} ]] ', repeat('}}', 200000), ' b')").alias("t"))
+    begun = time.monotonic()
+    assert frame.select(corpus.without_nested(F.col("t"))).first()[0] == "a  b"
+    assert time.monotonic() - begun < 20
+
+
+def test_markup_of_any_text_goes_through_python_whole(spark):
+    texts = [None, "", "žluťoučký {{kůň}} 漢字 😀 [[a:\u00a0b]]", "{{é" * 3, "[[a:]] [[b: c]] [[d:\te]]"]
+    frame = spark.createDataFrame(list(enumerate(texts)), "n int, t string")
+    got = [r[0] for r in frame.orderBy("n").select(corpus.without_nested(F.col("t"))).collect()]
+    assert got == [None, "", "žluťoučký  漢字 😀 ", "{{é" * 3, " [[b: c]] [[d:\te]]"]
