@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from crosslex.llm.common import picked, slices, small_batches, text_of
+from crosslex.llm.common import lean, picked, slices, small_batches, text_of
 from crosslex.llm.components import components
 from crosslex.sources import workspace
 
@@ -178,6 +178,7 @@ def fold(bits: np.ndarray, words: int) -> np.ndarray:
 
 def _described(docs: DataFrame, words: int, percent: int) -> DataFrame:
     """``id, text_hash, n, cls, band, lacks`` of each row; ``cls`` null without shingles."""
+    @lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bands = Bands(percent)
         for part in slices(batches):
@@ -197,6 +198,7 @@ def _described(docs: DataFrame, words: int, percent: int) -> DataFrame:
 
 def _piece_keys(docs: DataFrame, words: int, percent: int, every: frozenset[int]) -> DataFrame:
     """``key, cls`` of all pieces; copies within a batch give theirs once."""
+    @lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bands = Bands(percent)
         for batch in batches:
@@ -220,6 +222,7 @@ def _groups(pieces: DataFrame) -> DataFrame:
     Rows come sorted by key; groups of the same classes get the same number and are given
     once a task. A group too long to hold back is given row by row, numbered by its key.
     """
+    @lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held_key, held_cls = np.zeros(0, np.int64), np.zeros(0, np.int64)
         long_key: int | None = None
@@ -281,6 +284,7 @@ def _features(docs: DataFrame, wanted: DataFrame, words: int, bits: bool) -> Dat
         rows = F.broadcast(rows)
     kind = pa.binary() if bits else pa.list_(pa.int64())
 
+    @lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             done: set[int] = set()
@@ -342,6 +346,7 @@ def _between(members: DataFrame, percent: int, forest: bool, whole: bool) -> Dat
         if held:
             yield held
 
+    @lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for group in runs(batches):
             bits = [np.frombuffer(b, np.uint64) for b in group["value"]]

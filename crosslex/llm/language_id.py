@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from crosslex.llm.common import SLICE, held, picked, slices, small_batches, text_of
+from crosslex.llm.common import SLICE, held, lean, picked, slices, small_batches, text_of
 from crosslex.sources import workspace
 
 FEATURES = 1 << 16
@@ -95,6 +95,7 @@ def train(docs: DataFrame, sample_rows: int = SAMPLE_ROWS, text_col: str = "text
     sample = rows.where(F.col("lang").isin(languages)).where(
         F.pmod(F.xxhash64("text"), F.lit(1_000_003)) < share[F.col("lang")] * 1_000_003)
 
+    @lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         place = {lang: k for k, lang in enumerate(languages)}
         counts: dict[int, np.ndarray] = {}

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 from crosslex.llm import pieces as P
-from crosslex.llm.common import held, picked, slices, small_batches, text_of, with_columns
+from crosslex.llm.common import held, lean, picked, slices, small_batches, text_of, with_columns
 
 #: How much less than the worst piece an unknown character scores.
 UNKNOWN_COST = 10.0
@@ -152,6 +152,7 @@ def encode(docs: DataFrame, model: str, id_col: str = "doc_id",
     """
     shared = _shared(docs, model)
 
+    @lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _encoder(shared.value)
         for part in slices(batches):
@@ -181,6 +182,7 @@ def decode(coded: DataFrame, model: str, ids_col: str = "ids") -> DataFrame:
     rest = coded.drop("text")
     names = rest.columns
 
+    @lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _encoder(shared.value)
         size = len(encoder.bytes_of)

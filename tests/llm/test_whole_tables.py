@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from crosslex.llm import (
-    components, decontamination, embeddings, html_extract, html_parse, jaccard, queries)
+    common, components, decontamination, embeddings, html_extract, html_parse, jaccard, queries)
 
 SF = "/root/testdata/sf0.001"
 
@@ -351,3 +351,31 @@ def test_long_pages_take_time_in_proportion():
         start = time.process_time()
         html_parse.parse(page)
         assert time.process_time() - start < 10, page[:20]
+
+
+def test_tasks_leave_no_freed_memory_behind():
+    """Blocks below the allocator's bound, freed beneath one that stays, go back to the system."""
+    def resident():
+        with open("/proc/self/statm") as file:
+            return int(file.read().split()[1]) * 4_096 >> 20
+
+    kept = []
+
+    def run(batches):
+        import ctypes
+
+        libc = ctypes.CDLL(None)
+        libc.malloc.restype, libc.free.argtypes = ctypes.c_void_p, [ctypes.c_void_p]
+        before = resident()
+        blocks = [libc.malloc(100_000) for _ in range(3_000)]
+        for block in blocks:
+            ctypes.memset(block, 1, 100_000)
+        libc.malloc(100_000)  # stays, above all others
+        for block in blocks:
+            libc.free(block)
+        kept.append((before, resident()))
+        yield from batches
+
+    assert list(common.lean(run)(iter([1, 2]))) == [1, 2]
+    [(before, within)] = kept
+    assert within > before + 200 and resident() < before + 100
