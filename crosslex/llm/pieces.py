@@ -6,6 +6,9 @@ from dataclasses import dataclass, field
 from functools import cached_property
 from typing import Any
 
+import pyarrow as pa
+import pyarrow.compute as pc
+
 from crosslex.llm.common import Memo
 
 #: How a piece spells a space.
@@ -69,6 +72,22 @@ def segments(text: str) -> list[str]:
     return (SPACE + text.replace(" ", " " + SPACE).replace("\n", " \n")).split(" ")
 
 
+def led(texts: pa.Array, sign: str) -> pa.Array:
+    """The texts with a sign before each that is not empty."""
+    return pc.if_else(pc.equal(texts, ""), "", pc.binary_join_element_wise(sign, texts, ""))
+
+
+def spelled(texts: pa.Array) -> pa.Array:
+    """Texts spelled with space markers and one before each, and a blank wherever ``segments``
+    cuts them; no other blank is left."""
+    marked = led(pc.replace_substring(texts, " ", SPACE), SPACE)
+    if pc.any(pc.match_substring(marked, SPACE * 2)).as_py():
+        marked = pc.replace_substring_regex(marked, f"({SPACE}+)", r" \1")
+    else:
+        marked = pc.replace_substring(marked, SPACE, " " + SPACE)
+    return pc.replace_substring(marked, "\n", " \n")
+
+
 class Parts:
     """Results for segments, put together from those for parts that no piece reaches across.
 

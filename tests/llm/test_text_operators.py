@@ -4,10 +4,12 @@ import hashlib
 import itertools
 import random
 import re
+import time
 import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -116,6 +118,28 @@ def test_unigram_is_the_librarys(unigram_model):
             assert encoder.decode(ids) == text
 
 
+def test_unigram_takes_many_texts_at_once(unigram_model):
+    """Texts of a slice are those of the library each, and new words take little time."""
+    import sentencepiece
+
+    library = sentencepiece.SentencePieceProcessor(model_file=unigram_model)
+    loaded = pieces.load(unigram_model)
+    encoder = unigram.Encoder(loaded, unigram.Trie(
+        {t.encode(): i for t, i in loaded.normal.items()}))
+    texts = ["", "\n", " ", "the" * 500, "x" * 5_000, "漢字" * 300, "é" * 64 + "a\0b" * 50, "a\n\na  b",
+             *(t for t in random_texts(500) if "▁" not in t)]
+    ids, begins = encoder.ids_of(pa.array(["left out", *texts])[1:])
+    spelled = encoder.texts_of(ids, begins).to_pylist()
+    for text, start, stop, again in zip(texts, begins, begins[1:], spelled):
+        assert ids[start:stop].tolist() == library.encode(text), repr(text)
+        assert again.removeprefix(" ") == text
+    rng = random.Random(3)
+    words = pa.array([" ".join("".join(rng.choices("etaoinshr", k=12)) for _ in range(100_000))])
+    start = time.process_time()
+    encoder.ids_of(words)
+    assert time.process_time() - start < 2.5
+
+
 def test_trie_finds_every_key():
     rng = random.Random(4)
     keys = {bytes(rng.choices(range(256), k=rng.randint(1, 6))): i for i in range(2_000)}
