@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from crosslex.llm.common import (
-    Memo, gather, held, picked, slices, small_batches, split_texts, text_of)
+    Memo, cut_texts, gather, held, picked, slices, small_batches, spread, text_of)
 from crosslex.sources import workspace
 
 # Ids in a word and bits of each, by selector from 1; 0 is not used.
@@ -200,11 +200,14 @@ def is_word(text: str) -> bool:
     return text.isalpha() and (text.isascii() or max(text) < "ƀ" and "İ" not in text)
 
 
+#: The letters of such texts.
+LETTERS = "".join(filter(is_word, map(chr, range(0x180))))
+
+
 @dataclass
 class Encoder:
-    """Ids of texts, remembered for the stretches between blanks, which no token crosses.
-
-    A stretch of a word and signs after it is two tokens' worth, each remembered as well.
+    """Ids of texts, put together from those of the stretches between blanks, which no token
+    crosses. A stretch of a word and signs after it is two parts; ids of parts are remembered.
     """
 
     data: bytes
@@ -217,50 +220,62 @@ class Encoder:
         vocabulary = self.library.get_vocab(with_added_tokens=False)
         self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
         self.ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
-        self.words = Memo(self._fresh, 200_000)
-        self.stretches = Memo(self._fresh, 200_000)
+        self.parts = Memo(self._fresh, 200_000)
 
     def _fresh(self, text: str) -> bytes:
         return np.array(self.library.encode(text, add_special_tokens=False).ids,
                         "<u4").tobytes()
 
-    def look_up(self, stretches: list[str]) -> list[bytes]:
-        """Ids of different stretches. Unknown words are encoded in one go, which is faster than
-        each alone."""
-        memo, words = self.stretches, self.words
-        found: list[bytes | None] = list(map(memo.get, stretches))
-        parts, fresh = [], {}
-        for i, stretch in enumerate(stretches):
-            if found[i] is not None:
-                continue
-            if (older := memo.older.get(stretch)) is None:
-                word = stretch.rstrip(SIGNS)
-                if word and is_word(word):
-                    lower = word.lower()
-                    parts.append((i, stretch, lower, stretch[len(word):]))
-                    if lower not in words and lower not in words.older:
-                        fresh[lower] = None
-                    continue
-                older = self._fresh(stretch) if word else words[stretch]
-            found[i] = older
-            memo.put(stretch, older)
+    def look_up(self, words: list[str]) -> list[bytes]:
+        """Ids of different words in small letters. Unknown ones are encoded in one go, which is
+        faster than each alone."""
+        found = list(map(self.parts.get, words))
+        missing = [i for i, own in enumerate(found) if own is None]
+        known = self.parts.older
+        fresh = [words[i] for i in missing if words[i] not in known]
         ids = np.array(self.library.encode("\n".join(fresh), add_special_tokens=False).ids, "<u4")
         stops = np.flatnonzero(self.ends[ids]) + 1
+        new = {}
         if len(stops) == len(fresh):
             data, last = ids.tobytes(), 0
             for word, stop in zip(fresh, (4 * stops).tolist()):
-                words.put(word, data[last:stop])
-                last = stop
-        for i, stretch, lower, signs in parts:
-            found[i] = own = words[lower] + words[signs] if signs else words[lower]
-            memo.put(stretch, own)
+                new[word], last = data[last:stop], stop
+        for i in missing:
+            word = words[i]
+            own = known.get(word) or new.get(word) or self._fresh(word)
+            found[i] = own
+            self.parts.put(word, own)
         return found
 
+    def _of_stretches(self, stretches: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of different stretches one behind the other, and how many each has."""
+        words = pc.utf8_rtrim(stretches, SIGNS)
+        plain = pc.match_substring_regex(words, f"^[{LETTERS}]+$")
+        is_plain = plain.to_numpy(zero_copy_only=False)
+        signed = np.flatnonzero(is_plain & pc.not_equal(words, stretches).to_numpy(
+            zero_copy_only=False))
+        coded = pc.utf8_lower(words.filter(plain)).dictionary_encode()
+        tails = pc.utf8_ltrim(stretches.take(pa.array(signed)), LETTERS).dictionary_encode()
+        found = self.look_up(coded.dictionary.to_pylist())
+        found += map(self.parts.__getitem__, tails.dictionary.to_pylist())
+        rest = stretches.filter(pc.invert(plain)).to_pylist()
+        # Of each stretch the parts, as numbers of what was found.
+        counts = np.ones(len(stretches), np.int64)
+        counts[signed] = 2
+        ends = np.cumsum(counts)
+        numbers = np.empty(counts.sum(), np.int64)
+        numbers[(ends - counts)[is_plain]] = coded.indices.to_numpy()
+        numbers[ends[signed] - 1] = len(coded.dictionary) + tails.indices.to_numpy()
+        numbers[(ends - counts)[~is_plain]] = len(found) + np.arange(len(rest))
+        found += map(self.parts.__getitem__, rest)
+        return gather(found, numbers, np.concatenate([[0], ends]), "<u4")
+
     def ids_of(self, texts: pa.Array) -> list[np.ndarray]:
         """The ids of each text. All are cut at once, and a stretch is looked up once for all."""
-        distinct, numbers, begins = split_texts(pc.replace_substring(texts, "\n", " "), " ")
-        ids, first = gather(self.look_up(distinct), numbers, begins, "<u4")
-        found = np.split(ids, first[1:-1])
+        distinct, numbers, begins = cut_texts(pc.replace_substring(texts, "\n", " "), " ")
+        ids, first = self._of_stretches(distinct)
+        ids, ends = spread(ids, np.diff(first), numbers)
+        found = np.split(ids, np.concatenate([[0], ends])[begins][1:-1])
         special = reduce(pc.or_, [pc.match_substring(texts, x) for x in self.specials],
                          pa.array([False] * len(texts)))
         for n in np.flatnonzero(special.to_numpy(zero_copy_only=False)):

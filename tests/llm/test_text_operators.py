@@ -196,6 +196,23 @@ def test_ids_are_the_librarys():
             text, add_special_tokens=False).ids, repr(text)
 
 
+def test_ids_of_many_stretches():
+    """New stretches of known words and signs are put together without a look at each by itself."""
+    encoder = token_files.Encoder(**{k: tuple(v) if k == "specials" else v for k, v in
+                                     token_files._model(WORD_MODEL).items()})
+    rng = random.Random(6)
+    words = ["".join(rng.choices("aeioubdklmnrst", k=rng.randint(1, 9))) for _ in range(2_000)]
+    ends = ["".join(rng.choices(token_files.SIGNS, k=rng.randint(0, 3))) for _ in range(300)]
+    made = [word + end for word in words for end in set(ends)]
+    texts = [" ".join(made[i::400]) for i in range(400)]
+    start = time.process_time()
+    found = encoder.ids_of(pa.array(texts))
+    took = time.process_time() - start
+    for n in range(0, 400, 100):
+        assert found[n].tolist() == encoder.library.encode(texts[n], add_special_tokens=False).ids
+    assert took < 1.5
+
+
 @pytest.mark.parametrize("frame", ["docs", "odd", "empty"])
 def test_token_files(spark, request, frame):
     from tokenizers import Tokenizer
