@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from crosslex.llm.common import (
-    Memo, cut_texts, gather, held, picked, slices, small_batches, spread, text_of)
+    Memo, cut_texts, held, picked, slices, small_batches, spread, text_of)
 from crosslex.sources import workspace
 
 # Ids in a word and bits of each, by selector from 1; 0 is not used.
@@ -37,8 +37,10 @@ MAGIC = b"S8BIDS01"
 BLOCK = 65_536
 #: Ids read from a file at a time are those of one block; a table this many rows.
 TAIL = 48
-#: Rows that are encoded together, as far as their bytes allow.
+#: Rows that are encoded together, as far as their bytes allow: the longer a slice, the fewer
+#: times a word is looked up.
 ROWS = 2_000
+ROWS_BYTES = 4 << 20
 
 
 def pack(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -204,6 +206,60 @@ def is_word(text: str) -> bool:
 LETTERS = "".join(filter(is_word, map(chr, range(0x180))))
 
 
+class Words:
+    """Ids of words, for at most twice ``limit`` words: those used lately stay. They are held as
+    arrays in which all words of a slice are looked up at once; words of more than ``longest``
+    signs are not held.
+    """
+
+    def __init__(self, limit: int = 500_000, longest: int = 64):
+        self.limit, self.longest = limit, longest
+        self.recent = self.older = _NO_WORDS
+
+    def find(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """For different words their places among those held, the older ones behind the recent
+        ones, or -1; and which words are not among the recent ones."""
+        at = _places(words, self.recent[0])
+        behind = np.flatnonzero(at < 0)
+        older = _places(words.take(pa.array(behind)), self.older[0])
+        at[behind] = np.where(older < 0, older, len(self.recent[0]) + older)
+        return at, behind
+
+    def held(self) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all words held one behind the other, and how many each has."""
+        return (np.concatenate([self.recent[1], self.older[1]]),
+                np.concatenate([self.recent[2], self.older[2]]))
+
+    def put(self, words: pa.Array, ids: np.ndarray, sizes: np.ndarray) -> None:
+        """Hold words that are not among the recent ones."""
+        short = pc.less_equal(pc.utf8_length(words), self.longest)
+        keep = short.to_numpy(zero_copy_only=False)
+        if not keep.all():
+            words, ids, sizes = words.filter(short), ids[np.repeat(keep, sizes)], sizes[keep]
+        for first in range(0, len(words), self.limit):
+            last = min(first + self.limit, len(words))
+            if len(self.recent[0]) + last - first > self.limit:
+                self.older, self.recent = self.recent, _NO_WORDS
+            begin, end = sizes[:first].sum(), sizes[:last].sum()
+            self.recent = (pa.concat_arrays([self.recent[0], words[first:last]]),
+                           np.concatenate([self.recent[1], ids[begin:end]]),
+                           np.concatenate([self.recent[2], sizes[first:last]]))
+
+
+_NO_WORDS = pa.array([], pa.string()), np.zeros(0, np.uint32), np.zeros(0, np.int64)
+
+
+def _places(words: pa.Array, among: pa.Array) -> np.ndarray:
+    return pc.fill_null(pc.index_in(words, value_set=among), -1).to_numpy(
+        zero_copy_only=False).astype(np.int64)
+
+
+def _joined(found: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Ids one behind the other, and how many each has."""
+    return (np.frombuffer(b"".join(found), "<u4"),
+            np.fromiter(map(len, found), np.int64, len(found)) // 4)
+
+
 @dataclass
 class Encoder:
     """Ids of texts, put together from those of the stretches between blanks, which no token
@@ -220,32 +276,38 @@ class Encoder:
         vocabulary = self.library.get_vocab(with_added_tokens=False)
         self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
         self.ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
-        self.parts = Memo(self._fresh, 200_000)
+        self.words, self.parts = Words(), Memo(self._fresh, 200_000)
 
     def _fresh(self, text: str) -> bytes:
         return np.array(self.library.encode(text, add_special_tokens=False).ids,
                         "<u4").tobytes()
 
-    def look_up(self, words: list[str]) -> list[bytes]:
-        """Ids of different words in small letters. Unknown ones are encoded in one go, which is
-        faster than each alone."""
-        found = list(map(self.parts.get, words))
-        missing = [i for i, own in enumerate(found) if own is None]
-        known = self.parts.older
-        fresh = [words[i] for i in missing if words[i] not in known]
-        ids = np.array(self.library.encode("\n".join(fresh), add_special_tokens=False).ids, "<u4")
+    def _fresh_words(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of words in small letters, encoded in one go, which is faster than each alone."""
+        if not len(words):
+            return _joined([])
+        lines = pc.binary_join(pa.ListArray.from_arrays([0, len(words)], words), "\n")[0].as_py()
+        ids = np.array(self.library.encode_batch_fast(
+            [lines], add_special_tokens=False)[0].ids, "<u4")
         stops = np.flatnonzero(self.ends[ids]) + 1
-        new = {}
-        if len(stops) == len(fresh):
-            data, last = ids.tobytes(), 0
-            for word, stop in zip(fresh, (4 * stops).tolist()):
-                new[word], last = data[last:stop], stop
-        for i in missing:
-            word = words[i]
-            own = known.get(word) or new.get(word) or self._fresh(word)
-            found[i] = own
-            self.parts.put(word, own)
-        return found
+        if len(stops) == len(words) and stops[-1] == len(ids):
+            return ids, np.diff(stops, prepend=0)
+        return _joined([self._fresh(word) for word in words.to_pylist()])
+
+    def look_up(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of different words in small letters one behind the other, and how many each has."""
+        at, behind = self.words.find(words)
+        ids, sizes = self.words.held()
+        fresh = np.flatnonzero(at < 0)
+        new_ids, new_sizes = self._fresh_words(words.take(pa.array(fresh)))
+        at[fresh] = len(sizes) + np.arange(len(fresh))
+        sizes = np.concatenate([sizes, new_sizes])
+        ids, ends = spread(np.concatenate([ids, new_ids]), sizes, at)
+        sizes = sizes[at]
+        late = np.zeros(len(words), bool)
+        late[behind] = True
+        self.words.put(words.filter(pa.array(late)), ids[np.repeat(late, sizes)], sizes[late])
+        return ids, sizes
 
     def _of_stretches(self, stretches: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """The ids of different stretches one behind the other, and how many each has."""
@@ -256,9 +318,10 @@ class Encoder:
             zero_copy_only=False))
         coded = pc.utf8_lower(words.filter(plain)).dictionary_encode()
         tails = pc.utf8_ltrim(stretches.take(pa.array(signed)), LETTERS).dictionary_encode()
-        found = self.look_up(coded.dictionary.to_pylist())
-        found += map(self.parts.__getitem__, tails.dictionary.to_pylist())
         rest = stretches.filter(pc.invert(plain)).to_pylist()
+        parts = [self.look_up(coded.dictionary)]
+        parts += [_joined(list(map(self.parts.__getitem__, texts)))
+                  for texts in (tails.dictionary.to_pylist(), rest)]
         # Of each stretch the parts, as numbers of what was found.
         counts = np.ones(len(stretches), np.int64)
         counts[signed] = 2
@@ -266,15 +329,16 @@ class Encoder:
         numbers = np.empty(counts.sum(), np.int64)
         numbers[(ends - counts)[is_plain]] = coded.indices.to_numpy()
         numbers[ends[signed] - 1] = len(coded.dictionary) + tails.indices.to_numpy()
-        numbers[(ends - counts)[~is_plain]] = len(found) + np.arange(len(rest))
-        found += map(self.parts.__getitem__, rest)
-        return gather(found, numbers, np.concatenate([[0], ends]), "<u4")
+        numbers[(ends - counts)[~is_plain]] = (
+            len(coded.dictionary) + len(tails.dictionary) + np.arange(len(rest)))
+        ids, sizes = map(np.concatenate, zip(*parts))
+        ids, last = spread(ids, sizes, numbers)
+        return ids, np.diff(np.concatenate([[0], last])[np.concatenate([[0], ends])])
 
     def ids_of(self, texts: pa.Array) -> list[np.ndarray]:
         """The ids of each text. All are cut at once, and a stretch is looked up once for all."""
         distinct, numbers, begins = cut_texts(pc.replace_substring(texts, "\n", " "), " ")
-        ids, first = self._of_stretches(distinct)
-        ids, ends = spread(ids, np.diff(first), numbers)
+        ids, ends = spread(*self._of_stretches(distinct), numbers)
         found = np.split(ids, np.concatenate([[0], ends])[begins][1:-1])
         special = reduce(pc.or_, [pc.match_substring(texts, x) for x in self.specials],
                          pa.array([False] * len(texts)))
@@ -328,7 +392,7 @@ def write_ids(docs: DataFrame, tokenizer: str, path: str, end_id: int, id_col: s
         name = f"{folder}/ids-{number:06d}.s8b"
         own = f"{folder}/.ids-{number:06d}-{task.taskAttemptId()}"
         end = np.array([end_id], "<u4")
-        for part in slices(batches, ROWS):
+        for part in slices(batches, ROWS, ROWS_BYTES):
             if writer is None:
                 writer = Writer(where.open_output_stream(own))
             found = encoder.ids_of(part.column("text"))

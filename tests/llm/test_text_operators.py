@@ -213,6 +213,31 @@ def test_ids_of_many_stretches():
     assert took < 1.5
 
 
+def test_words_are_looked_up_together():
+    """Known words take no step of Python each, what is held of them is bounded, and ids do not
+    depend on what is held."""
+    encoder = token_files.Encoder(**{k: tuple(v) if k == "specials" else v for k, v in
+                                     token_files._model(WORD_MODEL).items()})
+    rng = random.Random(7)
+    words = list({"".join(rng.choices("aeioubdklmnrst", k=9)) for _ in range(100_000)})
+    texts = pa.array([" ".join(words[i::50]) for i in range(50)])
+    first = encoder.ids_of(texts)
+    start = time.process_time()
+    for _ in range(5):
+        again = encoder.ids_of(texts)
+    took = time.process_time() - start
+    assert all((a == b).all() for a, b in zip(first, again))
+    assert took < 1.2
+    encoder.words = token_files.Words(limit=1_000, longest=8)
+    for part in [*texts, pa.scalar(" ".join(w[:5] for w in words[:5_000]))]:
+        found = encoder.ids(part.as_py())
+        assert found.tolist() == encoder.library.encode(
+            part.as_py(), add_special_tokens=False).ids
+    held = [encoder.words.recent[0], encoder.words.older[0]]
+    assert all(0 < len(own) <= 1_000 for own in held)
+    assert all(len(word) <= 8 for own in held for word in own.to_pylist())
+
+
 @pytest.mark.parametrize("frame", ["docs", "odd", "empty"])
 def test_token_files(spark, request, frame):
     from tokenizers import Tokenizer
