@@ -14,9 +14,10 @@ these, so with more pieces than that some piece is equal (the pigeonhole princip
 * Classes with an equal piece form a group; equal groups count once. In each group pairs
   are tested by the Hamming distance of their sketches, only as many as can join what is
   not joined yet, and those that pass are compared exactly, from the whole texts.
-* A group is looked at again where such a pair turned out to be no link, or where it is so
-  large that not all its blocks have met: for links between components that the links so
-  far leave apart, at last for all pairs that pass the test.
+* A group is looked at again where such a pair turned out to be no link, then only its classes
+  that are in such pairs, or as a whole where it is so large that not all its blocks have met:
+  for links between components that the links so far leave apart, at last for all pairs that
+  pass the test.
 """
 
 from collections.abc import Iterator
@@ -433,29 +434,34 @@ def report(docs: DataFrame, words: int = 5, percent: int = 80, id_col: str = "do
                                       percent, forest=True, whole=False), "pairs")
     tested = pairs.select("a", "b").distinct()
     links = _verified(named, tested, classes, words, percent)
-    again = sizes.where(F.col("size") > BLOCK).select("gid")
+    # Groups of up to two blocks have met whole: what was not tested in them are pairs of classes
+    # that found pairs join, which matters where one of these failed.
+    failed = pairs.join(links, ["a", "b"], "left_anti").select("gid").distinct()
+    again = members.where(F.col("size") > 2 * BLOCK).select("gid", "cls").unionAll(
+        pairs.join(failed, "gid").select(
+            "gid", F.explode(F.array("a", "b")).alias("cls"))).distinct()
     for forest in (True, False):
-        # Groups that are not settled: a pair failed, or not all blocks have met.
-        failed = pairs.join(links, ["a", "b"], "left_anti").select("gid")
-        again = workspace.settle(again.unionAll(failed).distinct(), "again")
-        found = components(links)
+        again = workspace.settle(again, "again")
         if again.isEmpty():
             break
-        placed = members.join(again, "gid").join(
-            found.select(F.col("node").alias("cls"), "component"), "cls", "left").withColumn(
+        placed = again.join(components(links).select(
+            F.col("node").alias("cls"), "component"), "cls", "left").withColumn(
             "comp", F.coalesce("component", "cls")).drop("component")
         mixed = placed.groupBy("gid").agg(
-            F.min("comp").alias("low"), F.max("comp").alias("high")).where(
-            "low != high").select("gid")
+            F.min("comp").alias("low"), F.max("comp").alias("high"),
+            F.count(F.lit(1)).alias("size")).where("low != high").select("gid", "size")
         left = workspace.settle(placed.join(mixed, "gid"), "left")
         pairs = workspace.settle(_between(
-            left.join(sketches, "cls"), percent, forest, whole=True).join(
-            tested, ["a", "b"], "left_anti"), "pairs")
-        more = _verified(named, pairs.select("a", "b").distinct(), classes, words, percent)
-        tested = workspace.settle(tested.unionAll(pairs.select("a", "b").distinct()), "tested")
+            left.join(sketches, "cls"), percent, forest, whole=True), "pairs")
+        untested = workspace.settle(pairs.select("a", "b").distinct().join(
+            tested, ["a", "b"], "left_anti"), "untested")
+        more = _verified(named, untested, classes, words, percent)
+        tested = workspace.settle(tested.unionAll(untested), "tested")
         links = workspace.settle(links.unionAll(more), "links")
-    else:
-        found = components(links)
+        # All others have met now; pairs that failed before count as well.
+        failed = pairs.join(links, ["a", "b"], "left_anti").select("gid").distinct()
+        again = left.join(failed, "gid").select("gid", "cls")
+    found = components(links)
 
     smallest = found.join(classes, found["node"] == classes["cls"]).groupBy("component").agg(
         F.min("rep").alias("component_id"))

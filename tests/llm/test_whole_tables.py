@@ -147,6 +147,33 @@ def test_long_groups_are_streamed(spark, monkeypatch):
     assert joined(frame, 1, 90) == plain_links(rows, 1, 90)
 
 
+@pytest.mark.parametrize("block", [6, 2_048])
+def test_second_look_is_at_pairs_that_failed(spark, monkeypatch, block):
+    """Unlike documents of a group are not looked at again for a pair that was no link; documents
+    about as similar as asked for keep all their links."""
+    rng, rows = random.Random(5), []
+    base = [f"w{i}" for i in range(60)]
+    for doc in range(60):
+        rows.append((doc, " ".join(base + [f"x{doc}-{i}" for i in range(40)])))
+    for doc in range(60, 84):  # four to a family, most of them 0.79 or 0.8 alike
+        own = base + [f"y{doc // 4}-{i}" for i in range(40)]
+        for place in rng.sample(range(60, 100), 11 + doc % 2):
+            own[place] = f"z{doc}-{place}" if doc % 4 else own[place]
+        rows.append((doc, " ".join(own)))
+    looked, between = [], jaccard._between
+
+    def watched(members, *rest, **named):
+        looked.append(members.count())
+        return between(members, *rest, **named)
+
+    monkeypatch.setattr(jaccard, "BLOCK", block)
+    monkeypatch.setattr(jaccard, "_between", watched)
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    assert joined(frame, 1, 80) == plain_links(rows, 1, 80)
+    if block == 2_048:
+        assert len(looked) > 1 and max(looked[1:]) < looked[0] / 4
+
+
 # --- vectors -----------------------------------------------------------------
 
 def plain_vectors(rows, cosine):
