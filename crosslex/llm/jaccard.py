@@ -321,6 +321,124 @@ def _verified(docs: DataFrame, pairs: DataFrame, classes: DataFrame, words: int,
     ).select("a", "b").distinct(), "linked")
 
 
+#: Rows and bytes of groups that are compared at a time, unless one group has more.
+AT_ONCE, AT_ONCE_BYTES = 16_384, 1 << 23
+
+
+def whole_groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The rows of sorted batches, several batches at a time, never parting those of one
+    ``gid, lo, hi``."""
+    held: list[pa.RecordBatch] = []
+    count = size = 0
+    for batch in batches:
+        held.append(batch)
+        count, size = count + batch.num_rows, size + batch.nbytes
+        if count < AT_ONCE and size < AT_ONCE_BYTES:
+            continue
+        rows = pa.concat_batches(held)
+        tags = [rows.column(n).to_numpy() for n in ("gid", "lo", "hi")]
+        changes = np.flatnonzero(np.any([t[1:] != t[:-1] for t in tags], axis=0))
+        begin = int(changes[-1]) + 1 if len(changes) else 0
+        if begin:
+            yield rows.slice(0, begin)
+        held = [rows.slice(begin)]
+        count, size = held[0].num_rows, held[0].nbytes
+    rows = pa.concat_batches(held) if held else None
+    if rows is not None and rows.num_rows:
+        yield rows
+
+
+#: Groups of up to so many classes are compared together with others as large.
+SMALL = 64
+
+
+def _met(rows: pa.RecordBatch, percent: int, forest: bool) -> Iterator[tuple]:
+    """``gid, a, b`` of the pairs that pass the tests, in whole groups."""
+    gid, lo, hi, block, cls, comp, n = (
+        rows.column(x).to_numpy() for x in ("gid", "lo", "hi", "block", "cls", "comp", "n"))
+    ends = rows.column("value").to_numpy(zero_copy_only=False)
+    width = np.array([len(x) // 8 for x in ends], np.int64)
+    place = np.cumsum(width) - width
+    words = np.frombuffer(b"".join(ends), np.uint64)
+    begin = np.flatnonzero(np.concatenate([[True], (gid[1:] != gid[:-1]) | (
+        lo[1:] != lo[:-1]) | (hi[1:] != hi[:-1])]))
+    size = np.diff(np.append(begin, len(gid)))
+    least = np.minimum.reduceat(width, begin)
+    for g in np.flatnonzero(size > SMALL).tolist():
+        own = slice(begin[g], begin[g] + size[g])
+        bits = np.stack([fold(words[p:p + w], least[g]) for p, w in zip(
+            place[own].tolist(), width[own].tolist())])
+        found = _met_in_one(bits, n[own], block[own], comp[own].copy(), lo[own][0] != hi[own][0],
+                            percent, forest)
+        for i, at in found:
+            a, b = cls[own][at], cls[own][i]
+            yield np.full(len(at), gid[begin[g]]), np.minimum(a, b), np.maximum(a, b)
+    kind = np.where((size > 1) & (size <= SMALL), size * (1 << 40) + least, 0)
+    for one in np.unique(kind[kind > 0]).tolist():
+        k, w = divmod(one, 1 << 40)
+        at = begin[kind == one][:, None] + np.arange(k)
+        bits = np.empty((*at.shape, w), np.uint64)
+        for wide in np.unique(width[at]).tolist():
+            here = width[at] == wide
+            own = words[place[at[here]][:, None] + np.arange(wide)]
+            bits[here] = np.bitwise_xor.reduce(own.reshape(len(own), -1, w), axis=1)
+        yield from _met_in_many(bits, n[at], block[at], comp[at], (lo != hi)[at[:, 0]], cls[at],
+                                gid[at[:, 0]], percent, forest)
+
+
+def _met_in_one(bits, n, block, comp, apart, percent, forest) -> Iterator[tuple[int, np.ndarray]]:
+    """A member of a group, and those behind it that it passes the tests with."""
+    for i in range(len(n) - 1):
+        near = comp[i + 1:] != comp[i]
+        if apart:
+            near &= block[i + 1:] != block[i]
+        at = np.flatnonzero(near) + i + 1
+        small, large = np.minimum(n[i], n[at]), np.maximum(n[i], n[at])
+        at = at[100 * small >= percent * large]
+        if not len(at):
+            continue
+        distance = np.bitwise_count(bits[at] ^ bits[i]).sum(axis=1, dtype=np.int64)
+        at = at[distance * (100 + percent) <= (n[at] + n[i]) * (100 - percent)]
+        if forest:  # one to each component, which then is this one's
+            _, once = np.unique(comp[at], return_index=True)
+            joined = comp[at[once]]
+            at = at[np.sort(once)]
+            if len(joined):
+                comp[np.isin(comp, joined)] = comp[i]
+        if len(at):
+            yield i, at
+
+
+def _met_in_many(bits, n, block, comp, apart, cls, gid, percent, forest) -> Iterator[tuple]:
+    """The same for many groups of equal size, a row each: ``gid, a, b``."""
+    for i in range(n.shape[1] - 1):
+        own, rest = slice(i, i + 1), slice(i + 1, None)
+        near = (comp[:, rest] != comp[:, own]) & (
+            ~apart[:, None] | (block[:, rest] != block[:, own]))
+        small, large = np.minimum(n[:, own], n[:, rest]), np.maximum(n[:, own], n[:, rest])
+        near &= 100 * small >= percent * large
+        g, j = np.nonzero(near)
+        if not len(g):
+            continue
+        j += i + 1
+        distance = np.bitwise_count(bits[g, j] ^ bits[g, i]).sum(axis=1, dtype=np.int64)
+        passed = distance * (100 + percent) <= (n[g, j] + n[g, i]) * (100 - percent)
+        g, j = g[passed], j[passed]
+        if forest and len(g):
+            near[:] = False
+            near[g, j - i - 1] = True
+            theirs = comp[:, rest]
+            for x in range(1, near.shape[1]):
+                near[:, x] &= ~(near[:, :x] & (theirs[:, :x] == theirs[:, x:x + 1])).any(axis=1)
+            g, j = np.nonzero(near)
+            j += i + 1
+            joined = ((comp[:, :, None] == theirs[:, None, :]) & near[:, None, :]).any(axis=2)
+            comp = np.where(joined, comp[:, own], comp)
+        if len(g):
+            a, b = cls[g, j], cls[g, i]
+            yield gid[g], np.minimum(a, b), np.maximum(a, b)
+
+
 def _between(members: DataFrame, percent: int, forest: bool, whole: bool) -> DataFrame:
     """Pairs ``gid, a, b`` of classes of one group in different components that pass the size
     and Hamming tests; with ``forest`` only as many as can join components within a block.
@@ -328,58 +446,13 @@ def _between(members: DataFrame, percent: int, forest: bool, whole: bool) -> Dat
     A group is parted into blocks; ``whole``: all of them meet pairwise, else each meets
     itself and the first.
     """
-    def runs(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
-        held: dict | None = None
-        for batch in batches:
-            columns = {n: batch.column(n).to_pylist() for n in batch.schema.names}
-            tags = list(zip(columns["gid"], columns["lo"], columns["hi"]))
-            begin = 0
-            for i in range(1, len(tags) + 1):
-                if i == len(tags) or tags[i] != tags[begin]:
-                    piece = {n: v[begin:i] for n, v in columns.items()}
-                    if held and (held["gid"][0], held["lo"][0], held["hi"][0]) == tags[begin]:
-                        held = {n: held[n] + piece[n] for n in piece}
-                    else:
-                        if held:
-                            yield held
-                        held = piece
-                    begin = i
-        if held:
-            yield held
-
     @lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for group in runs(batches):
-            bits = [np.frombuffer(b, np.uint64) for b in group["value"]]
-            width = min(map(len, bits))
-            bits = np.stack([fold(b, width) for b in bits])
-            n, block = np.array(group["n"]), np.array(group["block"])
-            comp, cls = np.array(group["comp"]), group["cls"]
-            apart = group["lo"][0] != group["hi"][0]
-            found: list[tuple[int, int]] = []
-            for i in range(len(cls) - 1):
-                near = comp[i + 1:] != comp[i]
-                if apart:
-                    near &= block[i + 1:] != block[i]
-                at = np.flatnonzero(near) + i + 1
-                small, large = np.minimum(n[i], n[at]), np.maximum(n[i], n[at])
-                at = at[100 * small >= percent * large]
-                if not len(at):
-                    continue
-                distance = np.bitwise_count(bits[at] ^ bits[i]).sum(axis=1, dtype=np.int64)
-                at = at[distance * (100 + percent) <= (n[at] + n[i]) * (100 - percent)]
-                if forest:  # one to each component, which then is this one's
-                    _, once = np.unique(comp[at], return_index=True)
-                    joined = comp[at[once]]
-                    at = at[np.sort(once)]
-                    if len(joined):
-                        comp[np.isin(comp, joined)] = comp[i]
-                found += [(min(cls[i], cls[j]), max(cls[i], cls[j])) for j in at.tolist()]
+        for groups in whole_groups(batches):
+            found = list(_met(groups, percent, forest))
             if found:
-                a, b = zip(*found)
                 yield pa.RecordBatch.from_arrays([
-                    pa.array([group["gid"][0]] * len(a), pa.int64()), pa.array(a, pa.int64()),
-                    pa.array(b, pa.int64())], names=["gid", "a", "b"])
+                    pa.array(np.concatenate(x)) for x in zip(*found)], names=["gid", "a", "b"])
 
     # A class goes once to each pair of blocks that its own is part of.
     own, parts = F.col("block"), F.col("parts")

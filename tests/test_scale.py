@@ -103,3 +103,61 @@ def test_written_tables_leave_no_shuffles(spark):
         time.sleep(0.5)
     assert len(left) <= 2
     assert spark.conf.get(workspace.FREE_SHUFFLES, None) != "true"
+
+
+def plain_pairs(group, percent, forest):
+    """Pairs that pass the tests, one after the other."""
+    from crosslex.llm.jaccard import fold
+
+    width = min(len(r["value"]) for r in group) // 8
+    bits = [fold(np.frombuffer(r["value"], np.uint64), width) for r in group]
+    comp, apart = [r["comp"] for r in group], group[0]["lo"] != group[0]["hi"]
+    for i, a in enumerate(group):
+        passed = []
+        for j in range(i + 1, len(group)):
+            b = group[j]
+            both, unlike = a["n"] + b["n"], int(np.bitwise_count(bits[i] ^ bits[j]).sum())
+            if (comp[i] != comp[j] and (not apart or a["block"] != b["block"])
+                    and 100 * min(a["n"], b["n"]) >= percent * max(a["n"], b["n"])
+                    and unlike * (100 + percent) <= both * (100 - percent)
+                    and not (forest and any(comp[j] == comp[x] for x in passed))):
+                passed.append(j)
+        if forest:
+            joined = {comp[j] for j in passed}
+            comp = [comp[i] if c in joined else c for c in comp]
+        for j in passed:
+            yield a["gid"], min(a["cls"], group[j]["cls"]), max(a["cls"], group[j]["cls"])
+
+
+@pytest.mark.parametrize("forest", [True, False])
+@pytest.mark.parametrize("step", [3, 100_000])
+def test_groups_are_compared_together(monkeypatch, forest, step):
+    """Small groups of one size at once, larger ones by themselves: the pairs of plain loops."""
+    from crosslex.llm import jaccard
+
+    monkeypatch.setattr(jaccard, "SMALL", 6)
+    monkeypatch.setattr(jaccard, "AT_ONCE", 50)
+    draw, hashes = random.Random(5), np.random.default_rng(5)
+    names = ["gid", "lo", "hi", "block", "cls", "comp", "n", "value"]
+    groups = []
+    for gid in range(150):
+        base, apart, group = hashes.integers(0, 2**63, 120), draw.random() < 0.3, []
+        for m in range(draw.choice([1, 2, 2, 3, 4, 6, 7, 12])):
+            own = np.unique(np.concatenate([
+                base[:draw.choice([20, 90, 110]) - draw.randint(0, 8)],
+                hashes.integers(0, 2**63, draw.randint(0, 9))])).astype(np.uint64)
+            comp = draw.randint(0, 3) if draw.random() < 0.5 else m + 10
+            group.append(dict(zip(names, (gid - 70, 0, int(apart), draw.randint(0, 1), draw.randint(
+                -10**17, 10**17), comp, len(own), jaccard.sketch(own).tobytes()))))
+        groups.append(group)
+    rows = pa.RecordBatch.from_pylist([r for g in groups for r in g])
+    batches = [rows.slice(i, step) for i in range(0, rows.num_rows, step)]
+    found, parts = [], 0
+    for part in jaccard.whole_groups(iter(batches)):
+        parts += 1
+        for pairs in jaccard._met(part, 80, forest):
+            found += zip(*(x.tolist() for x in pairs))
+    want = sorted(p for g in groups for p in plain_pairs(g, 80, forest))
+    assert sorted(found) == want and len(want) > 100
+    assert (parts > 5) == (step == 3)
+    assert list(jaccard.whole_groups(iter([rows.slice(0, 0)]))) == []
