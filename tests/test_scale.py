@@ -92,16 +92,15 @@ def shuffle_files(spark):
 def test_written_tables_leave_no_shuffles(spark):
     before = shuffle_files(spark)
     rows = spark.range(1000).repartition(3, "id")
-    assert workspace.settle(rows, "rows").count() == 1000
+    settled = workspace.settle(rows, "rows")
     path = workspace.new_path(spark, "folders")
     index.write_folders(rows.withColumn("f", F.col("id") % 2), path, ["f"], F.col("id"))
-    assert spark.read.parquet(path).count() == 1000
     for _ in range(20):  # they are removed beside what follows
-        left = {n for n in shuffle_files(spark) - before if n.endswith(".data")}
-        if len(left) <= 2:  # those of the counts
+        if not (left := shuffle_files(spark) - before):
             break
         time.sleep(0.5)
-    assert len(left) <= 2
+    assert not left
+    assert settled.count() == spark.read.parquet(path).count() == 1000
     assert spark.conf.get(workspace.FREE_SHUFFLES, None) != "true"
 
 
